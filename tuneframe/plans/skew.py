@@ -1,0 +1,43 @@
+"""Joins of a large table with a table of one row per key, safe for hot keys."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 500_000
+SALTS = 64
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Check the row count of a table of keys; stops reading one row past the limit."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def salted_join(
+    many: DataFrame, one: DataFrame, on: Sequence[str], spread: Sequence[str], how: str = "inner", salts: int = SALTS
+) -> DataFrame:
+    """Join rows with a table holding one row per key, spreading every key over salts.
+
+    ``spread`` names columns of ``many`` that differ within a key. The keyed side is
+    copied once per salt, so it should be small next to the other side.
+    """
+    left = many.withColumn("__salt", F.pmod(F.xxhash64(*spread), F.lit(salts)))
+    right = one.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
+    return left.join(right, [*on, "__salt"], how).drop("__salt")
+
+
+def join_keyed(
+    many: DataFrame,
+    one: DataFrame,
+    on: Sequence[str],
+    spread: Sequence[str],
+    how: str = "inner",
+    max_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """Broadcast the keyed side if its checked size allows it, else join on salted keys."""
+    if fits_broadcast(one, max_rows):
+        return many.join(F.broadcast(one), list(on), how)
+    return salted_join(many, one, on, spread, how)
