@@ -108,18 +108,19 @@ def latest_runs(runs: DataFrame, scores: DataFrame | None = None) -> DataFrame:
 def latest_scores(scores: DataFrame, runs: DataFrame | None = None) -> DataFrame:
     """All base scores, and of each model the fine-tuned scores of its newest run."""
     newest = latest_runs(runs if runs is not None else scores)
-    tuned = scores.filter(F.col("variant") == TUNED)
-    kept = join_keyed(tuned, newest, ["model", "run_ts"], ["task", "key"], "left_semi")
-    return scores.filter(F.col("variant") == BASE).unionByName(kept)
+    return keep_latest(scores, newest, ["task", "key", "run_ts"])
 
 
-def compare(scores: DataFrame) -> DataFrame:
-    """Base against fine-tuned on every task that both have.
+def keep_latest(rows: DataFrame, newest: DataFrame, spread: Sequence[str]) -> DataFrame:
+    """Base rows, and fine-tuned rows of the run named in ``newest(model, run_ts)``."""
+    named = newest.select("model", F.col("run_ts").alias("__newest"))
+    joined = join_keyed(rows, named, ["model"], spread, "left")
+    is_base = F.col("variant") == BASE
+    return joined.filter(is_base | (F.col("run_ts") == F.col("__newest"))).select(*rows.columns)
 
-    The first metric of the ``compare`` policy found on both sides is used; without
-    one the metric is null and the numbers are zero. Input has at most one base and
-    one fine-tuned run per model.
-    """
+
+def _task_sides(scores: DataFrame) -> DataFrame:
+    """One row per model and task: which sides have it, and the preferred shared metric."""
     side = lambda variant: F.max(F.when(F.col("variant") == variant, F.col("value")))
     seen = lambda variant: F.bool_or(F.col("variant") == variant)
     per_key = scores.groupBy("model", "task", "key", "metric").agg(
@@ -140,12 +141,13 @@ def compare(scores: DataFrame) -> DataFrame:
             F.bool_or("in_base").alias("in_base"),
             F.bool_or("in_tuned").alias("in_tuned"),
         )
-        .filter("in_base AND in_tuned")
     )
     base, tuned = F.coalesce("best.base", F.lit(0.0)), F.coalesce("best.tuned", F.lit(0.0))
     return per_task.select(
         "model",
         "task",
+        "in_base",
+        "in_tuned",
         F.col("best.metric").alias("metric"),
         base.alias("base_accuracy"),
         tuned.alias("finetuned_accuracy"),
@@ -154,21 +156,33 @@ def compare(scores: DataFrame) -> DataFrame:
     )
 
 
+def compare(scores: DataFrame) -> DataFrame:
+    """Base against fine-tuned on every task that both have.
+
+    The first metric of the ``compare`` policy found on both sides is used; without
+    one the metric is null and the numbers are zero. Input has at most one base and
+    one fine-tuned run per model.
+    """
+    return _task_sides(scores).filter("in_base AND in_tuned").drop("in_base", "in_tuned")
+
+
 def summary(scores: DataFrame) -> DataFrame:
     """One row per model: which sides exist, and the comparison where both do.
 
-    The map is keyed by task; the metrics were reduced to one per task before.
+    The map has one entry per task, so its size is bound by the task list.
     """
-    sides = scores.groupBy("model").agg(
-        F.bool_or(F.col("variant") == BASE).alias("has_base"), F.bool_or(F.col("variant") == TUNED).alias("has_tuned")
-    )
     entry = F.struct("metric", "base_accuracy", "finetuned_accuracy", "delta", "delta_percent")
-    compared = (
-        compare(scores)
+    shared = F.when(F.col("in_base") & F.col("in_tuned"), F.struct("task", entry))
+    return (
+        _task_sides(scores)
         .groupBy("model")
-        .agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("task", entry)))).alias("comparison"))
+        .agg(
+            F.bool_or("in_base").alias("has_base"),
+            F.bool_or("in_tuned").alias("has_tuned"),
+            F.map_from_entries(F.sort_array(F.collect_list(shared))).alias("comparison"),
+        )
+        .withColumn("comparison", F.when(F.size("comparison") > 0, F.col("comparison")))
     )
-    return sides.join(compared, "model", "left")
 
 
 def leaderboard(scores: DataFrame, tasks: Sequence[str] | None = None) -> DataFrame:
@@ -203,8 +217,8 @@ def invalid_tasks(requested: DataFrame, valid: DataFrame) -> DataFrame:
 def suggest_tasks(invalid: DataFrame, valid: DataFrame, n: int = 3) -> DataFrame:
     """Up to ``n`` valid names, in order, that contain the invalid one in any case.
 
-    Containment becomes an equality: a name contains exactly its substrings, of which
-    each keeps its first ``n`` names before the join. So no name meets every other.
+    Containment becomes an equality: a name contains exactly its substrings. Those
+    asked for keep their first ``n`` names, so no name meets every other.
     Truthfulness tasks get a fixed hint instead.
     """
     wanted = invalid.select("task", F.lower("task").alias("__part")).distinct()
@@ -223,11 +237,13 @@ def suggest_tasks(invalid: DataFrame, valid: DataFrame, n: int = 3) -> DataFrame
                 lambda k: F.col("__low").substr(F.col("__from"), k),
             )
         ).alias("__part"),
-    ).distinct()
+    )
+    asked = wanted.filter(~hint)
+    matching = parts.join(asked.select("__part").distinct(), "__part", "left_semi").distinct()
     first = Window.partitionBy("__part").orderBy("suggestion")
     # A row number under a limit is cut down per task before the shuffle.
-    ranked = parts.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= n)
-    similar = wanted.filter(~hint).join(ranked, "__part").select("task", "suggestion", "rank")
+    ranked = matching.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= n)
+    similar = asked.join(ranked, "__part").select("task", "suggestion", "rank")
     fixed = wanted.filter(hint).select(
         "task", F.posexplode(F.array(*[F.lit(t) for t in TRUTHFUL_HINT])).alias("rank", "suggestion")
     )

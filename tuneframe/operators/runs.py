@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tuneframe.functions.names import backup_name, backup_parts
-from tuneframe.plans.ordered import GROUP_CAP, number_rows, running, with_halo
+from tuneframe.plans.ordered import GROUP_CAP, running, with_halo
 from tuneframe.plans.skew import join_keyed
 
 LOSS_COLUMNS = ("step", "epoch", "loss", "learning_rate", "grad_norm")
@@ -114,9 +114,9 @@ def loss_health(
     ``spike`` times that mean is a spike, within ``plateau`` of it a plateau. A long
     run is cut into blocks that overlap by the window.
     """
-    rows = number_rows(loss_rows(log, run), [order], [run], "rn", group_cap)
-    best = running(rows, {"best_loss": ("min", F.col("loss"))}, ["rn"], [run], group_cap)
-    blocks = with_halo(best, "rn", window, block)
+    totals = {"rn": ("count", F.lit(1)), "best_loss": ("min", F.col("loss"))}
+    rows = running(loss_rows(log, run), totals, [order], [run], group_cap)
+    blocks = with_halo(rows, "rn", window, block)
     frame = Window.partitionBy(run, "block").orderBy("rn")
     judged = blocks.withColumns(
         {
@@ -132,7 +132,7 @@ def loss_health(
         .when(change > 0, "rising")
         .otherwise("falling")
     )
-    return judged.withColumn("health", health).drop("block", "is_halo")
+    return judged.withColumn("health", health).drop("block", "is_halo", "rn")
 
 
 def compare_runs(runs: DataFrame, comparison: DataFrame, task: str | None = None) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tuneframe.operators.evals import compare, latest_scores, normalise_metrics
+from tuneframe.operators.evals import compare, keep_latest, latest_runs, latest_scores, normalise_metrics
 from tuneframe.sources.results import one_file_per_run, parse_eval_results, read_eval_results
 
 
@@ -14,9 +14,12 @@ def load_scores(spark: SparkSession, root: str, skip_empty: bool = False) -> Dat
     A newest run without scores hides older ones unless ``skip_empty`` is set.
     """
     files = read_eval_results(spark, root)
+    if not skip_empty:
+        # The run is chosen from paths alone, and only its documents are parsed.
+        files = keep_latest(files, latest_runs(files), ["run_ts", "file"])
     raw = parse_eval_results(one_file_per_run(files), "model", "variant", "run_ts")
     scores = normalise_metrics(raw)
-    return latest_scores(scores, None if skip_empty else files)
+    return latest_scores(scores) if skip_empty else scores
 
 
 def compare_models(spark: SparkSession, root: str, skip_empty: bool = False) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,8 +13,8 @@ SALTS = 64
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Check the row count of a table of keys; stops reading one row past the limit."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Check the row count of a table of keys."""
+    return df.count() <= max_rows
 
 
 def salted_join(
@@ -37,7 +38,11 @@ def join_keyed(
     how: str = "inner",
     max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Broadcast the keyed side if its checked size allows it, else join on salted keys."""
-    if fits_broadcast(one, max_rows):
-        return many.join(F.broadcast(one), list(on), how)
-    return salted_join(many, one, on, spread, how)
+    """Broadcast the keyed side if its checked size allows it, else join on salted keys.
+
+    The keyed side is kept for the join that follows the check, so it is computed once.
+    """
+    keyed = one.persist(StorageLevel.MEMORY_AND_DISK)
+    if fits_broadcast(keyed, max_rows):
+        return many.join(F.broadcast(keyed), list(on), how)
+    return salted_join(many, keyed, on, spread, how)

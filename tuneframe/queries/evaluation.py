@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tuneframe.functions import verdicts
@@ -21,19 +21,26 @@ KEYS = (
 KEYS_SQL = "[" + ", ".join(f"'{k}'" for k in KEYS) + "]"
 
 
+def run_columns() -> list[Column]:
+    """User pairs as models, the odd user as the fine-tuned variant, ten-day spans as its runs."""
+    tuned = F.col("user_id") % 2 == 1
+    return [
+        F.concat(F.lit("m"), F.floor(F.col("user_id") / 2)).alias("model"),
+        F.when(tuned, B.TUNED).otherwise(B.BASE).alias("variant"),
+        F.when(tuned, F.substring(F.date_format("ts", "yyyy-MM-dd"), 1, 9)).alias("run_ts"),
+    ]
+
+
 def raw_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as metric entries: user pairs are models, ten-day spans are runs, types are tasks.
+    """Events as metric entries, their types as tasks.
 
     A later event overwrites an earlier one of the same key, as in a document.
     """
     k = F.get_json_object("props", "$.k").cast("int")
-    tuned = F.col("user_id") % 2 == 1
     return (
         table(spark, sf_dir, "events")
         .groupBy(
-            F.concat(F.lit("m"), F.floor(F.col("user_id") / 2)).alias("model"),
-            F.when(tuned, B.TUNED).otherwise(B.BASE).alias("variant"),
-            F.when(tuned, F.substring(F.date_format("ts", "yyyy-MM-dd"), 1, 9)).alias("run_ts"),
+            *run_columns(),
             F.col("event_type").alias("task"),
             F.element_at(F.array(*[F.lit(key) for key in KEYS]), k % len(KEYS) + 1).alias("key"),
         )
@@ -50,7 +57,7 @@ SCORES_SQL = f"""{RAW_SQL}, named AS (SELECT *, replace(replace(key, ',none', ''
 scores AS (SELECT model, variant, run_ts, task, metric, max(key) FILTER (NOT err) AS key,
   max(value) FILTER (NOT err) AS value, max(value) FILTER (err) AS stderr
   FROM named GROUP BY ALL HAVING count(*) FILTER (NOT err) > 0)"""
-CURRENT_SQL = f"""{SCORES_SQL}, newest AS (SELECT model, max(run_ts) AS run_ts FROM scores WHERE variant = 'fine-tuned'
+CURRENT_SQL = f"""{SCORES_SQL}, newest AS (SELECT model, max(run_ts) AS run_ts FROM raw WHERE variant = 'fine-tuned'
   GROUP BY model),
 current AS (SELECT s.* FROM scores s LEFT JOIN newest n ON s.model = n.model
   WHERE s.variant = 'base' OR s.run_ts = n.run_ts)"""
@@ -72,7 +79,8 @@ def normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def current_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return B.latest_scores(normalised(spark, sf_dir))
+    """Scores of the newest runs, which are found from the list of runs alone."""
+    return B.latest_scores(normalised(spark, sf_dir), table(spark, sf_dir, "events").select(*run_columns()))
 
 
 # ---- documents

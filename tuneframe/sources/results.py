@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tuneframe.operators.evals import BASE, TUNED, summary
+from tuneframe.plans.skew import join_keyed
 
 # Fixed value: where a result file lies below the output root.
 RESULT_PATH = r"([^/]+)/benchmarks/(base|fine-tuned)/(?:([^/]+)/)?lm-eval/(?:.*/)?(results_[^/]*\.json)$"
@@ -43,13 +44,11 @@ def one_file_per_run(files: DataFrame, by: str = "file") -> DataFrame:
     Only names are compared in the aggregation; the bodies are fetched by a join with
     its result.
     """
-    key = ["model", "variant", "run_ts"]
+    key = ["model", "variant", "__run"]
+    named = files.withColumn("__run", F.coalesce("run_ts", F.lit("")))
     order = F.struct(F.col(by), F.col("file"))
-    chosen = files.groupBy(*key).agg(F.max(order).alias("__best")).select(*key, F.col("__best.file").alias("file"))
-    match = files["file"] == chosen["file"]
-    for name in key:
-        match = match & files[name].eqNullSafe(chosen[name])
-    return files.join(chosen, match, "left_semi")
+    chosen = named.groupBy(*key).agg(F.max(order).alias("__best")).select(*key, F.col("__best.file").alias("file"))
+    return join_keyed(named, chosen, [*key, "file"], ["file"], "left_semi").select(*files.columns)
 
 
 def task_results(document: Column) -> Column:

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tuneframe.plans.ordered import number_rows
+
 
 def load_splits(spark: SparkSession, paths: Mapping[str, str], split: str | None = "all") -> DataFrame:
     """One split, or all of them in one table with a ``split`` column.
@@ -26,6 +28,18 @@ def load_jsonl(spark: SparkSession, path: str, schema: T.StructType | str) -> Da
     return spark.read.schema(schema).json(path)
 
 
-def limit_samples(df: DataFrame, n: int, order_key: str) -> DataFrame:
-    """The first ``n`` rows by key; 0 keeps everything."""
-    return df.orderBy(order_key).limit(n) if n > 0 else df
+SORTED_ROWS = 100_000
+
+
+def limit_samples(df: DataFrame, n: int, order_key: str, sorted_rows: int = SORTED_ROWS) -> DataFrame:
+    """The first ``n`` rows by a unique key; 0 keeps everything.
+
+    A sorted limit ends in one task, so beyond ``sorted_rows`` the keys are numbered in
+    parallel and the rows up to the n-th key are read by a filter on it.
+    """
+    if n <= 0:
+        return df
+    if n <= sorted_rows:
+        return df.orderBy(order_key).limit(n)
+    last = number_rows(df.select(order_key), [order_key]).filter(F.col("rn") == n).first()
+    return df.filter(F.col(order_key) <= F.lit(last[order_key])) if last else df
