@@ -46,7 +46,7 @@ def one_file_per_run(files: DataFrame, by: str = "file") -> DataFrame:
     """
     key = ["model", "variant", "__run"]
     named = files.withColumn("__run", F.coalesce("run_ts", F.lit("")))
-    order = F.struct(F.col(by), F.col("file"))
+    order = F.struct(F.col(by).alias("by"), F.col("file"))
     chosen = named.groupBy(*key).agg(F.max(order).alias("__best")).select(*key, F.col("__best.file").alias("file"))
     return join_keyed(named, chosen, [*key, "file"], ["file"], "left_semi").select(*files.columns)
 
