@@ -115,22 +115,23 @@ def backup_name(date: Column, rank: Column, rate: Column, loss: Column) -> Colum
 
 def backup_parts(name: Column) -> Column:
     """Date, time, rank, rate and loss of a backup name; a part not found is ``unknown``."""
-    parts = F.split(name, "_")
     unknown = F.lit("unknown")
-    date, time = F.get(parts, F.lit(0)), F.get(parts, F.lit(1))
-    tagged = F.slice(parts, 3, F.greatest(F.size(parts), F.lit(1)))
+    date = F.substring_index(name, "_", 1)
+    time = F.substring_index(F.substring_index(name, "_", 2), "_", -1)
 
-    def spread(text: Column, width: int, pattern: str, form: str) -> Column:
-        known = (F.size(parts) >= 2) & (F.length(text) == width)
-        return F.when(known, F.regexp_replace(text, pattern, form)).otherwise(unknown)
+    def spread(part: Column, first: int, joint: str) -> Column:
+        cut = F.concat_ws(joint, part.substr(1, first), part.substr(first + 1, 2), part.substr(first + 3, 2))
+        return F.when(name.contains("_") & (F.length(part) == first + 4), cut).otherwise(unknown)
 
     def last_with(tag: str) -> Column:
-        found = F.filter(tagged, lambda p: p.startswith(tag))
-        return F.coalesce(F.replace(F.get(F.reverse(found), F.lit(0)), F.lit(tag), F.lit("")), unknown)
+        # The greedy middle leads to the last part with the tag behind the first two parts.
+        pattern = f"^[^_]*_[^_]*(?:_[^_]*)*_{tag}([^_]*)"
+        rest = F.replace(F.regexp_extract(name, pattern, 1), F.lit(tag), F.lit(""))
+        return F.when(name.rlike(pattern), rest).otherwise(unknown)
 
     return F.struct(
-        spread(date, 8, "^(.{4})(.{2})(.{2})$", "$1-$2-$3").alias("date"),
-        spread(time, 6, "^(.{2})(.{2})(.{2})$", "$1:$2:$3").alias("time"),
+        spread(date, 4, "-").alias("date"),
+        spread(time, 2, ":").alias("time"),
         last_with("rank").alias("rank"),
         last_with("lr").alias("lr"),
         last_with("loss").alias("loss"),

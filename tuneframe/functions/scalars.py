@@ -28,19 +28,19 @@ def fixed_point(value: Column, digits: int) -> Column:
     """Text with ``digits`` decimals, rounded as C and Python do.
 
     They round the exact binary value, ties to the even digit; Java rounds the shortest
-    decimal form, ties up. The two differ near ties, so the distance to the tie is
-    computed without rounding: a split leaves both halves short enough for exact products.
+    decimal form, ties up. The two part only where that form is a tie, so a value that
+    has to go down is moved down by a hair first. Its distance to the tie is exact:
+    split into a float and the rest, both products fit a double.
     """
-    size = F.abs(value.cast("double"))
+    number = value.cast("double")
+    size = F.abs(number)
     scale = 2.0 * 10**digits
-    spread = size * float(2**15 + 1)
-    high = spread - (spread - size)
-    low = size - high
+    high = size.cast("float").cast("double")
     below = F.floor(size * 10.0**digits)
-    past_tie = (high * scale - (below * 2 + 1)) + low * scale
-    up = (past_tie > 0) | ((past_tie == 0) & (below % 2 == 1))
-    rounded = F.when(up, below + 1).otherwise(below) / 10.0**digits
-    return F.concat(F.when(value < 0, "-").otherwise(""), F.format_string(f"%.{digits}f", rounded))
+    past_tie = (high * scale - (below * 2 + 1)) + (size - high) * scale
+    # At the tie itself only an even digit below keeps the value down.
+    goes_down = past_tie < F.when(below % 2 == 0, F.lit(5e-324)).otherwise(F.lit(0.0))
+    return F.format_string(f"%.{digits}f", number * F.when(goes_down, 1.0 - 2.0**-52).otherwise(1.0))
 
 
 def human_size(size: Column) -> Column:

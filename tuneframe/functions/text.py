@@ -66,11 +66,11 @@ def estimate_tokens(text: Column) -> Column:
 def count_tokens(text: Column, pattern: str = TOKEN_PATTERN) -> Column:
     """Number of tokens, computed inside the JVM.
 
-    For the default pattern each word run shrinks to one character and blanks
-    vanish, so the string length is the count and no token array is built.
+    For the default pattern each word shrinks to its first character and blanks
+    vanish in one pass, so the string length is the count and no token array is built.
     """
     if pattern == TOKEN_PATTERN:
-        shrunk = F.translate(F.regexp_replace(text, "[A-Za-z0-9]+", "a"), " \t\r\n", "")
+        shrunk = F.regexp_replace(text, r"([A-Za-z0-9])[A-Za-z0-9]*+[ \t\r\n]*+|[ \t\r\n]++", "$1")
         return F.coalesce(F.length(shrunk), F.lit(0))
     return F.coalesce(F.regexp_count(text, F.lit(pattern)), F.lit(0))
 

@@ -39,6 +39,8 @@ EXPECTED_SCORES = {
 # Fixed value: the tasks named to whoever asks for a misspelt truthfulness task.
 TRUTHFUL_HINT = ("truthfulqa_mc1", "truthfulqa_mc2")
 
+MAX_TASKS = 10_000
+
 _SCORE_KEY = ("model", "variant", "run_ts", "task")
 
 
@@ -188,19 +190,25 @@ def summary(scores: DataFrame) -> DataFrame:
 def leaderboard(scores: DataFrame, tasks: Sequence[str] | None = None) -> DataFrame:
     """Models and variants by task, four decimals or a dash; models without tuned scores are left out.
 
-    ``scores`` has at most one run per model and variant. Without ``tasks`` the sorted
-    task names are read first; Spark refuses a pivot over more than its limit of them.
+    ``scores`` has at most one run per model and variant. Without ``tasks`` their names
+    are read first; they become columns, so more than ``MAX_TASKS`` are refused.
     """
+    names = sorted(tasks) if tasks is not None else task_names(scores)
     best = primary_metric(scores, "leaderboard")
     text = best.withColumn("shown", fixed_point(F.col("value"), 4))
-    pivot = text.groupBy("model", "variant").pivot("task", sorted(tasks)) if tasks else (
-        text.groupBy("model", "variant").pivot("task")
-    )
-    table = pivot.agg(F.first("shown"))
-    names = [c for c in table.columns if c not in ("model", "variant")]
+    table = text.groupBy("model", "variant").pivot("task", names).agg(F.first("shown"))
     filled = table.select("model", "variant", *[F.coalesce(F.col(f"`{c}`"), F.lit("-")).alias(c) for c in names])
-    tuned = scores.filter(F.col("variant") == TUNED).select("model").distinct()
-    return filled.join(tuned, "model", "left_semi")
+    # A model has two rows here at most.
+    has_tuned = F.bool_or(F.col("variant") == TUNED).over(Window.partitionBy("model"))
+    return filled.withColumn("__tuned", has_tuned).filter("__tuned").drop("__tuned")
+
+
+def task_names(rows: DataFrame, max_tasks: int = MAX_TASKS) -> list[str]:
+    """The sorted names in the column ``task``."""
+    found = [r["task"] for r in rows.select("task").distinct().limit(max_tasks + 1).collect()]
+    if len(found) > max_tasks:
+        raise ValueError(f"more than {max_tasks} tasks; name the ones to show")
+    return sorted(found)
 
 
 def baseline_gap(best: DataFrame, expected: DataFrame) -> DataFrame:
