@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tuneframe.functions.templates import ChatTemplate, get_template
@@ -95,36 +95,57 @@ def filter_length(df: DataFrame, limits: LengthLimits) -> DataFrame:
     return df.filter(F.col("length") <= limits.max_seq_length)
 
 
-def stats_columns(limits: LengthLimits) -> list[Column]:
-    """Aggregates over ``length`` and ``zone``; also usable in ``observe``.
+def length_histogram(lengths: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Samples ``n`` per length, and the length's ``rank``: the samples up to it.
 
-    The percentile runs over descending lengths, which gives the element at n // 2
-    of the ascending order. Its buffer holds distinct lengths with their counts.
+    Counting by length first leaves one row per distinct length, spread over the
+    cluster whatever the share of a group. Only those rows meet in a window: there
+    are no more of them than the longest sample has tokens.
     """
-    total = F.count(F.lit(1))
-    too_long = F.count_if(F.col("length") > limits.max_seq_length)
-    borderline = F.count_if(F.col("zone") == BORDERLINE)
-    share = lambda part: F.when(total > 0, part * 100.0 / total).otherwise(F.lit(0.0))
-    zero = F.lit(0)
+    counts = lengths.groupBy(*by, "length").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("zone") == BORDERLINE).alias("borderline")
+    )
+    order = Window.partitionBy(*by).orderBy("length")
+    known = F.when(F.col("length").isNotNull(), F.col("n"))
+    return counts.withColumns(
+        {
+            "rank": F.sum(known).over(order.rowsBetween(Window.unboundedPreceding, 0)),
+            "total": F.coalesce(F.sum(known).over(Window.partitionBy(*by)), F.lit(0)),
+        }
+    )
+
+
+def _mean_and_upper_median() -> list[Column]:
+    """The median is the element at total // 2 of the ascending lengths."""
+    total = F.sum(F.when(F.col("length").isNotNull(), F.col("n")))
+    middle = F.floor(F.col("total") / 2)
     return [
-        total.alias("total"),
-        F.coalesce(F.max("length"), zero).alias("max_length"),
-        F.coalesce(F.avg("length"), F.lit(0.0)).alias("avg_length"),
-        F.coalesce(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY length DESC)"), F.lit(0.0))
-        .cast("int")
-        .alias("median_length"),
-        too_long.alias("too_long"),
-        share(too_long).alias("too_long_pct"),
-        borderline.alias("borderline"),
-        share(borderline).alias("borderline_pct"),
-        F.when(too_long > total * 0.2, F.max("length")).alias("suggested_max_length"),
+        F.coalesce(F.sum(F.col("length") * F.col("n")) / total, F.lit(0.0)).alias("avg_length"),
+        F.coalesce(F.min(F.when(F.col("rank") > middle, F.col("length"))), F.lit(0)).alias("median_length"),
     ]
 
 
 def length_stats(lengths: DataFrame, limits: LengthLimits, by: Sequence[str] = ()) -> DataFrame:
     """Totals of the length check, with a higher limit to use where over 20% are too long."""
-    columns = stats_columns(limits)
-    return lengths.groupBy(*by).agg(*columns) if by else lengths.agg(*columns)
+    zero = F.lit(0)
+    total = F.coalesce(F.sum("n"), zero)
+    too_long = F.coalesce(F.sum(F.when(F.col("length") > limits.max_seq_length, F.col("n"))), zero)
+    borderline = F.coalesce(F.sum("borderline"), zero)
+    share = lambda part: F.coalesce(F.try_divide(part * 100.0, total), F.lit(0.0))
+    return (
+        length_histogram(lengths, by)
+        .groupBy(*by)
+        .agg(
+            total.alias("total"),
+            F.coalesce(F.max("length"), zero).alias("max_length"),
+            *_mean_and_upper_median(),
+            too_long.alias("too_long"),
+            share(too_long).alias("too_long_pct"),
+            borderline.alias("borderline"),
+            share(borderline).alias("borderline_pct"),
+            F.when(too_long > total * 0.2, F.max("length")).alias("suggested_max_length"),
+        )
+    )
 
 
 def prep_metadata(
@@ -142,10 +163,10 @@ def prep_metadata(
         F.lit(dataset_name).alias("dataset_name"),
         F.lit(preprocessing_date).alias("preprocessing_date"),
     ]
-    original = F.count(F.lit(1)).alias("original_samples")
     if not checked:
         unknown = F.lit(None)
-        return df.agg(original, F.count_if(usable).alias("valid_samples")).select(
+        counts = df.agg(F.count(F.lit(1)).alias("original_samples"), F.count_if(usable).alias("valid_samples"))
+        return counts.select(
             "*",
             unknown.cast("int").alias("max_length"),
             unknown.cast("double").alias("avg_length"),
@@ -153,20 +174,20 @@ def prep_metadata(
             F.lit(0).cast("bigint").alias("filtered_count"),
             *tail,
         )
-    lengths = add_lengths(df, limits, text).select(
-        F.when(usable, F.col("length")).alias("length")
-    )
+    lengths = add_lengths(df, limits, text).select("zone", F.when(usable, F.col("length")).alias("length"))
+    part = lambda condition: F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
     fits = F.col("length") <= limits.max_seq_length
-    return lengths.agg(
-        original,
-        F.count_if(fits).alias("valid_samples"),
-        F.coalesce(F.max("length"), F.lit(0)).alias("max_length"),
-        F.coalesce(F.avg("length"), F.lit(0.0)).alias("avg_length"),
-        F.coalesce(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY length DESC)"), F.lit(0.0))
-        .cast("int")
-        .alias("median_length"),
-        F.count_if(~fits).alias("filtered_count"),
-    ).select("*", *tail)
+    return (
+        length_histogram(lengths)
+        .agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("original_samples"),
+            part(fits).alias("valid_samples"),
+            F.coalesce(F.max("length"), F.lit(0)).alias("max_length"),
+            *_mean_and_upper_median(),
+            part(~fits).alias("filtered_count"),
+        )
+        .select("*", *tail)
+    )
 
 
 def truncate_to(df: DataFrame, max_tokens: int, text: str = "text", pattern: str = TOKEN_PATTERN) -> DataFrame:

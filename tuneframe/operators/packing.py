@@ -16,10 +16,12 @@ def seeded_shuffle(df: DataFrame, key: str, seed: int) -> DataFrame:
     """Add ``position`` from 0 in an order fixed by the seed and the sample keys.
 
     The hash spreads the keys evenly over range partitions whatever they look like.
+    Only the unique keys are numbered; other columns join their positions.
     """
-    keyed = df.withColumn("shuffle_key", shuffle_key(seed, F.col(key)))
+    keyed = df.select(key).withColumn("shuffle_key", shuffle_key(seed, F.col(key)))
     numbered = number_rows(keyed, ["shuffle_key", key], name="__rn")
-    return numbered.withColumn("position", F.col("__rn") - 1).drop("__rn")
+    positions = numbered.select(key, "shuffle_key", (F.col("__rn") - 1).alias("position"))
+    return positions if df.columns == [key] else df.join(positions, key)
 
 
 def assign_steps(df: DataFrame, batch: int, accumulation: int, position: str = "position") -> DataFrame:
@@ -35,10 +37,14 @@ def pack_sequences(df: DataFrame, max_seq_length: int, *order: str, length: str
     """Lay the samples end to end and cut every ``max_seq_length`` tokens.
 
     Adds ``start`` and the first and last block a sample lies in. ``order`` names
-    columns that together are unique.
+    columns that together are unique; only they and the lengths are laid out, other
+    columns join them.
     """
     size = F.col(length).cast("bigint")
-    summed = running(df, {"__end": ("sum", size)}, order)
+    narrow = [*order, length]
+    summed = running(df.select(*narrow), {"__end": ("sum", size)}, order)
+    if set(df.columns) != set(narrow):
+        summed = df.drop(length).join(summed, list(order))
     start = F.col("__end") - size
     last = start + F.greatest(size, F.lit(1)) - 1
     return summed.withColumns(

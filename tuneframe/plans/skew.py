@@ -45,4 +45,5 @@ def join_keyed(
     keyed = one.persist(StorageLevel.MEMORY_AND_DISK)
     if fits_broadcast(keyed, max_rows):
         return many.join(F.broadcast(keyed), list(on), how)
-    return salted_join(many, keyed, on, spread, how)
+    keyed.unpersist()
+    return salted_join(many, one, on, spread, how)

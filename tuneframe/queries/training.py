@@ -170,19 +170,22 @@ def backup_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 PARTS_SQL = r"""parsed AS (SELECT *, string_split(backup_name, '_') AS p FROM named),
 parts AS (SELECT *, CASE WHEN length(p[1]) = 8 THEN p[1][1:4] || '-' || p[1][5:6] || '-' || p[1][7:8] ELSE 'unknown' END AS date,
   CASE WHEN length(p[2]) = 6 THEN p[2][1:2] || ':' || p[2][3:4] || ':' || p[2][5:6] ELSE 'unknown' END AS time,
-  coalesce(nullif(regexp_extract(backup_name, '^[^_]*_[^_]*.*_rank([^_]*)', 1), ''), 'unknown') AS rank,
-  coalesce(nullif(regexp_extract(backup_name, '^[^_]*_[^_]*.*_lr([^_]*)', 1), ''), 'unknown') AS lr,
-  coalesce(nullif(regexp_extract(backup_name, '^[^_]*_[^_]*.*_loss([^_]*)', 1), ''), 'unknown') AS loss FROM parsed)"""
+  CASE WHEN regexp_matches(backup_name, '^[^_]*_[^_]*.*_rank') THEN regexp_extract(backup_name, '^[^_]*_[^_]*.*_rank([^_]*)', 1)
+  ELSE 'unknown' END AS rank,
+  CASE WHEN regexp_matches(backup_name, '^[^_]*_[^_]*.*_lr') THEN regexp_extract(backup_name, '^[^_]*_[^_]*.*_lr([^_]*)', 1)
+  ELSE 'unknown' END AS lr,
+  CASE WHEN regexp_matches(backup_name, '^[^_]*_[^_]*.*_loss') THEN regexp_extract(backup_name, '^[^_]*_[^_]*.*_loss([^_]*)', 1)
+  ELSE 'unknown' END AS loss FROM parsed)"""
 
 
 @query(
     f"""WITH {BACKUPS_SQL}, named AS (SELECT "order", CASE WHEN "order" % 9 = 0 THEN substr(backup_name, 1, 15) || '_current'
-    ELSE backup_name END AS backup_name FROM backups WHERE o_orderstatus <> 'P'), {PARTS_SQL}
+    ELSE backup_name END AS backup_name FROM backups), {PARTS_SQL}
 SELECT "order", backup_name, date, time, rank, lr, loss FROM parts"""
 )
 def parse_backup_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Names of runs with a date; some stand for the present state and carry no settings."""
-    named = backed_up(spark, sf_dir).filter(F.col("timestamp").isNotNull())
+    """Some names stand for the present state and carry no settings; some have no date."""
+    named = backed_up(spark, sf_dir)
     current = F.concat(F.substring("backup_name", 1, 15), F.lit("_current"))
     names = named.select("order", F.when(F.col("order") % 9 == 0, current).otherwise(F.col("backup_name")).alias("backup_name"))
     return M.parse_backup_names(names)

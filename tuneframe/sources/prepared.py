@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tuneframe.functions.text import LengthLimits
-from tuneframe.operators.lengths import add_lengths, filter_length, stats_columns
+from tuneframe.operators.lengths import add_lengths, filter_length, length_histogram
 
 METADATA_SCHEMA = T.StructType(
     [
@@ -32,30 +32,51 @@ def write_prepared(
 ) -> dict:
     """Check, filter and write rendered samples, and return their metadata.
 
-    The counts are observed while the table is written, so the samples are rendered once.
+    Counts, sum and maximum are observed while the table is written, so the samples
+    are rendered once. The median is looked up afterwards among the lengths written,
+    which all come before the ones filtered out.
     """
     before, after = Observation(), Observation()
-    counted = samples.observe(before, F.count(F.lit(1)).alias("original_samples"))
-    lengths = add_lengths(counted.filter(F.length("text") > 0), limits).observe(after, *stats_columns(limits))
+    counted = samples.observe(before, F.count(F.lit(1)).alias("original"))
+    lengths = add_lengths(counted.filter(F.length("text") > 0), limits).observe(
+        after,
+        F.count(F.lit(1)).alias("total"),
+        F.max("length").alias("max"),
+        F.sum(F.col("length").cast("bigint")).alias("sum"),
+        F.count_if(F.col("length") > limits.max_seq_length).alias("too_long"),
+    )
     kept = filter_length(lengths, limits).drop("estimated_length", "zone", "length")
     kept.write.mode("overwrite").parquet(f"{path}/data")
-    stats = after.get
+
+    spark, stats = samples.sparkSession, after.get
+    total, valid = stats["total"], stats["total"] - stats["too_long"]
+    middle = total // 2
+    if middle < valid:
+        median = _length_at(add_lengths(read_prepared(spark, path), limits), middle)
+    else:
+        long = add_lengths(samples.filter(F.length("text") > 0), limits).filter(F.col("length") > limits.max_seq_length)
+        median = _length_at(long, middle - valid)
     row = {
-        "original_samples": before.get["original_samples"],
-        "valid_samples": stats["total"] - stats["too_long"],
-        "max_length": stats["max_length"],
-        "avg_length": stats["avg_length"],
-        "median_length": stats["median_length"],
+        "original_samples": before.get["original"],
+        "valid_samples": valid,
+        "max_length": stats["max"] or 0,
+        "avg_length": stats["sum"] / total if total else 0.0,
+        "median_length": median,
         "filtered_count": stats["too_long"],
         "max_seq_length": limits.max_seq_length,
         "dataset_name": dataset_name,
         "preprocessing_date": preprocessing_date,
     }
-    spark = samples.sparkSession
     spark.createDataFrame([row], METADATA_SCHEMA).coalesce(1).write.mode("overwrite").json(f"{path}/metadata")
     return row
 
 
+def _length_at(lengths: DataFrame, position: int) -> int:
+    """The length at a position of the ascending order, from 0."""
+    found = length_histogram(lengths).filter(F.col("rank") > position).agg(F.min("length")).first()[0]
+    return found or 0
+
+
 def read_prepared(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/data")
 
