@@ -41,9 +41,10 @@ def test_final_loss(log, runs):
     assert {r["run"]: r["final_loss"] for r in M.final_loss(log, runs).collect()} == {1: 1.5, 2: 2.5, 3: 9.0, 4: None}
 
 
-def test_loss_csv(spark, log, tmp_path):
+@pytest.mark.parametrize("per_run", [False, True])
+def test_loss_csv(spark, log, tmp_path, per_run):
     path = str(tmp_path / "loss")
-    R.write_loss_history(M.loss_rows(log), path)
+    R.write_loss_history(M.loss_rows(log), path, per_run=per_run)
     back = R.read_loss_history(spark, path).withColumn("run", F.col("run").cast("int"))
     assert sorted(map(str, back.select(*M.loss_rows(log).columns).collect())) == sorted(map(str, M.loss_rows(log).collect()))
 
@@ -154,6 +155,15 @@ def test_standard_errors_in_both_spellings(spark, outputs):
     assert rows[("gsm8k", "exact_match")] is None
 
 
+def test_one_file_per_run(spark):
+    files = spark.createDataFrame(
+        [("m", "base", None, "results_1.json", 9, "a"), ("m", "base", None, "results_2.json", 5, "b"), ("m", "fine-tuned", "r", "results_1.json", 1, "c")],
+        "model string, variant string, run_ts string, file string, modified int, body string",
+    )
+    assert {r["body"] for r in S.one_file_per_run(files).collect()} == {"b", "c"}
+    assert {r["body"] for r in S.one_file_per_run(files, "modified").collect()} == {"a", "c"}
+
+
 def test_malformed_and_legacy(spark):
     docs = spark.createDataFrame(
         [(1, '{"huggingface": {"t": {"acc,none": 1}}}'), (2, "{broken"), (3, "{}"), (4, '{"results": {"t": {"a": 1.5, "b": null}}}')],
@@ -207,8 +217,7 @@ def test_summary_documents(spark, outputs, tmp_path):
 def test_expected_scores(spark):
     best = spark.createDataFrame([("m", "base", None, "ifeval", "acc", 0.5), ("m", "base", None, "x", "acc", 0.5)],
                                  "model string, variant string, run_ts string, task string, metric string, value double")
-    expected = spark.createDataFrame(list(B.EXPECTED_SCORES.items()), "task string, expected double")
-    assert {r["task"]: r["gap"] for r in B.baseline_gap(best, expected).collect()} == {"ifeval": 0.5 - 0.45, "x": None}
+    assert {r["task"]: r["gap"] for r in B.baseline_gap(best, B.expected_scores(spark)).collect()} == {"ifeval": 0.5 - 0.45, "x": None}
 
 
 def test_tasks(spark):

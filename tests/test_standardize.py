@@ -118,6 +118,17 @@ def test_unrenderable_is_empty(spark):
     assert render_chat(system, "gemma").first()["text"] == ""
 
 
+@pytest.mark.parametrize("name", sorted(TEMPLATES))
+def test_parts_put_together_give_the_text(spark, name):
+    turns = spark.createDataFrame(
+        [(1, t, "user" if t % 2 == 0 else "assistant", f"t{t}") for t in range(7)],
+        "conv_id long, turn long, role string, text string",
+    )
+    whole = render_chat(S.nest_turns(turns), name).first()["text"]
+    parts = render_chat(S.nest_turns(turns, part_turns=3), name).orderBy("part").collect()
+    assert len(parts) == 3 and "".join(r["text"] for r in parts) == whole
+
+
 def test_template_lookup():
     with pytest.raises(ValueError):
         get_template("mistral")

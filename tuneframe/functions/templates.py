@@ -36,14 +36,20 @@ class ChatTemplate:
             chosen = chosen.when(role == name, F.concat(F.lit(before), body, F.lit(after)))
         return chosen.otherwise(F.lit(None).cast("string"))
 
-    def render(self, messages: Column) -> Column:
-        """All messages in one text; empty if there are none or one cannot be rendered."""
+    def render(self, messages: Column, starts: Column | None = None) -> Column:
+        """All messages in one text; empty if there are none or one cannot be rendered.
+
+        Where ``starts`` is false the messages continue a conversation without an opening.
+        """
+        opening = F.lit(self.opening)
+        if starts is not None and self.opening:
+            opening = F.when(starts, opening).otherwise("")
         broken = F.exists(
             messages,
             lambda m: F.coalesce(~m["role"].isin(*self.roles), F.lit(True)) | m["content"].isNull(),
         )
         pieces = F.transform(messages, lambda m: self.piece(m["role"], m["content"]))
-        text = F.concat(F.lit(self.opening), F.array_join(pieces, ""))
+        text = F.concat(opening, F.array_join(pieces, ""))
         usable = F.coalesce((F.size(messages) > 0) & ~broken, F.lit(False))
         return F.when(usable, text).otherwise("")
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tuneframe.functions.scalars import fixed_point
@@ -211,6 +211,10 @@ def task_names(rows: DataFrame, max_tasks: int = MAX_TASKS) -> list[str]:
     return sorted(found)
 
 
+def expected_scores(spark: SparkSession, scores: Mapping[str, float] = EXPECTED_SCORES) -> DataFrame:
+    return spark.createDataFrame(list(scores.items()), "task string, expected double")
+
+
 def baseline_gap(best: DataFrame, expected: DataFrame) -> DataFrame:
     """Primary scores against ``expected(task, expected)``, one row per task."""
     joined = join_keyed(best, expected, ["task"], ["model", "run_ts"], "left")

@@ -33,7 +33,7 @@ def add_lengths(df: DataFrame, limits: LengthLimits, text: str = "text", pattern
 
 
 def _final(zone: Column, exact: Column) -> Column:
-    return F.when(zone == BORDERLINE, exact).otherwise(F.col("estimated_length")).cast("int")
+    return F.when(zone == BORDERLINE, exact).otherwise(F.col("estimated_length"))
 
 
 def add_lengths_with(
@@ -69,7 +69,8 @@ def conversation_lengths(
     Characters and tokens of a rendered conversation are the sums over its messages
     (templates part messages, see ``ChatTemplate``). So only numbers are shuffled, they
     are added up before the shuffle, and no conversation is gathered in one place.
-    A turn too long for any borderline conversation is not tokenised.
+    A turn too long for any borderline conversation is not tokenised. Lengths are 64-bit,
+    as a conversation may be longer than any text in one row.
     """
     shape = get_template(template)
     pieces = turns.select(conv, shape.piece(F.col(role), F.col(text)).alias("piece"))
@@ -84,7 +85,7 @@ def conversation_lengths(
     opening_tokens = count_tokens(F.lit(shape.opening))
     total = F.when(F.col("__broken"), 0).otherwise(F.col("__chars") + opening)
     return (
-        sums.withColumn("estimated_length", estimate_from_chars(total).cast("int"))
+        sums.withColumn("estimated_length", estimate_from_chars(total))
         .withColumn("zone", length_zone(F.col("estimated_length"), limits))
         .withColumn("length", _final(F.col("zone"), F.col("__tokens") + opening_tokens))
         .select(conv, total.alias("chars"), "estimated_length", "zone", "length")
@@ -99,8 +100,9 @@ def length_histogram(lengths: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Samples ``n`` per length, and the length's ``rank``: the samples up to it.
 
     Counting by length first leaves one row per distinct length, spread over the
-    cluster whatever the share of a group. Only those rows meet in a window: there
-    are no more of them than the longest sample has tokens.
+    cluster whatever the share of a group. Only those rows meet in a window. Distinct
+    lengths add up to at most all tokens, so t tokens have under sqrt(2 t) of them:
+    some seven million for 100 TB of text.
     """
     counts = lengths.groupBy(*by, "length").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("zone") == BORDERLINE).alias("borderline")

@@ -24,6 +24,17 @@ def flag_reasoning_messages(
     return df.withColumn("has_reasoning", F.exists(column, lambda m: has_reasoning(m["content"], markers)))
 
 
+def flag_reasoning_turns(
+    turns: DataFrame, conv: str = "conv_id", text: str = "text", markers: Sequence[str] = REASONING_MARKERS
+) -> DataFrame:
+    """The same per conversation given as turns; flags are combined before the shuffle."""
+    return (
+        turns.select(conv, has_reasoning(F.col(text), markers).alias("flag"))
+        .groupBy(conv)
+        .agg(F.bool_or("flag").alias("has_reasoning"))
+    )
+
+
 def _share(flag: str = "has_reasoning") -> list[Column]:
     share = F.avg(F.col(flag).cast("int"))
     return [

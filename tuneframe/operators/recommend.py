@@ -71,7 +71,7 @@ def current_plan(n: Column, max_steps: Column, batch: Column, accumulation: Colu
     """Steps, samples and epochs of the settings as they are; steps win over epochs."""
     effective = batch * accumulation
     by_steps = max_steps > 0
-    steps = F.when(by_steps, max_steps).otherwise(F.ceil(n / effective) * epochs)
+    steps = F.when(by_steps, max_steps).otherwise(F.ceil(F.try_divide(n.cast("double"), effective)) * epochs)
     return F.struct(
         steps.cast("bigint").alias("total_steps"),
         F.when(by_steps, max_steps * effective).cast("bigint").alias("samples_seen"),

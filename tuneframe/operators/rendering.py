@@ -33,8 +33,15 @@ def select_template(
 
 
 def render_chat(df: DataFrame, template: str | ChatTemplate = "chatml") -> DataFrame:
-    """Replace ``messages`` by ``text``, without a prompt for a next answer."""
-    return df.withColumn("text", get_template(template).render(F.col("messages"))).drop("messages")
+    """Replace ``messages`` by ``text``, without a prompt for a next answer.
+
+    The parts of a split conversation, put together in order, give its text.
+    """
+    return df.withColumn("text", get_template(template).render(F.col("messages"), _starts(df))).drop("messages")
+
+
+def _starts(df: DataFrame) -> Column | None:
+    return F.col("part") == 0 if "part" in df.columns else None
 
 
 def render_switched(
@@ -46,10 +53,10 @@ def render_switched(
     actions are those of ``compatibility``; without a switch in the template the
     fallback takes the place of turning reasoning off.
     """
-    messages = F.col("messages")
+    messages, starts = F.col("messages"), _starts(df)
     use_fallback = F.col(action) == "use_chatml"
-    text = F.when(use_fallback, get_template(fallback).render(messages)).otherwise(
-        get_template(template).render(messages)
+    text = F.when(use_fallback, get_template(fallback).render(messages, starts)).otherwise(
+        get_template(template).render(messages, starts)
     )
     thinking = ~F.col(action).isin("use_chatml", "disable_thinking")
     return df.withColumns({"text": text, "thinking": thinking}).drop("messages")

@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from tuneframe.functions.names import backup_name, backup_parts
 from tuneframe.plans.ordered import GROUP_CAP, running, with_halo
 from tuneframe.plans.skew import join_keyed
-
-LOSS_COLUMNS = ("step", "epoch", "loss", "learning_rate", "grad_norm")
+from tuneframe.sources.runs import LOSS_COLUMNS
 
 
 def loss_rows(log: DataFrame, run: str = "run") -> DataFrame:

@@ -10,8 +10,9 @@ from tuneframe.functions.text import LengthLimits, count_tokens, estimate_tokens
 from tuneframe.operators import lengths as L
 from tuneframe.operators import rendering as R
 from tuneframe.operators import standardize as S
-from tuneframe.operators.profiling import compatibility, flag_reasoning_messages
+from tuneframe.operators.profiling import compatibility, flag_reasoning_turns
 from tuneframe.plans.prepare import canonical_turns, conversation_stats, prepare_samples, prepare_turns
+from tuneframe.plans.skew import join_keyed
 from tuneframe.queries.registry import query, scratch, table
 from tuneframe.sources import prepared as P
 from tuneframe.sources.splits import limit_samples as first_samples
@@ -40,15 +41,15 @@ measured AS (
   SELECT *, CASE WHEN zone = 'borderline' THEN {TOKENS.format('text')} ELSE est END AS len FROM zoned)"""
 
 
-def stats_sql(limits: LengthLimits, by: str = "", where: str = "TRUE") -> str:
+def stats_sql(limits: LengthLimits, by: str = "", where: str = "TRUE", kind: str = "INTEGER") -> str:
     m = limits.max_seq_length
-    return f"""SELECT {by + ',' if by else ''} count(*) AS total, CAST(max(len) AS INTEGER) AS max_length,
+    return f"""SELECT {by + ',' if by else ''} count(*) AS total, CAST(max(len) AS {kind}) AS max_length,
   avg(len) AS avg_length,
-  CAST(list_sort(list(len))[count(*) // 2 + 1] AS INTEGER) AS median_length,
+  CAST(list_sort(list(len))[count(*) // 2 + 1] AS {kind}) AS median_length,
   count(*) FILTER (len > {m}) AS too_long, count(*) FILTER (len > {m}) * 100.0 / count(*) AS too_long_pct,
   count(*) FILTER (zone = 'borderline') AS borderline,
   count(*) FILTER (zone = 'borderline') * 100.0 / count(*) AS borderline_pct,
-  CASE WHEN count(*) FILTER (len > {m}) > count(*) * 0.2 THEN CAST(max(len) AS INTEGER) END AS suggested_max_length
+  CASE WHEN count(*) FILTER (len > {m}) > count(*) * 0.2 THEN CAST(max(len) AS {kind}) END AS suggested_max_length
 FROM measured WHERE {where} {'GROUP BY ' + by if by else ''}"""
 
 
@@ -265,10 +266,11 @@ def render_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    r"""SELECT conv_id, turn // 1024 AS part, '<|begin_of_text|>' || string_agg(
+    r"""SELECT conv_id, turn // 1024 AS part, string_agg(
+    CASE turn WHEN 0 THEN '<|begin_of_text|>' ELSE '' END ||
     '<|start_header_id|>' || role || '<|end_header_id|>' || chr(10) || chr(10) ||
     trim(text, ' ' || chr(9) || chr(10) || chr(13)) || '<|eot_id|>', '' ORDER BY turn) AS text
-FROM conversations GROUP BY ALL"""
+FROM conversations GROUP BY conv_id, turn // 1024"""
 )
 def render_chat_llama3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.render_chat(S.nest_turns(table(spark, sf_dir, "conversations")), "llama3")
@@ -307,7 +309,9 @@ SELECT conv_id, action, action = 'ok_reasoning_template' AS thinking, string_agg
 FROM conversations JOIN acts USING (conv_id) GROUP BY ALL"""
 )
 def thinking_switch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nested = flag_reasoning_messages(S.nest_turns(table(spark, sf_dir, "conversations")), markers=("tion",))
+    turns = table(spark, sf_dir, "conversations")
+    flags = flag_reasoning_turns(turns, markers=("tion",))
+    nested = join_keyed(S.nest_turns(turns), flags, ["conv_id"], ["part"])
     action = compatibility(F.lit(True), F.col("has_reasoning"), F.col("conv_id") % 2 == 0)
     return R.render_switched(nested.withColumn("action", action), "phi-3").select("conv_id", "action", "thinking", "text")
 
@@ -400,14 +404,14 @@ def length_stats_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.length_stats(L.add_lengths(table(spark, sf_dir, "documents").select("source", "text"), SHORT), SHORT, ["source"])
 
 
-@query(f"WITH {TEXTS}, {measured('rendered', M)} {stats_sql(M, where='length(text) > 0')}")
+@query(f"WITH {TEXTS}, {measured('rendered', M)} {stats_sql(M, where='length(text) > 0', kind='BIGINT')}")
 def conversation_length_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_stats(table(spark, sf_dir, "conversations"), M)
 
 
 @query(
-    f"""WITH {TEXTS}, {measured('rendered', M)} SELECT conv_id, length(text) AS chars, CAST(est AS INTEGER) AS
-  estimated_length, zone, CAST(len AS INTEGER) AS length FROM measured"""
+    f"""WITH {TEXTS}, {measured('rendered', M)} SELECT conv_id, length(text) AS chars, CAST(est AS BIGINT) AS
+  estimated_length, zone, CAST(len AS BIGINT) AS length FROM measured"""
 )
 def conversation_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.conversation_lengths(canonical_turns(table(spark, sf_dir, "conversations")), M)

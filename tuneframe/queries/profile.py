@@ -29,6 +29,11 @@ def flag_reasoning(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.flag_reasoning(docs, markers=MARKERS).drop("text")
 
 
+@query(f"SELECT conv_id, bool_or({MARKED.format('text')}) AS has_reasoning FROM conversations GROUP BY conv_id")
+def flag_reasoning_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.flag_reasoning_turns(table(spark, sf_dir, "conversations"), markers=MARKERS)
+
+
 @query(f"SELECT conv_id, bool_or({MARKED.format('text')}) AS has_reasoning FROM conversations GROUP BY conv_id")
 def flag_reasoning_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     nested = nest_turns(table(spark, sf_dir, "conversations"))

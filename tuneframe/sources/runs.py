@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+LOSS_COLUMNS = ("step", "epoch", "loss", "learning_rate", "grad_norm")
 LOSS_SCHEMA = "step BIGINT, epoch DOUBLE, loss DOUBLE, learning_rate DOUBLE, grad_norm DOUBLE"
 
 RUN_SCHEMA = T.StructType(
@@ -63,13 +64,18 @@ RUN_DEFAULTS = {
 }
 
 
-def write_loss_history(log: DataFrame, path: str, run: str = "run") -> None:
-    """CSV with a header, one folder per run; missing numbers stay empty."""
-    log.write.mode("overwrite").partitionBy(run).option("header", True).csv(path)
+def write_loss_history(log: DataFrame, path: str, run: str = "run", per_run: bool = False) -> None:
+    """CSV with a header and the run as last column; missing numbers stay empty.
+
+    ``per_run`` makes a folder for each run instead, which suits few runs.
+    """
+    ordered = log.select(*LOSS_COLUMNS, F.col(run).alias("run"))
+    writer = ordered.write.mode("overwrite").option("header", True)
+    (writer.partitionBy("run") if per_run else writer).csv(path)
 
 
 def read_loss_history(spark: SparkSession, path: str) -> DataFrame:
-    """The five columns, and the folder name as the run where there is one."""
+    """The five columns, and the run from its column or folder name, null where there is none."""
     return spark.read.schema(LOSS_SCHEMA + ", run STRING").option("header", True).csv(path)
 
 
