@@ -94,7 +94,7 @@ def plain_number(value: Column) -> Column:
     power = F.regexp_extract(text, r"E-([0-9]+)$", 1).try_cast("int")
     plain = F.concat(F.lit("0."), F.repeat(F.lit("0"), power - 1), F.replace(digits, F.lit("."), F.lit("")))
     tiny = F.concat(digits, F.lit("e-"), F.lpad(power.cast("string"), 2, "0"))
-    return F.when(power <= 4, plain).when(power > 4, tiny).otherwise(text)
+    return F.when(~text.contains("E-"), text).when(power <= 4, plain).otherwise(tiny)
 
 
 def backup_name(date: Column, rank: Column, rate: Column, loss: Column) -> Column:

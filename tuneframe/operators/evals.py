@@ -241,15 +241,10 @@ def suggest_tasks(invalid: DataFrame, valid: DataFrame, n: int = 3) -> DataFrame
     starts = names.select(
         "suggestion", lowered.alias("__low"), F.explode(F.sequence(F.lit(1), size)).alias("__from")
     )
-    parts = starts.select(
-        "suggestion",
-        F.explode(
-            F.transform(
-                F.sequence(F.lit(1), F.length("__low") - F.col("__from") + 1),
-                lambda k: F.col("__low").substr(F.col("__from"), k),
-            )
-        ).alias("__part"),
+    ends = starts.select(
+        "*", F.explode(F.sequence(F.lit(1), F.length("__low") - F.col("__from") + 1)).alias("__size")
     )
+    parts = ends.select("suggestion", F.col("__low").substr(F.col("__from"), F.col("__size")).alias("__part"))
     asked = wanted.filter(~hint)
     matching = parts.join(asked.select("__part").distinct(), "__part", "left_semi").distinct()
     first = Window.partitionBy("__part").orderBy("suggestion")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from typing import Any
 
@@ -69,21 +69,29 @@ RULES = (
 
 
 def config_violations(configs: DataFrame, *keys: str, rules: Sequence[Rule] = RULES) -> DataFrame:
-    """One row per broken rule; rules on columns the table lacks are passed over."""
-    found = [
-        F.when(
-            rule.broken(),
-            F.struct(
-                F.lit(rule.column).alias("field"),
-                F.lit(rule.name).alias("rule"),
-                (F.array_join(rule.column, ",") if rule.each else F.col(rule.column).cast("string")).alias("value"),
-            ),
-        )
-        for rule in rules
-        if rule.column in configs.columns
-    ]
-    broken = F.filter(F.array(*found), lambda v: v.isNotNull())
-    return configs.select(*keys, F.explode(broken).alias("__broken")).select(*keys, "__broken.*")
+    """One row per broken rule; rules on columns the table lacks are passed over.
+
+    Rows are multiplied by rule numbers only; the texts are filled in for broken rules.
+    """
+    used = [rule for rule in rules if rule.column in configs.columns]
+    numbers = F.array(*[F.when(rule.broken(), F.lit(i)) for i, rule in enumerate(used)])
+    # The array is a column of its own: inside explode its lambdas would turn codegen off.
+    numbered = configs.withColumn("__rules", numbers)
+    broken = numbered.withColumn("__rule", F.explode("__rules")).filter(F.col("__rule").isNotNull())
+
+    def by_rule(text: Callable[[Rule], Column]) -> Column:
+        chosen = F
+        for i, rule in enumerate(used):
+            chosen = chosen.when(F.col("__rule") == i, text(rule))
+        return chosen.otherwise(F.lit(None).cast("string"))
+
+    shown = lambda rule: F.array_join(rule.column, ",") if rule.each else F.col(rule.column).cast("string")
+    return broken.select(
+        *keys,
+        by_rule(lambda rule: F.lit(rule.column)).alias("field"),
+        by_rule(lambda rule: F.lit(rule.name)).alias("rule"),
+        by_rule(shown).alias("value"),
+    )
 
 
 def get_path(document: Column, path: str, default: Any = None, data_type: str = "string") -> Column:

@@ -175,7 +175,8 @@ def vram_fallbacks(spark: SparkSession, sf_dir: str) -> DataFrame:
     options = C.vram_fallbacks(lora["rank"], lora["alpha"], F.col("vram_gb"))
     return (
         datasets(spark, sf_dir)
-        .select("o_orderkey", C.vram_estimate(lora["rank"]).alias("vram_needed"), F.explode(options).alias("o"))
+        .select("o_orderkey", C.vram_estimate(lora["rank"]).alias("vram_needed"), options.alias("options"))
+        .select("o_orderkey", "vram_needed", F.explode("options").alias("o"))
         .select("o_orderkey", "vram_needed", "o.*")
     )
 
