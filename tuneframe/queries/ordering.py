@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tuneframe.operators import packing as P
-from tuneframe.operators.lengths import add_lengths
-from tuneframe.plans.prepare import prepare_turns
+from tuneframe.operators.lengths import add_lengths, conversation_lengths, filter_length
+from tuneframe.plans.prepare import canonical_turns
 from tuneframe.queries.preparation import TEXTS, M, measured
 from tuneframe.queries.registry import query, table
 
@@ -65,8 +65,9 @@ SELECT conv_id, CAST(start AS BIGINT) AS start, CAST(start // {M.max_seq_length}
   CAST((start + greatest(len, 1) - 1) // {M.max_seq_length} AS BIGINT) AS last_block FROM laid"""
 )
 def pack_shuffled_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversations within the limit, packed in the shuffled order."""
-    lengths = prepare_turns(table(spark, sf_dir, "conversations"), M).select("conv_id", "length")
-    keyed = lengths.withColumn("shuffle_key", P.shuffle_key(SEED, F.col("conv_id")))
+    """Conversations within the limit, packed in the shuffled order; no text is moved for it."""
+    lengths = conversation_lengths(canonical_turns(table(spark, sf_dir, "conversations")), M).filter("chars > 0")
+    keyed = filter_length(lengths, M).select("conv_id", "length")
+    keyed = keyed.withColumn("shuffle_key", P.shuffle_key(SEED, F.col("conv_id")))
     laid = P.pack_sequences(keyed, M.max_seq_length, "shuffle_key", "conv_id")
     return laid.select("conv_id", "start", "first_block", "last_block")

@@ -220,14 +220,15 @@ def list_backups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT user_id AS root, max(ts) AS modified, 'run-' || arg_max(event_id, (ts, 'run-' || event_id)) AS run
+    """SELECT user_id AS root, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS modified, 'run-' || arg_max(event_id, (ts, 'run-' || event_id)) AS run
 FROM events GROUP BY user_id"""
 )
 def latest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs = table(spark, sf_dir, "events").select(
         F.col("user_id").alias("root"), F.col("ts").alias("modified"), F.concat(F.lit("run-"), F.col("event_id")).alias("run")
     )
-    return M.latest_run(runs, "root", "modified", "run")
+    newest = M.latest_run(runs, "root", "modified", "run")
+    return newest.withColumn("modified", F.date_format("modified", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
 
 
 HEALTH_SQL = f"""WITH {LOG_SQL}, judged AS (SELECT run, step, loss, lag(loss) OVER w AS previous_loss,
