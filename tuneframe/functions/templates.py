@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tuneframe.functions.text import count_tokens, token_count
+
 
 @dataclass(frozen=True)
 class ChatTemplate:
     """Markup before and after the content of each role.
 
-    The markup must part neighbouring messages with a character that is no letter
-    or digit. Then no token crosses from one message to the next, and lengths of
-    messages can be added up without joining their texts.
+    The markup must begin and end with characters that are no letters or digits. Then
+    no token crosses from markup to content or from one message to the next, and the
+    lengths of contents can be added up without putting any text together.
     """
 
     name: str
@@ -25,16 +27,32 @@ class ChatTemplate:
 
     def __post_init__(self) -> None:
         for role, (before, after) in self.roles.items():
-            if not before or not after or before[0].isalnum() or after[-1].isalnum():
+            if not before or not after or any(c.isalnum() for c in (before[0], before[-1], after[0], after[-1])):
                 raise ValueError(f"markup of role {role!r} in {self.name!r} does not part messages")
 
-    def piece(self, role: Column, content: Column) -> Column:
-        """One rendered message; null where the role is unknown or the content missing."""
-        body = F.btrim(content, F.lit(" \t\r\n")) if self.strip else content
+    def _body(self, content: Column) -> Column:
+        return F.btrim(content, F.lit(" \t\r\n")) if self.strip else content
+
+    def _by_role(self, role: Column, value: Callable[[str, str], Column]) -> Column:
         chosen = F
         for name, (before, after) in self.roles.items():
-            chosen = chosen.when(role == name, F.concat(F.lit(before), body, F.lit(after)))
-        return chosen.otherwise(F.lit(None).cast("string"))
+            chosen = chosen.when(role == name, value(before, after))
+        return chosen.otherwise(F.lit(None))
+
+    def piece(self, role: Column, content: Column) -> Column:
+        """One rendered message; null where the role is unknown or the content missing."""
+        body = self._body(content)
+        return self._by_role(role, lambda before, after: F.concat(F.lit(before), body, F.lit(after)))
+
+    def piece_chars(self, role: Column, content: Column) -> Column:
+        """Characters of the rendered message, without rendering it."""
+        markup = self._by_role(role, lambda before, after: F.lit(len(before + after)))
+        return F.length(self._body(content)).cast("bigint") + markup
+
+    def piece_tokens(self, role: Column, content: Column) -> Column:
+        """Tokens of the rendered message, without rendering it; null as for ``piece``."""
+        markup = self._by_role(role, lambda before, after: F.lit(token_count(before) + token_count(after)))
+        return F.when(content.isNotNull(), count_tokens(self._body(content)).cast("bigint") + markup)
 
     def render(self, messages: Column, starts: Column | None = None) -> Column:
         """All messages in one text; empty if there are none or one cannot be rendered.

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -75,6 +76,11 @@ def count_tokens(text: Column, pattern: str = TOKEN_PATTERN) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(pattern)), F.lit(0))
 
 
+def token_count(text: str, pattern: str = TOKEN_PATTERN) -> int:
+    """The same for a constant, on the driver."""
+    return len(re.findall(pattern, text))
+
+
 def token_array(text: Column, pattern: str = TOKEN_PATTERN) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 

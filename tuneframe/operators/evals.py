@@ -134,23 +134,26 @@ def _task_sides(scores: DataFrame) -> DataFrame:
         & F.col("tuned").isNotNull(),
         _rank(F.col("metric"), METRIC_POLICIES["compare"]),
     )
-    pick = F.struct(F.col("__rank"), F.col("metric"), F.col("base"), F.col("tuned"))
     per_task = (
         per_key.withColumn("__rank", rank)
         .groupBy("model", "task")
         .agg(
-            F.min(F.when(F.col("__rank").isNotNull(), pick)).alias("best"),
+            F.min("__rank").alias("best"),
+            F.min_by("base", "__rank").alias("base"),
+            F.min_by("tuned", "__rank").alias("tuned"),
             F.bool_or("in_base").alias("in_base"),
             F.bool_or("in_tuned").alias("in_tuned"),
         )
     )
-    base, tuned = F.coalesce("best.base", F.lit(0.0)), F.coalesce("best.tuned", F.lit(0.0))
+    found = F.col("best").isNotNull()
+    base, tuned = (F.when(found, F.col(c)).otherwise(0.0) for c in ("base", "tuned"))
+    names = F.array(*[F.lit(name) for name in METRIC_POLICIES["compare"]])
     return per_task.select(
         "model",
         "task",
         "in_base",
         "in_tuned",
-        F.col("best.metric").alias("metric"),
+        F.get(names, F.col("best")).alias("metric"),
         base.alias("base_accuracy"),
         tuned.alias("finetuned_accuracy"),
         (tuned - base).alias("delta"),

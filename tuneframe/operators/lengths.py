@@ -18,6 +18,7 @@ from tuneframe.functions.text import (
     estimate_tokens,
     length_zone,
     token_array,
+    token_count,
 )
 
 
@@ -29,10 +30,10 @@ def add_lengths(df: DataFrame, limits: LengthLimits, text: str = "text", pattern
     """
     est = df.withColumn("estimated_length", estimate_tokens(F.col(text)))
     zoned = est.withColumn("zone", length_zone(F.col("estimated_length"), limits))
-    return zoned.withColumn("length", _final(F.col("zone"), count_tokens(F.col(text), pattern)))
+    return zoned.withColumn("length", final_length(F.col("zone"), count_tokens(F.col(text), pattern)))
 
 
-def _final(zone: Column, exact: Column) -> Column:
+def final_length(zone: Column, exact: Column) -> Column:
     return F.when(zone == BORDERLINE, exact).otherwise(F.col("estimated_length"))
 
 
@@ -73,21 +74,19 @@ def conversation_lengths(
     as a conversation may be longer than any text in one row.
     """
     shape = get_template(template)
-    pieces = turns.select(conv, shape.piece(F.col(role), F.col(text)).alias("piece"))
-    chars = F.length("piece").cast("bigint")
-    small = F.length("piece") <= 4 * limits.upper + 3
-    opening = len(shape.opening)
-    sums = pieces.groupBy(conv).agg(
-        F.sum(chars).alias("__chars"),
-        F.sum(F.when(small, count_tokens(F.col("piece")))).alias("__tokens"),
-        F.bool_or(F.col("piece").isNull()).alias("__broken"),
+    message = (F.col(role), F.col(text))
+    chars = turns.select(conv, role, text, shape.piece_chars(*message).alias("__chars"))
+    tokens = F.when(F.col("__chars") <= 4 * limits.upper + 3, shape.piece_tokens(*message))
+    sums = chars.groupBy(conv).agg(
+        F.sum("__chars").alias("__chars"),
+        F.sum(tokens).alias("__tokens"),
+        F.bool_or(F.col("__chars").isNull()).alias("__broken"),
     )
-    opening_tokens = count_tokens(F.lit(shape.opening))
-    total = F.when(F.col("__broken"), 0).otherwise(F.col("__chars") + opening)
+    total = F.when(F.col("__broken"), 0).otherwise(F.col("__chars") + len(shape.opening))
     return (
         sums.withColumn("estimated_length", estimate_from_chars(total))
         .withColumn("zone", length_zone(F.col("estimated_length"), limits))
-        .withColumn("length", _final(F.col("zone"), F.col("__tokens") + opening_tokens))
+        .withColumn("length", final_length(F.col("zone"), F.col("__tokens") + token_count(shape.opening)))
         .select(conv, total.alias("chars"), "estimated_length", "zone", "length")
     )
 

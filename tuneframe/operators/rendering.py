@@ -14,6 +14,16 @@ class NoSamplesLeft(ValueError):
     """Every sample was dropped."""
 
 
+def computed_once(df: DataFrame, column: str) -> DataFrame:
+    """Keep the expression of a column from being copied into filters that follow.
+
+    Spark moves a filter below a projection by putting the expression in the place of
+    its name, so that each mention computes it again. It cannot do so below a generator.
+    """
+    order = df.columns
+    return df.withColumn(column, F.explode(F.array(column))).select(*order)
+
+
 def select_template(
     models: DataFrame, name: str = "model_name", known: DataFrame | None = None, own: str | None = None
 ) -> DataFrame:
@@ -37,7 +47,8 @@ def render_chat(df: DataFrame, template: str | ChatTemplate = "chatml") -> DataF
 
     The parts of a split conversation, put together in order, give its text.
     """
-    return df.withColumn("text", get_template(template).render(F.col("messages"), _starts(df))).drop("messages")
+    text = get_template(template).render(F.col("messages"), _starts(df))
+    return computed_once(df.withColumn("text", text).drop("messages"), "text")
 
 
 def _starts(df: DataFrame) -> Column | None:
@@ -59,7 +70,7 @@ def render_switched(
         get_template(template).render(messages, starts)
     )
     thinking = ~F.col(action).isin("use_chatml", "disable_thinking")
-    return df.withColumns({"text": text, "thinking": thinking}).drop("messages")
+    return computed_once(df.withColumns({"text": text, "thinking": thinking}).drop("messages"), "text")
 
 
 def drop_empty(df: DataFrame, text: str = "text") -> DataFrame:

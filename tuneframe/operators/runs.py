@@ -17,9 +17,13 @@ def loss_rows(log: DataFrame, run: str = "run") -> DataFrame:
 
 
 def last_loss(log: DataFrame, run: str = "run") -> DataFrame:
-    """The loss row with the highest step of each run, combined before the shuffle."""
-    last = F.max_by(F.struct(*LOSS_COLUMNS), F.col("step")).alias("last")
-    return loss_rows(log, run).groupBy(run).agg(last).select(run, "last.*")
+    """The loss row with the highest step of each run, combined before the shuffle.
+
+    Steps are unique in a run. One number per column keeps the aggregation hashed; a
+    struct would have the rows sorted.
+    """
+    others = [F.max_by(name, "step").alias(name) for name in LOSS_COLUMNS[1:]]
+    return loss_rows(log, run).groupBy(run).agg(F.max("step").alias("step"), *others)
 
 
 def append_final_step(log: DataFrame, runs: DataFrame, run: str = "run") -> DataFrame:

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tuneframe.functions.templates import ChatTemplate, get_template
-from tuneframe.functions.text import LengthLimits, estimate_from_chars
-from tuneframe.operators.lengths import add_lengths, conversation_lengths, filter_length, length_stats
+from tuneframe.functions.text import LengthLimits, count_tokens, estimate_from_chars, length_zone
+from tuneframe.operators.lengths import add_lengths, conversation_lengths, filter_length, final_length, length_stats
 from tuneframe.operators.rendering import drop_empty, render_chat
-from tuneframe.operators.standardize import canonical_role, nest_turns, to_messages
+from tuneframe.operators.standardize import canonical_role, to_messages
 from tuneframe.plans.ordered import GROUP_CAP
 from tuneframe.plans.skew import join_keyed
 
@@ -48,18 +48,32 @@ def prepare_turns(
     turns / ``turn_cap`` + characters / ``char_cap`` of them.
     """
     shape = get_template(template)
-    named = canonical_turns(turns)
-    piece = shape.piece(F.col("role"), F.col("text"))
-    sums = named.groupBy("conv_id").agg(
+    message = (F.col("role"), F.col("text"))
+    sized = canonical_turns(turns).withColumn("__chars", shape.piece_chars(*message))
+    sums = sized.groupBy("conv_id").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.length("text").cast("bigint")).alias("raw_chars"),
-        F.sum(F.length(piece).cast("bigint")).alias("chars"),
-        F.bool_or(piece.isNull()).alias("broken"),
+        F.sum("__chars").alias("chars"),
+        F.bool_or(F.col("__chars").isNull()).alias("broken"),
     )
     huge = (F.col("n") > turn_cap) | (F.col("raw_chars") > char_cap)
     lost = F.col("broken") | (estimate_from_chars(F.col("chars")) > limits.upper)
     hopeless = sums.filter(huge & lost).select("conv_id")
-    rest = join_keyed(named, hopeless, ["conv_id"], ["turn"], "left_anti")
-    # What is left has few turns and characters, or is short enough to be kept: one part.
-    whole = nest_turns(rest, part_turns=2**62).drop("part")
-    return filter_length(add_lengths(drop_empty(render_chat(whole, shape)), limits), limits)
+    rest = join_keyed(sized, hopeless, ["conv_id"], ["turn"], "left_anti")
+
+    # What is left has few turns and characters, or is short enough to be kept. The
+    # filter works on sums; a text is put together where it is kept or borderline.
+    grouped = rest.select("conv_id", "turn", "__chars", shape.piece(*message).alias("piece")).groupBy("conv_id").agg(
+        F.sort_array(F.collect_list(F.struct("turn", "piece"))).alias("__turns"),
+        (F.sum("__chars") + len(shape.opening)).alias("__chars"),
+        F.bool_or(F.col("__chars").isNull()).alias("__broken"),
+    )
+    text = F.concat(F.lit(shape.opening), F.array_join("__turns.piece", ""))
+    measured = (
+        grouped.filter(~F.col("__broken"))
+        .withColumn("text", text)
+        .withColumn("estimated_length", estimate_from_chars(F.col("__chars")))
+        .withColumn("zone", length_zone(F.col("estimated_length"), limits))
+        .withColumn("length", final_length(F.col("zone"), count_tokens(F.col("text"))))
+    )
+    return filter_length(measured, limits).select("conv_id", "text", "estimated_length", "zone", "length")

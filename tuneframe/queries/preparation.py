@@ -422,7 +422,8 @@ def conversation_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
 FROM measured WHERE len <= {M.max_seq_length} AND length(text) > 0"""
 )
 def prepare_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prepare_turns(table(spark, sf_dir, "conversations"), M).select("conv_id", "text", "length")
+    kept = prepare_turns(table(spark, sf_dir, "conversations"), M)
+    return kept.select("conv_id", "text", F.col("length").cast("int").alias("length"))
 
 
 @query(
