@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tuneframe.llm.bpe import encode_documents
+from tuneframe.llm.counts import count_tokens
 from tuneframe.llm.substrings import remove_repeated
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +30,23 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def vocabulary_file(name: str) -> str:
+    """The place of a public vocabulary, the same on every machine of the cluster."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op2_bpe_codes")
+def bpe_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(documents(spark, sf_dir), vocabulary_file("word_bpe_49k.json"), digests=True)
+
+
 @query("op3_substring_dedup")
 def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated(documents(spark, sf_dir)).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"), "removed")
+
+
+@query("op8_token_counts")
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(documents(spark, sf_dir), vocabulary_file("byte_bpe_50k.json"))

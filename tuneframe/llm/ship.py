@@ -7,7 +7,8 @@ import pathlib
 import tempfile
 import zipfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import tuneframe
 
@@ -45,3 +46,14 @@ def settled(df: DataFrame) -> DataFrame:
             folder = tempfile.mkdtemp(prefix="tuneframe-checkpoints-")
         context.setCheckpointDir(folder)
     return df.checkpoint()
+
+
+def as_key(name: str) -> Column:
+    """A key as text, because numbers beside nulls lose digits in pandas."""
+    return F.col(f"`{name}`").cast("string").alias("key")
+
+
+def with_key(made: DataFrame, source: DataFrame, name: str) -> DataFrame:
+    """`made` with its text column `key` turned back into the named column of `source`, first."""
+    rest = [c for c in made.columns if c != "key"]
+    return made.select(F.col("key").cast(source.schema[name].dataType).alias(name), *rest)
