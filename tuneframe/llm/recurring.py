@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tuneframe.llm.ship import ship
+from tuneframe.llm.ship import as_key, ship
 from tuneframe.llm.words import mix
 
 BLOCKS = "batch long, bucket int, keys binary"
@@ -24,12 +24,12 @@ def partitions_of(df: DataFrame) -> int:
 
 
 def in_batches(df: DataFrame, text: str, key: str) -> DataFrame:
-    """(batch, key, text), nothing else: batches of about a quarter of a shuffle partition."""
+    """(batch, key, text), nothing else: two batches for each shuffle partition, the key as text."""
     ship(df.sparkSession)
-    n = 4 * partitions_of(df)
+    n = 2 * partitions_of(df)
     k, t = F.col(f"`{key}`"), F.col(f"`{text}`")
     batch = F.pmod(F.xxhash64(k, t), F.lit(n)).cast("long")
-    return df.select(batch.alias("batch"), k.alias("key"), t.alias("text"))
+    return df.select(batch.alias("batch"), as_key(key), t.alias("text"))
 
 
 def blocks(batch: int, keys: np.ndarray, n_buckets: int, seed: np.ndarray | None = None, kind=np.uint64) -> pd.DataFrame:

@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 from tuneframe.llm.recurring import BLOCKS, blocks, in_batches, partitions_of, recurring
+from tuneframe.llm.ship import with_key
 from tuneframe.llm.words import SECOND_BASE, Words, member, pieces
 
 
@@ -66,7 +67,7 @@ def spans(w: Words, drop: np.ndarray) -> list[str]:
 def remove_repeated(df: DataFrame, text: str = "text", key: str = "doc_id", window: int = 35) -> DataFrame:
     """One row per row of df: key, text, kept_text, n_words, n_removed, removed (word intervals)."""
     docs = in_batches(df, text, key)
-    n_buckets = 2 * partitions_of(df)
+    n_buckets = partitions_of(df)
 
     def name(pdf: pd.DataFrame) -> pd.DataFrame:
         keys, seeds = [], []
@@ -88,10 +89,10 @@ def remove_repeated(df: DataFrame, text: str = "text", key: str = "doc_id", wind
             out.append(pd.DataFrame({"key": pdf["key"].iloc[at : at + len(group)].array, "kept_text": kept, "n_words": w.counts, "n_removed": removed, "removed": spans(w, drop)}))
         return pd.concat(out)
 
-    kind = docs.schema["key"].dataType.simpleString()
     told = recurring(docs.groupBy("batch").applyInPandas(name, BLOCKS))
-    schema = f"key {kind}, kept_text string, n_words long, n_removed long, removed string"
-    return docs.groupBy("batch").cogroup(told.groupBy("batch")).applyInPandas(cut, schema).withColumnRenamed("key", key)
+    schema = "key string, kept_text string, n_words long, n_removed long, removed string"
+    made = docs.groupBy("batch").cogroup(told.groupBy("batch")).applyInPandas(cut, schema)
+    return with_key(made, df, key)
 
 
 def sha256(data: bytes) -> str:
