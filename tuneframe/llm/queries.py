@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tuneframe.llm.bpe import encode_documents
 from tuneframe.llm.counts import count_tokens
+from tuneframe.llm.jaccard import jaccard_components
 from tuneframe.llm.substrings import remove_repeated
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +48,11 @@ def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated(documents(spark, sf_dir)).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"), "removed")
 
 
+@query("op6_jaccard_join")
+def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id", "n_links")
+
+
 @query("op8_token_counts")
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(documents(spark, sf_dir), vocabulary_file("byte_bpe_50k.json"))
