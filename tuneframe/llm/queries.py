@@ -11,6 +11,7 @@ from tuneframe.llm.bpe import encode_documents
 from tuneframe.llm.counts import count_tokens
 from tuneframe.llm.jaccard import jaccard_components
 from tuneframe.llm.substrings import remove_repeated
+from tuneframe.llm.suffixes import repeated_passages
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -38,6 +39,11 @@ def vocabulary_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query("op1_suffix_dedup")
+def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(documents(spark, sf_dir)).select("doc_id", "n_words", "n_repeated", F.sha2("kept_text", 256).alias("kept_sha256"), "repeated")
+
+
 @query("op2_bpe_codes")
 def bpe_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(documents(spark, sf_dir), vocabulary_file("word_bpe_49k.json"), digests=True)
