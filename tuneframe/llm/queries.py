@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tuneframe.llm.bpe import encode_documents
 from tuneframe.llm.counts import count_tokens
 from tuneframe.llm.jaccard import jaccard_components
+from tuneframe.llm.quality import quality_rules
 from tuneframe.llm.substrings import remove_repeated
 from tuneframe.llm.suffixes import repeated_passages
 
@@ -59,6 +60,11 @@ def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id", "n_links")
 
 
+@query("op7_quality_rules")
+def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(documents(spark, sf_dir))
+
+
 @query("op8_token_counts")
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(documents(spark, sf_dir), vocabulary_file("byte_bpe_50k.json"))
