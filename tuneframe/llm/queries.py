@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tuneframe.llm.bpe import encode_documents
 from tuneframe.llm.counts import count_tokens
 from tuneframe.llm.jaccard import jaccard_components
+from tuneframe.llm.pii import personal_data
 from tuneframe.llm.quality import quality_rules
 from tuneframe.llm.substrings import remove_repeated
 from tuneframe.llm.suffixes import repeated_passages
@@ -55,6 +56,11 @@ def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated(documents(spark, sf_dir)).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"), "removed")
 
 
+@query("op5_personal_data")
+def private(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(documents(spark, sf_dir))
+
+
 @query("op6_jaccard_join")
 def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id", "n_links")
