@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tuneframe.llm.bpe import encode_documents
 from tuneframe.llm.counts import count_tokens
 from tuneframe.llm.jaccard import jaccard_components
+from tuneframe.llm.lz import edit_likeness
 from tuneframe.llm.pii import personal_data
 from tuneframe.llm.quality import quality_rules
 from tuneframe.llm.substrings import remove_repeated
@@ -74,3 +75,8 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_token_counts")
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(documents(spark, sf_dir), vocabulary_file("byte_bpe_50k.json"))
+
+
+@query("op9_lz_fingerprint")
+def lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_likeness(documents(spark, sf_dir))
