@@ -15,6 +15,7 @@ from tuneframe.llm.pii import personal_data
 from tuneframe.llm.quality import quality_rules
 from tuneframe.llm.substrings import remove_repeated
 from tuneframe.llm.suffixes import repeated_passages
+from tuneframe.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -80,3 +81,8 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_lz_fingerprint")
 def lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_likeness(documents(spark, sf_dir))
+
+
+@query("op10_toxicity")
+def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))

@@ -42,13 +42,17 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _segments(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
-    """Polynomial hashes of values[start:end], from prefix sums."""
+def _sums(values: np.ndarray, base: int) -> np.ndarray:
     n = len(values)
-    inverse = pow(base, -1, 1 << 64)
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(values * powers(inverse, n)[:n], out=sums[1:])
-    return (sums[ends] - sums[starts]) * powers(base, n)[starts]
+    np.cumsum(values * powers(pow(base, -1, 1 << 64), n)[:n], out=sums[1:])
+    return sums
+
+
+def _segments(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
+    """Polynomial hashes of values[start:end], from prefix sums."""
+    sums = _sums(values, base)
+    return (sums[ends] - sums[starts]) * powers(base, len(values))[starts]
 
 
 def pieces(texts: list, limit: int = PIECE_BYTES) -> Iterator[tuple[int, list[bytes]]]:
@@ -72,10 +76,10 @@ class Words:
     doc: the text of each word. first: index of each text's first word, and the total.
     """
 
-    def __init__(self, group: list[bytes], lower: bool = False):
+    def __init__(self, group: list[bytes], lower: bool = False, space: np.ndarray = _IS_SPACE):
         joined = b"\n".join(group) + b"\n"
         self.data = np.frombuffer(joined.lower() if lower else joined, np.uint8)
-        space = _IS_SPACE[self.data]
+        space = space[self.data]
         change = np.flatnonzero(space[1:] != space[:-1]) + 1
         if not space[0]:
             change = np.concatenate([[0], change])
@@ -102,6 +106,21 @@ class Words:
             self._hashes = out
         return self._hashes
 
+    def beginnings(self, sizes: tuple[int, ...]) -> list[np.ndarray]:
+        """For each size the hashes of the words' first so many bytes, 0 for shorter words."""
+        out, i, n, span = [np.zeros(len(self.starts), np.uint64) for _ in sizes], 0, len(self.starts), 1 << 18
+        while i < n:
+            j = max(i + 1, int(np.searchsorted(self.ends, self.starts[i] + span, "right")))
+            low, high = int(self.starts[i]), int(self.ends[j - 1])
+            starts, ends = self.starts[i:j] - low, self.ends[i:j] - low
+            sums = _sums(_BYTE_VALUES[self.data[low:high]], WORD_BASE)
+            scale = powers(WORD_BASE, high - low)[starts]
+            for found, size in zip(out, sizes):
+                stop = np.minimum(starts + size, ends)
+                found[i:j] = np.where(ends - starts >= size, mix((sums[stop] - sums[starts]) * scale ^ np.uint64(size)), np.uint64(0))
+            i = j
+        return out
+
     def windows(self, k: int, base: int = ROLL_BASE) -> tuple[np.ndarray, np.ndarray]:
         """First word and hash of every run of k words inside one text."""
         n = len(self.starts) - k + 1
