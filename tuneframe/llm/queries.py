@@ -11,6 +11,7 @@ from tuneframe.llm.bpe import encode_documents
 from tuneframe.llm.counts import count_tokens
 from tuneframe.llm.jaccard import jaccard_components
 from tuneframe.llm.lz import edit_likeness
+from tuneframe.llm.mixing import TARGETS, mixture
 from tuneframe.llm.pii import personal_data
 from tuneframe.llm.quality import quality_rules
 from tuneframe.llm.substrings import remove_repeated
@@ -58,6 +59,13 @@ def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated(documents(spark, sf_dir)).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"), "removed")
 
 
+@query("op4_source_mixing")
+def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = mixture(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    posteriors = [F.get("posterior", F.lit(i)).alias(f"p_{d}") for i, d in enumerate(TARGETS)]
+    return made.select("row.doc_id", "n_tokens", *posteriors, "rate", "copies")
+
+
 @query("op5_personal_data")
 def private(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(documents(spark, sf_dir))

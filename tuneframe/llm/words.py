@@ -16,8 +16,8 @@ PIECE_BYTES = 2 << 20
 
 _rng = np.random.default_rng(20240229)
 _BYTE_VALUES = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_IS_SPACE = np.zeros(256, bool)
-_IS_SPACE[list(SPACES)] = True
+IS_SPACE = np.zeros(256, bool)
+IS_SPACE[list(SPACES)] = True
 WORD_BASE, ROLL_BASE, SECOND_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F
 _powers: dict[int, np.ndarray] = {}
 
@@ -76,7 +76,7 @@ class Words:
     doc: the text of each word. first: index of each text's first word, and the total.
     """
 
-    def __init__(self, group: list[bytes], lower: bool = False, space: np.ndarray = _IS_SPACE):
+    def __init__(self, group: list[bytes], lower: bool = False, space: np.ndarray = IS_SPACE):
         joined = b"\n".join(group) + b"\n"
         self.data = np.frombuffer(joined.lower() if lower else joined, np.uint8)
         space = space[self.data]
