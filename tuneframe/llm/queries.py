@@ -12,6 +12,7 @@ from tuneframe.llm.counts import count_tokens
 from tuneframe.llm.jaccard import jaccard_components
 from tuneframe.llm.lz import edit_likeness
 from tuneframe.llm.mixing import TARGETS, mixture
+from tuneframe.llm.oracles import JACCARD, repeated_windows
 from tuneframe.llm.pii import personal_data
 from tuneframe.llm.quality import quality_rules
 from tuneframe.llm.substrings import remove_repeated
@@ -44,7 +45,7 @@ def vocabulary_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-@query("op1_suffix_dedup")
+@query("op1_suffix_dedup", repeated_windows(50, "n_repeated", "repeated"))
 def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(documents(spark, sf_dir)).select("doc_id", "n_words", "n_repeated", F.sha2("kept_text", 256).alias("kept_sha256"), "repeated")
 
@@ -54,7 +55,7 @@ def bpe_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(documents(spark, sf_dir), vocabulary_file("word_bpe_49k.json"), digests=True)
 
 
-@query("op3_substring_dedup")
+@query("op3_substring_dedup", repeated_windows(35, "n_removed", "removed"))
 def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated(documents(spark, sf_dir)).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"), "removed")
 
@@ -71,7 +72,7 @@ def private(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(documents(spark, sf_dir))
 
 
-@query("op6_jaccard_join")
+@query("op6_jaccard_join", JACCARD)
 def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id", "n_links")
 
