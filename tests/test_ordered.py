@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from tuneframe.operators import packing as P
 from tuneframe.plans import ordered as O
-from tuneframe.plans import skew as K
 
 
 @pytest.fixture(scope="module")
@@ -31,10 +30,9 @@ def brute(rows):
     return out
 
 
-@pytest.mark.parametrize("cap", [0, 100, 10**6])
-def test_running_by_key(skewed, cap):
+def test_running_by_key(skewed):
     totals = {"n": ("count", F.lit(1)), "s": ("sum", F.col("v")), "m": ("min", F.col("v"))}
-    got = O.running(skewed, totals, ["o"], ["k"], group_cap=cap)
+    got = O.running(skewed, totals, ["o"], ["k"])
     want = brute([(r["k"], r["o"], r["v"]) for r in skewed.collect()])
     assert {(r["k"], r["o"]): (r["n"], r["s"], r["m"]) for r in got.collect()} == want
 
@@ -55,7 +53,7 @@ def test_number_rows(skewed):
 
 @pytest.mark.parametrize("block", [4, 7, 1000])
 def test_halo_frames(skewed, block):
-    rows = O.number_rows(skewed, ["o"], ["k"], group_cap=0)
+    rows = O.number_rows(skewed, ["o"], ["k"])
     inner = Window.partitionBy("k", "block").orderBy("rn").rowsBetween(-4, -1)
     whole = Window.partitionBy("k").orderBy("rn").rowsBetween(-4, -1)
     cut = O.with_halo(rows, "rn", 4, block).withColumn("s", F.sum("v").over(inner)).filter("NOT is_halo")
@@ -77,15 +75,6 @@ def test_carries_stay_small(spark):
     assert O._carries(sliced, {"n": ("count", F.lit(1))}, ["k"]).count() < slices
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-@pytest.mark.parametrize("max_rows", [0, 10**6])
-def test_join_keyed(spark, skewed, how, max_rows):
-    one = spark.range(0, 40, 2).select(F.col("id").cast("int").alias("k"), (F.col("id") * 2).alias("w"))
-    got = K.join_keyed(skewed, one, ["k"], ["o"], how, max_rows=max_rows)
-    want = skewed.join(one, "k", how)
-    assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))
-
-
 def test_shuffle_is_a_permutation_fixed_by_the_seed(spark):
     ids = spark.range(500)
     first = {r["id"]: r["position"] for r in P.seeded_shuffle(ids, "id", 1).collect()}

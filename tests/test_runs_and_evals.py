@@ -75,8 +75,8 @@ def test_read_runs(spark, tmp_path):
 def test_loss_health(spark):
     losses = [4.0, 3.0, 2.0, 9.0, 2.0, 4.0, 4.0]
     df = spark.createDataFrame([(1, i, 0.0, v, 0.0, 0.0) for i, v in enumerate(losses)], LOG)
-    for cap, block in ((10**6, 100), (0, 2)):
-        judged = M.loss_health(df, window=2, group_cap=cap, block=block).orderBy("step").collect()
+    for block in (100, 2):
+        judged = M.loss_health(df, window=2, block=block).orderBy("step").collect()
         assert [r["health"] for r in judged] == ["start", "falling", "falling", "spike", "falling", "falling", "rising"]
         assert [r["best_loss"] for r in judged] == [4.0, 3.0, 2.0, 2.0, 2.0, 2.0, 2.0]
 
@@ -195,7 +195,7 @@ def test_leaderboard(spark):
         ("m", "base", None, "b", "acc,none", "acc", 0.12345, None), ("m", "fine-tuned", "r", "a", "acc,none", "acc", 0.5, None),
         ("base only", "base", None, "a", "acc,none", "acc", 0.5, None),
     ]
-    table = B.leaderboard(spark.createDataFrame(rows, SCORES))
+    table = B.leaderboard(spark.createDataFrame(rows, SCORES), ["b", "a"])
     assert table.columns == ["model", "variant", "a", "b"]
     assert sorted(map(tuple, table.collect())) == [
         ("m", "base", "-", f"{0.12345:.4f}"), ("m", "fine-tuned", "0.5000", "-"),
@@ -322,7 +322,8 @@ def test_listing(spark, tmp_path):
     files = listings.split_artifact_path(listings.read_artifacts(spark, str(tmp_path)), str(tmp_path))
     got = sorted((r["model"], r["area"], r["depth"], r["name"], r["length"]) for r in files.collect())
     assert got == [("m", "lora", 0, "a.json", 5), ("m", "lora", 1, "b.bin", 7)]
-    assert tuple(A.area_sizes(files, "*.bin").first()) == ("m", "lora", 12, 1)
+    assert tuple(A.area_sizes(files, "*.bin").first()) == ("m", "lora", 12, 0)
+    assert A.cleanup_plan(files).select("name").collect() == [("a.json",)]
 
 
 def test_missing_outputs(spark):

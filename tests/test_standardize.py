@@ -6,7 +6,7 @@ from tuneframe.functions.text import LengthLimits, count_tokens
 from tuneframe.operators import lengths as L
 from tuneframe.operators import standardize as S
 from tuneframe.operators.rendering import render_chat
-from tuneframe.plans.prepare import prepare_turns
+from tuneframe.plans.prepare import prepare_samples, prepare_turns
 
 CHAT = "conversations array<struct<role:string,content:string>>"
 SHAREGPT = "conversations array<struct<`from`:string,value:string>>"
@@ -83,16 +83,29 @@ def test_instruction(spark):
     assert messages(S.to_messages(short)) == [[("user", "do"), ("assistant", "done")]]
 
 
-def test_nest_keeps_order_and_splits_long(spark):
+def test_nest_keeps_long_conversations_whole(spark):
     turns = spark.range(2500).select(
-        F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.lit("user").alias("role"),
+        F.lit(1).alias("conv_id"), (F.col("id") * 3 + 7).alias("turn"), F.lit("user").alias("role"),
         F.concat(F.lit("t"), "id").alias("text"),
     ).repartition(7)
     nested = S.nest_turns(turns)
-    assert sorted((r["part"], len(r["messages"])) for r in nested.collect()) == [(0, 1024), (1, 1024), (2, 452)]
-    back = S.unnest_messages(nested, "conv_id").withColumnRenamed("content", "text")
-    assert back.exceptAll(turns.select("conv_id", "turn", "role", "text")).isEmpty()
-    assert back.count() == 2500
+    assert [len(r["messages"]) for r in nested.collect()] == [2500]
+    back = S.unnest_messages(nested, "conv_id").orderBy("turn").collect()
+    assert [(r["turn"], r["content"]) for r in back] == [(i, f"t{i}") for i in range(2500)]
+
+
+@pytest.mark.parametrize("limit", [1024, 60_000])
+def test_both_ways_to_prepare_agree(spark, limit):
+    """A conversation of 1,500 turns with gaps is one sample: kept whole or not at all."""
+    turns = spark.createDataFrame(
+        [(1, 5 + 2 * t, "user" if t % 2 == 0 else "assistant", f"turn {t}") for t in range(1500)]
+        + [(2, t, "user" if t % 2 == 0 else "assistant", "short") for t in range(4)],
+        "conv_id long, turn long, role string, text string",
+    )
+    limits = LengthLimits(limit)
+    by_turns = {(r["conv_id"], r["text"]) for r in prepare_turns(turns, limits).collect()}
+    by_rows = {(r["conv_id"], r["text"]) for r in prepare_samples(S.nest_turns(turns), limits).collect()}
+    assert by_turns == by_rows and {c for c, _ in by_turns} == ({1, 2} if limit > 1024 else {2})
 
 
 RENDERED = {
@@ -118,17 +131,6 @@ def test_unrenderable_is_empty(spark):
     assert render_chat(system, "gemma").first()["text"] == ""
 
 
-@pytest.mark.parametrize("name", sorted(TEMPLATES))
-def test_parts_put_together_give_the_text(spark, name):
-    turns = spark.createDataFrame(
-        [(1, t, "user" if t % 2 == 0 else "assistant", f"t{t}") for t in range(7)],
-        "conv_id long, turn long, role string, text string",
-    )
-    whole = render_chat(S.nest_turns(turns), name).first()["text"]
-    parts = render_chat(S.nest_turns(turns, part_turns=3), name).orderBy("part").collect()
-    assert len(parts) == 3 and "".join(r["text"] for r in parts) == whole
-
-
 def test_template_lookup():
     with pytest.raises(ValueError):
         get_template("mistral")
@@ -158,10 +160,7 @@ def test_hot_conversation_is_removed_before_it_is_gathered(spark):
     broken = [(98, t, "moderator", "x") for t in range(30)]
     turns = spark.createDataFrame(small + hot + broken, "conv_id long, turn long, role string, text string")
     limits = LengthLimits(150)
-    plain = sorted(map(tuple, prepare_turns(turns, limits).collect()))
-    spread = sorted(map(tuple, prepare_turns(turns, limits, turn_cap=10).collect()))
-    by_size = sorted(map(tuple, prepare_turns(turns, limits, char_cap=300).collect()))
-    assert plain == spread == by_size and len(plain) == 40
+    assert len(prepare_turns(turns, limits).collect()) == 40
 
 
 def test_opening_counts_once(spark):

@@ -138,9 +138,12 @@ def test_compatibility(spark):
     assert got[(False, False, True)] == "ok_standard_template"
 
 
-def test_limit_by_key_beyond_the_sorted_limit(spark):
+def test_limit_by_key(spark):
     df = spark.range(1000).withColumn("id", (F.col("id") * 37) % 1000)
     for n in (1, 10, 999, 1000, 5000):
-        got = {r["id"] for r in splits.limit_samples(df, n, "id", sorted_rows=0).collect()}
+        got = {r["id"] for r in splits.limit_samples(df, n, "id").collect()}
         assert got == set(range(min(n, 1000)))
     assert splits.limit_samples(df, 0, "id").count() == 1000
+    ties = spark.createDataFrame([(None, 1), (2, 9), (2, 5), (2, 7), (None, 3), (3, 1)], "id int, x int")
+    for n, want in ((1, [1]), (2, [1, 3]), (3, [1, 3, 5]), (4, [1, 3, 5, 7]), (5, [1, 3, 5, 7, 9]), (9, [1, 1, 3, 5, 7, 9])):
+        assert sorted(r["x"] for r in splits.limit_samples(ties, n, "id").collect()) == want

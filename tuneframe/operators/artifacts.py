@@ -89,18 +89,21 @@ def matches(name: Column, *patterns: str) -> Column:
     return name.rlike(glob_regex(patterns))
 
 
+def at_top(artifacts: DataFrame) -> Column:
+    """Whether an item lies directly in its area; without a column ``depth`` all do."""
+    return F.col("depth") == 0 if "depth" in artifacts.columns else F.lit(True)
+
+
 def area_sizes(artifacts: DataFrame, pattern: str = "*") -> DataFrame:
-    """Bytes of all files and the number of files matching ``pattern``, per model and area."""
-    return artifacts.groupBy("model", "area").agg(
-        F.sum("length").alias("bytes"), F.count_if(matches(F.col("name"), pattern)).alias("files")
-    )
+    """Bytes of all files, and the number of those directly in the area that match ``pattern``, per model and area."""
+    counted = at_top(artifacts) & matches(F.col("name"), pattern)
+    return artifacts.groupBy("model", "area").agg(F.sum("length").alias("bytes"), F.count_if(counted).alias("files"))
 
 
 def formats_available(artifacts: DataFrame, markers: Mapping[str, str] = FORMAT_MARKERS) -> DataFrame:
-    """One flag per format; models without any are left out."""
-    flags = {
-        area: (F.col("area") == area) & matches(F.col("name"), marker) for area, marker in markers.items()
-    }
+    """One flag per format, from markers directly in their area; models without any are left out."""
+    top = at_top(artifacts)
+    flags = {area: top & (F.col("area") == area) & matches(F.col("name"), marker) for area, marker in markers.items()}
     table = artifacts.groupBy("model").agg(*[F.bool_or(flag).alias(area) for area, flag in flags.items()])
     any_format = F.lit(False)
     for area in markers:
@@ -111,9 +114,9 @@ def formats_available(artifacts: DataFrame, markers: Mapping[str, str] = FORMAT_
 def cleanup_plan(
     artifacts: DataFrame, keep: Mapping[str, Sequence[str]] = KEEP, cache_dirs: Sequence[str] = ("__pycache__",)
 ) -> DataFrame:
-    """Items that can go: files of a known area that match none of its patterns.
+    """Items that can go: files directly in a known area that match none of its patterns.
 
-    With a column ``is_dir``, directories named in ``cache_dirs`` go too and count no
+    Nothing below a directory of an area is listed. With a column ``is_dir``, directories named in ``cache_dirs`` go too and count no
     bytes; other directories stay. This is a plan; nothing is deleted.
     """
     keeps = F
@@ -125,7 +128,7 @@ def cleanup_plan(
         known = F.col("area").isin(*keep)
         removable = F.when(F.col("is_dir"), known & F.col("name").isin(*cache_dirs)).otherwise(removable)
         size = F.when(F.col("is_dir"), 0).otherwise(size)
-    return artifacts.filter(removable).withColumn("freed_bytes", size.cast("bigint"))
+    return artifacts.filter(at_top(artifacts) & removable).withColumn("freed_bytes", size.cast("bigint"))
 
 
 def cleanup_summary(plan: DataFrame) -> DataFrame:
@@ -146,7 +149,7 @@ def quant_quality(quant: Column) -> Column:
 
 
 def quant_table(artifacts: DataFrame) -> DataFrame:
-    files = artifacts.filter((F.col("area") == "gguf") & F.col("name").endswith(".gguf"))
+    files = artifacts.filter(at_top(artifacts) & (F.col("area") == "gguf") & F.col("name").endswith(".gguf"))
     quant = files.withColumn("quant", quant_name(F.col("name")))
     return quant.select(
         "model", "name", "quant", (F.col("length") / GB).alias("size_gb"), quant_quality(F.col("quant")).alias("quality")

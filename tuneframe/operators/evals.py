@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tuneframe.functions.scalars import fixed_point
-from tuneframe.plans.skew import join_keyed
 
 BASE, TUNED = "base", "fine-tuned"
 SUFFIX = ",none"
@@ -39,8 +38,6 @@ EXPECTED_SCORES = {
 # Fixed value: the tasks named to whoever asks for a misspelt truthfulness task.
 TRUTHFUL_HINT = ("truthfulqa_mc1", "truthfulqa_mc2")
 
-MAX_TASKS = 10_000
-
 _SCORE_KEY = ("model", "variant", "run_ts", "task")
 
 
@@ -110,13 +107,13 @@ def latest_runs(runs: DataFrame, scores: DataFrame | None = None) -> DataFrame:
 def latest_scores(scores: DataFrame, runs: DataFrame | None = None) -> DataFrame:
     """All base scores, and of each model the fine-tuned scores of its newest run."""
     newest = latest_runs(runs if runs is not None else scores)
-    return keep_latest(scores, newest, ["task", "key", "run_ts"])
+    return keep_latest(scores, newest)
 
 
-def keep_latest(rows: DataFrame, newest: DataFrame, spread: Sequence[str]) -> DataFrame:
+def keep_latest(rows: DataFrame, newest: DataFrame) -> DataFrame:
     """Base rows, and fine-tuned rows of the run named in ``newest(model, run_ts)``."""
     named = newest.select("model", F.col("run_ts").alias("__newest"))
-    joined = join_keyed(rows, named, ["model"], spread, "left")
+    joined = rows.join(named, "model", "left")
     is_base = F.col("variant") == BASE
     return joined.filter(is_base | (F.col("run_ts") == F.col("__newest"))).select(*rows.columns)
 
@@ -190,28 +187,21 @@ def summary(scores: DataFrame) -> DataFrame:
     )
 
 
-def leaderboard(scores: DataFrame, tasks: Sequence[str] | None = None) -> DataFrame:
-    """Models and variants by task, four decimals or a dash; models without tuned scores are left out.
+def leaderboard_rows(scores: DataFrame) -> DataFrame:
+    """(model, variant, task, shown): primary scores with four decimals; models without tuned scores are left out.
 
-    ``scores`` has at most one run per model and variant. Without ``tasks`` their names
-    are read first; they become columns, so more than ``MAX_TASKS`` are refused.
+    ``scores`` has at most one run per model and variant. One row per score, for any number of tasks.
     """
-    names = sorted(tasks) if tasks is not None else task_names(scores)
-    best = primary_metric(scores, "leaderboard")
-    text = best.withColumn("shown", fixed_point(F.col("value"), 4))
-    table = text.groupBy("model", "variant").pivot("task", names).agg(F.first("shown"))
-    filled = table.select("model", "variant", *[F.coalesce(F.col(f"`{c}`"), F.lit("-")).alias(c) for c in names])
-    # A model has two rows here at most.
-    has_tuned = F.bool_or(F.col("variant") == TUNED).over(Window.partitionBy("model"))
-    return filled.withColumn("__tuned", has_tuned).filter("__tuned").drop("__tuned")
+    best = primary_metric(scores, "leaderboard").withColumn("shown", fixed_point(F.col("value"), 4))
+    tuned = best.filter(F.col("variant") == TUNED).select("model").distinct()
+    return best.join(tuned, "model", "left_semi").select("model", "variant", "task", "shown")
 
 
-def task_names(rows: DataFrame, max_tasks: int = MAX_TASKS) -> list[str]:
-    """The sorted names in the column ``task``."""
-    found = [r["task"] for r in rows.select("task").distinct().limit(max_tasks + 1).collect()]
-    if len(found) > max_tasks:
-        raise ValueError(f"more than {max_tasks} tasks; name the ones to show")
-    return sorted(found)
+def leaderboard(scores: DataFrame, tasks: Sequence[str]) -> DataFrame:
+    """``leaderboard_rows`` with the named tasks as columns, a dash where a task has no score."""
+    names = sorted(tasks)
+    table = leaderboard_rows(scores).groupBy("model", "variant").pivot("task", names).agg(F.first("shown"))
+    return table.select("model", "variant", *[F.coalesce(F.col(f"`{c}`"), F.lit("-")).alias(c) for c in names])
 
 
 def expected_scores(spark: SparkSession, scores: Mapping[str, float] = EXPECTED_SCORES) -> DataFrame:
@@ -220,7 +210,7 @@ def expected_scores(spark: SparkSession, scores: Mapping[str, float] = EXPECTED_
 
 def baseline_gap(best: DataFrame, expected: DataFrame) -> DataFrame:
     """Primary scores against ``expected(task, expected)``, one row per task."""
-    joined = join_keyed(best, expected, ["task"], ["model", "run_ts"], "left")
+    joined = best.join(expected, "task", "left")
     return joined.withColumn("gap", F.col("value") - F.col("expected"))
 
 

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tuneframe.functions.names import template_for_model
 from tuneframe.functions.templates import ChatTemplate, get_template
-from tuneframe.plans.skew import join_keyed
 
 
 class NoSamplesLeft(ValueError):
@@ -36,25 +35,18 @@ def select_template(
         choices.append(F.col(own))
     if known is not None:
         keyed = known.select(F.col("model_name").alias(name), "known_template")
-        models = join_keyed(models, keyed, [name], [c for c in models.columns if c != name], "left")
+        models = models.join(keyed, name, "left")
         choices.append(F.col("known_template"))
     out = models.withColumn("template", F.coalesce(*choices, template_for_model(F.col(name))))
     return out.drop("known_template")
 
 
 def render_chat(df: DataFrame, template: str | ChatTemplate = "chatml") -> DataFrame:
-    """Replace ``messages`` by ``text``, without a prompt for a next answer.
-
-    The parts of a split conversation, put together in order, give its text.
-    """
-    text = get_template(template).render(F.col("messages"), _starts(df))
+    """Replace ``messages`` by ``text``, without a prompt for a next answer."""
+    text = get_template(template).render(F.col("messages"))
     return computed_once(df.withColumn("text", text).drop("messages"), "text")
 
 
-def _starts(df: DataFrame) -> Column | None:
-    return F.col("part") == 0 if "part" in df.columns else None
-
-
 def render_switched(
     df: DataFrame, template: str | ChatTemplate, action: str = "action", fallback: str | ChatTemplate = "chatml"
 ) -> DataFrame:
@@ -64,10 +56,10 @@ def render_switched(
     actions are those of ``compatibility``; without a switch in the template the
     fallback takes the place of turning reasoning off.
     """
-    messages, starts = F.col("messages"), _starts(df)
+    messages = F.col("messages")
     use_fallback = F.col(action) == "use_chatml"
-    text = F.when(use_fallback, get_template(fallback).render(messages, starts)).otherwise(
-        get_template(template).render(messages, starts)
+    text = F.when(use_fallback, get_template(fallback).render(messages)).otherwise(
+        get_template(template).render(messages)
     )
     thinking = ~F.col(action).isin("use_chatml", "disable_thinking")
     return computed_once(df.withColumns({"text": text, "thinking": thinking}).drop("messages"), "text")

@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tuneframe.functions.names import backup_name, backup_parts
-from tuneframe.plans.ordered import GROUP_CAP, running, with_halo
-from tuneframe.plans.skew import join_keyed
+from tuneframe.plans.ordered import running, with_halo
 from tuneframe.sources.runs import LOSS_COLUMNS
 
 
@@ -108,7 +107,6 @@ def loss_health(
     window: int = 5,
     spike: float = 2.0,
     plateau: float = 0.01,
-    group_cap: int = GROUP_CAP,
     block: int = 100_000,
 ) -> DataFrame:
     """Label each loss row ``start``, ``spike``, ``rising``, ``plateau`` or ``falling``.
@@ -118,7 +116,7 @@ def loss_health(
     run is cut into blocks that overlap by the window.
     """
     totals = {"rn": ("count", F.lit(1)), "best_loss": ("min", F.col("loss"))}
-    rows = running(loss_rows(log, run), totals, [order], [run], group_cap)
+    rows = running(loss_rows(log, run), totals, [order], [run])
     blocks = with_halo(rows, "rn", window, block)
     frame = Window.partitionBy(run, "block").orderBy("rn")
     judged = blocks.withColumns(
@@ -145,6 +143,4 @@ def compare_runs(runs: DataFrame, comparison: DataFrame, task: str | None = None
     """
     scores = comparison if task is None else comparison.filter(F.col("task") == task)
     settings = runs.select("model", "dataset_name", "learning_rate", "lora_rank")
-    return join_keyed(
-        scores.select("model", "task", "metric", "delta", "delta_percent"), settings, ["model"], ["task"]
-    )
+    return scores.select("model", "task", "metric", "delta", "delta_percent").join(settings, "model")

@@ -19,8 +19,6 @@ ROLE_ALIASES = {
     "output": "assistant",
 }
 
-PART_TURNS = 1024
-
 
 def detect_format(schema: T.StructType) -> str:
     """``qa``, ``strings``, ``sharegpt``, ``chat``, ``instruction`` or ``other``, from the schema alone.
@@ -131,33 +129,27 @@ def to_messages(df: DataFrame) -> DataFrame:
 
 
 def nest_turns(
-    turns: DataFrame,
-    conv: str = "conv_id",
-    turn: str = "turn",
-    role: str = "role",
-    text: str = "text",
-    part_turns: int = PART_TURNS,
+    turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text"
 ) -> DataFrame:
-    """One row per conversation with its messages in turn order.
+    """One row per conversation, whole, with its messages in turn order.
 
-    ``(conv, turn)`` is unique. A conversation longer than ``part_turns`` continues in
-    rows with ``part`` 1, 2, ..., so no row and no task has to hold a conversation of
-    unbounded length; every shorter one is the single row with ``part`` 0.
+    ``(conv, turn)`` is unique; turns may start anywhere and have gaps. A row holds all
+    of a conversation, so where conversations can be longer than a row should be, those
+    that a length limit drops are removed first: ``plans.prepare.prepare_turns`` does so.
     """
     entry = F.struct(F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(text).alias("content"))
     return (
-        turns.groupBy(conv, F.floor(F.col(turn) / part_turns).alias("part"))
+        turns.groupBy(conv)
         .agg(F.sort_array(F.collect_list(entry)).alias("__turns"))
-        .select(conv, "part", F.transform("__turns", lambda t: _message(t["role"], t["content"])).alias("messages"))
+        .select(conv, F.transform("__turns", lambda t: _message(t["role"], t["content"])).alias("messages"))
     )
 
 
-def unnest_messages(df: DataFrame, *keep: str, part_turns: int = PART_TURNS) -> DataFrame:
-    """One row per message; ``turn`` counts from 0, over the parts of a split conversation."""
-    offset = F.col("part") * part_turns if "part" in df.columns else F.lit(0)
-    return df.select(*keep, offset.alias("__offset"), F.posexplode("messages").alias("__pos", "__message")).select(
+def unnest_messages(df: DataFrame, *keep: str) -> DataFrame:
+    """One row per message; ``turn`` counts from 0."""
+    return df.select(*keep, F.posexplode("messages").alias("__pos", "__message")).select(
         *keep,
-        (F.col("__pos") + F.col("__offset")).cast("bigint").alias("turn"),
+        F.col("__pos").cast("bigint").alias("turn"),
         F.col("__message.role").alias("role"),
         F.col("__message.content").alias("content"),
     )

@@ -16,7 +16,7 @@ def load_scores(spark: SparkSession, root: str, skip_empty: bool = False) -> Dat
     files = read_eval_results(spark, root)
     if not skip_empty:
         # The run is chosen from paths alone, and only its documents are parsed.
-        files = keep_latest(files, latest_runs(files), ["run_ts", "file"])
+        files = keep_latest(files, latest_runs(files))
     raw = parse_eval_results(one_file_per_run(files), "model", "variant", "run_ts")
     scores = normalise_metrics(raw)
     return latest_scores(scores) if skip_empty else scores

@@ -1,10 +1,8 @@
 """Ordered computations that never put one key, or the whole table, into one task.
 
-Spark evaluates a window by gathering each partition key in one task. That is fine
-while the largest group is small, which is checked by a count over the key columns
-alone. Beyond the cap the rows are range-partitioned by key and order, so that a hot
-key is spread over many slices; every slice is computed by itself and then shifted
-by a carry from the slices before it. A range cut can split one key per slice at
+Spark evaluates a window by gathering each partition key in one task. Here rows are
+range-partitioned by key and order, so that a hot key is spread over many slices; every
+slice is computed by itself and then shifted by a carry from the slices before it. A range cut can split one key per slice at
 most, so there are never more carries than slices.
 """
 
@@ -17,8 +15,6 @@ from pyspark.sql import functions as F
 
 from tuneframe.session import settle
 
-GROUP_CAP = 1_000_000
-
 _SLICE = "__slice"
 _AGGREGATE = {"sum": F.sum, "min": F.min, "max": F.max, "count": F.count}
 _MERGE = {
@@ -29,26 +25,16 @@ _MERGE = {
 }
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the most frequent key; counts are combined before they are shuffled."""
-    return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-
-
 def running(
     df: DataFrame,
     totals: Mapping[str, tuple[str, Column]],
     order: Sequence[str],
     keys: Sequence[str] = (),
-    group_cap: int = GROUP_CAP,
 ) -> DataFrame:
     """Add running aggregates ``{column: (sum|count|min|max, value)}`` up to each row.
 
     ``order`` has to be unique within a key.
     """
-    if keys and largest_group(df, keys) <= group_cap:
-        frame = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumns({name: _AGGREGATE[kind](value).over(frame) for name, (kind, value) in totals.items()})
-
     sliced = settle(df.repartitionByRange(*keys, *order).withColumn(_SLICE, F.spark_partition_id()))
     frame = Window.partitionBy(_SLICE, *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = sliced.withColumns({name: _AGGREGATE[kind](value).over(frame) for name, (kind, value) in totals.items()})
@@ -56,12 +42,10 @@ def running(
     return _merge(local, carries, {name: kind for name, (kind, _) in totals.items()}, keys)
 
 
-def number_rows(
-    df: DataFrame, order: Sequence[str], keys: Sequence[str] = (), name: str = "rn", group_cap: int = GROUP_CAP
-) -> DataFrame:
+def number_rows(df: DataFrame, order: Sequence[str], keys: Sequence[str] = (), name: str = "rn") -> DataFrame:
     """Row number from 1 within each key, or over the whole table without keys."""
     if keys:
-        return running(df, {name: ("count", F.lit(1))}, order, keys, group_cap)
+        return running(df, {name: ("count", F.lit(1))}, order, keys)
     # Rows of a sorted slice carry their position in monotonically_increasing_id, so
     # numbering a whole table takes the range shuffle and no second one.
     placed = settle(

@@ -10,10 +10,6 @@ from tuneframe.functions.text import LengthLimits, count_tokens, estimate_from_c
 from tuneframe.operators.lengths import add_lengths, conversation_lengths, filter_length, final_length, length_stats
 from tuneframe.operators.rendering import drop_empty, render_chat
 from tuneframe.operators.standardize import canonical_role, to_messages
-from tuneframe.plans.ordered import GROUP_CAP
-from tuneframe.plans.skew import join_keyed
-
-CHAR_CAP = 64_000_000
 
 
 def prepare_samples(samples: DataFrame, limits: LengthLimits, template: str | ChatTemplate = "chatml") -> DataFrame:
@@ -36,32 +32,24 @@ def prepare_turns(
     turns: DataFrame,
     limits: LengthLimits,
     template: str | ChatTemplate = "chatml",
-    turn_cap: int = GROUP_CAP,
-    char_cap: int = CHAR_CAP,
 ) -> DataFrame:
     """Rendered texts within the limit, one row per conversation, from its turns.
 
-    A text within the limit is short, so gathering it is safe; what must not be
-    gathered is a huge conversation, which the length filter drops anyway. Those over
-    ``turn_cap`` turns or ``char_cap`` characters that cannot be kept are found from
-    sums and removed before the turns are brought together. There are at most
-    turns / ``turn_cap`` + characters / ``char_cap`` of them.
+    A text within the limit is short, so gathering it is safe. Conversations that cannot
+    be kept, whatever their size, are found from sums over their turns and removed
+    before any turns are brought together.
     """
     shape = get_template(template)
     message = (F.col("role"), F.col("text"))
     sized = canonical_turns(turns).withColumn("__chars", shape.piece_chars(*message))
     sums = sized.groupBy("conv_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.length("text").cast("bigint")).alias("raw_chars"),
         F.sum("__chars").alias("chars"),
         F.bool_or(F.col("__chars").isNull()).alias("broken"),
     )
-    huge = (F.col("n") > turn_cap) | (F.col("raw_chars") > char_cap)
-    lost = F.col("broken") | (estimate_from_chars(F.col("chars")) > limits.upper)
-    hopeless = sums.filter(huge & lost).select("conv_id")
-    rest = join_keyed(sized, hopeless, ["conv_id"], ["turn"], "left_anti")
+    lost = F.col("broken") | (estimate_from_chars(F.col("chars") + len(shape.opening)) > limits.upper)
+    rest = sized.join(sums.filter(lost).select("conv_id"), "conv_id", "left_anti")
 
-    # What is left has few turns and characters, or is short enough to be kept. The
+    # What is left is short enough to be kept. The
     # filter works on sums; a text is put together where it is kept or borderline.
     grouped = rest.select("conv_id", "turn", "__chars", shape.piece(*message).alias("piece")).groupBy("conv_id").agg(
         F.sort_array(F.collect_list(F.struct("turn", "piece"))).alias("__turns"),

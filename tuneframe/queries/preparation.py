@@ -12,7 +12,6 @@ from tuneframe.operators import rendering as R
 from tuneframe.operators import standardize as S
 from tuneframe.operators.profiling import compatibility, flag_reasoning_turns
 from tuneframe.plans.prepare import canonical_turns, conversation_stats, prepare_samples, prepare_turns
-from tuneframe.plans.skew import join_keyed
 from tuneframe.queries.registry import query, scratch, table
 from tuneframe.sources import prepared as P
 from tuneframe.sources.splits import limit_samples as first_samples
@@ -163,15 +162,14 @@ def qa_to_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """WITH numbered AS (
-  SELECT conv_id, turn // 1024 AS part, text,
-    row_number() OVER (PARTITION BY conv_id, turn // 1024 ORDER BY turn) - 1 AS i
+  SELECT conv_id, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS i
   FROM conversations WHERE role <> 'system')
-SELECT conv_id, part * 1024 + i AS turn, CASE i % 2 WHEN 0 THEN 'user' ELSE 'assistant' END AS role, text AS content
+SELECT conv_id, i AS turn, CASE i % 2 WHEN 0 THEN 'user' ELSE 'assistant' END AS role, text AS content
 FROM numbered"""
 )
 def strings_to_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     nested = S.nest_turns(table(spark, sf_dir, "conversations").filter(F.col("role") != "system"))
-    strings = nested.select("conv_id", "part", F.col("messages.content").alias("conversations"))
+    strings = nested.select("conv_id", F.col("messages.content").alias("conversations"))
     return S.unnest_messages(S.to_messages(strings), "conv_id")
 
 
@@ -260,17 +258,17 @@ def select_template(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.select_template(models, known=known)
 
 
-@query(f"SELECT conv_id, turn // 1024 AS part, string_agg({PIECE}, '' ORDER BY turn) AS text FROM conversations GROUP BY ALL")
+@query(f"SELECT conv_id, string_agg({PIECE}, '' ORDER BY turn) AS text FROM conversations GROUP BY ALL")
 def render_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_texts(spark, sf_dir)
 
 
 @query(
-    r"""SELECT conv_id, turn // 1024 AS part, string_agg(
+    r"""SELECT conv_id, string_agg(
     CASE turn WHEN 0 THEN '<|begin_of_text|>' ELSE '' END ||
     '<|start_header_id|>' || role || '<|end_header_id|>' || chr(10) || chr(10) ||
     trim(text, ' ' || chr(9) || chr(10) || chr(13)) || '<|eot_id|>', '' ORDER BY turn) AS text
-FROM conversations GROUP BY conv_id, turn // 1024"""
+FROM conversations GROUP BY conv_id"""
 )
 def render_chat_llama3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.render_chat(S.nest_turns(table(spark, sf_dir, "conversations")), "llama3")
@@ -311,7 +309,7 @@ FROM conversations JOIN acts USING (conv_id) GROUP BY ALL"""
 def thinking_switch(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations")
     flags = flag_reasoning_turns(turns, markers=("tion",))
-    nested = join_keyed(S.nest_turns(turns), flags, ["conv_id"], ["part"])
+    nested = S.nest_turns(turns).join(flags, "conv_id")
     action = compatibility(F.lit(True), F.col("has_reasoning"), F.col("conv_id") % 2 == 0)
     return R.render_switched(nested.withColumn("action", action), "phi-3").select("conv_id", "action", "thinking", "text")
 

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tuneframe.operators.evals import BASE, TUNED, summary
-from tuneframe.plans.skew import join_keyed
 
 # Fixed value: where a result file lies below the output root.
 RESULT_PATH = r"([^/]+)/benchmarks/(base|fine-tuned)/(?:([^/]+)/)?lm-eval/(?:.*/)?(results_[^/]*\.json)$"
@@ -48,7 +47,7 @@ def one_file_per_run(files: DataFrame, by: str = "file") -> DataFrame:
     named = files.withColumn("__run", F.coalesce("run_ts", F.lit("")))
     order = F.struct(F.col(by).alias("by"), F.col("file"))
     chosen = named.groupBy(*key).agg(F.max(order).alias("__best")).select(*key, F.col("__best.file").alias("file"))
-    return join_keyed(named, chosen, [*key, "file"], ["file"], "left_semi").select(*files.columns)
+    return named.join(chosen, [*key, "file"], "left_semi").select(*files.columns)
 
 
 def task_results(document: Column) -> Column:

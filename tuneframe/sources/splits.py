@@ -28,18 +28,23 @@ def load_jsonl(spark: SparkSession, path: str, schema: T.StructType | str) -> Da
     return spark.read.schema(schema).json(path)
 
 
-SORTED_ROWS = 100_000
+def limit_samples(df: DataFrame, n: int, order_key: str) -> DataFrame:
+    """The first ``n`` rows by a key, exactly; 0 keeps everything.
 
-
-def limit_samples(df: DataFrame, n: int, order_key: str, sorted_rows: int = SORTED_ROWS) -> DataFrame:
-    """The first ``n`` rows by a unique key; 0 keeps everything.
-
-    A sorted limit ends in one task, so beyond ``sorted_rows`` the keys are numbered in
-    parallel and the rows up to the n-th key are read by a filter on it.
+    Null keys come first; rows of equal keys are taken in the order of their other columns.
+    Keys alone are numbered, in parallel, and the rows are read by a filter on the n-th.
     """
     if n <= 0:
         return df
-    if n <= sorted_rows:
-        return df.orderBy(order_key).limit(n)
-    last = number_rows(df.select(order_key), [order_key]).filter(F.col("rn") == n).first()
-    return df.filter(F.col(order_key) <= F.lit(last[order_key])) if last else df
+    numbered = number_rows(df.select(F.col(order_key).alias("key")), ["key"])
+    last = numbered.filter(F.col("rn") == n).select("key").first()
+    if last is None:
+        return df
+    key, bound = F.col(order_key), F.lit(last["key"]).cast(df.schema[order_key].dataType)
+    ties = numbered.filter(F.col("key").eqNullSafe(bound)).agg(F.min("rn").alias("first"), F.max("rn").alias("last")).first()
+    earlier = (F.lit(False) if last["key"] is None else key.isNull()) | F.coalesce(key < bound, F.lit(False))
+    same = key.eqNullSafe(bound)
+    if ties["last"] == n:
+        return df.filter(earlier | same)
+    others = [c for c in df.columns if c != order_key]
+    return df.filter(earlier).unionByName(df.filter(same).orderBy(*others).limit(n - ties["first"] + 1))
