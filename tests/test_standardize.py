@@ -1,11 +1,11 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tuneframe.functions.templates import TEMPLATES, ChatTemplate, get_template
+from tuneframe.functions.templates import SAME_MARKUP, TEMPLATES, ChatTemplate, get_template, without_thinking
 from tuneframe.functions.text import LengthLimits, count_tokens
 from tuneframe.operators import lengths as L
 from tuneframe.operators import standardize as S
-from tuneframe.operators.rendering import render_chat
+from tuneframe.operators.rendering import render_by_template, render_chat, render_switched
 from tuneframe.plans.prepare import prepare_samples, prepare_turns
 
 CHAT = "conversations array<struct<role:string,content:string>>"
@@ -113,10 +113,28 @@ RENDERED = {
     "llama3": "<|begin_of_text|><|start_header_id|>user<|end_header_id|>\n\nhi<|eot_id|>"
     "<|start_header_id|>assistant<|end_header_id|>\n\nyo<|eot_id|>",
     "phi-3": "<|user|>\n hi <|end|>\n<|assistant|>\nyo<|end|>\n",
+    "llama": "<s>[INST] hi [/INST] yo </s><s>",
+    "mistral": "<s>[INST] hi [/INST] yo</s>",
     "gemma": "<bos><start_of_turn>user\nhi<end_of_turn>\n<start_of_turn>model\nyo<end_of_turn>\n",
 }
 
 
+RENDERED |= {name: RENDERED[other] for name, other in SAME_MARKUP.items()}
+
+
+def test_render_by_template(spark):
+    rows = [(name, [("user", " hi "), ("assistant", "yo")]) for name in [*TEMPLATES, "unheard-of", None]]
+    df = spark.createDataFrame(rows, "template string, " + CHAT.replace("conversations", "messages"))
+    got = {r["template"]: r["text"] for r in render_by_template(df).collect()}
+    assert got == {**RENDERED, "unheard-of": "", None: ""}
+
+
+def test_thinking_is_switched_off(spark):
+    df = spark.createDataFrame([("disable_thinking", [("user", "hi"), ("assistant", "yo")])], "action string, " + CHAT.replace("conversations", "messages"))
+    assert "<|im_start|>assistant\n<think>\n\n</think>\n\nyo<|im_end|>" in render_switched(df, "qwen3").first()["text"]
+    assert without_thinking("gemma") == get_template("gemma")
+
+
 @pytest.mark.parametrize("name", sorted(TEMPLATES))
 def test_templates(spark, name):
     df = spark.createDataFrame([([("user", " hi "), ("assistant", "yo")],)], CHAT.replace("conversations", "messages"))
@@ -133,7 +151,7 @@ def test_unrenderable_is_empty(spark):
 
 def test_template_lookup():
     with pytest.raises(ValueError):
-        get_template("mistral")
+        get_template("unheard-of")
     with pytest.raises(ValueError):
         ChatTemplate("joined", {"user": ("user: ", "x")})
     own = ChatTemplate("own", {"user": ("<u>", "</u>")})

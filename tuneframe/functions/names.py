@@ -123,11 +123,12 @@ def backup_parts(name: Column) -> Column:
         cut = F.concat_ws(joint, part.substr(1, first), part.substr(first + 1, 2), part.substr(first + 3, 2))
         return F.when(name.contains("_") & (F.length(part) == first + 4), cut).otherwise(unknown)
 
+    parts = F.split(name, "_")
+    behind = F.slice(parts, 3, F.greatest(F.size(parts) - 2, F.lit(0)))
+
     def last_with(tag: str) -> Column:
-        # The greedy middle leads to the last part with the tag behind the first two parts.
-        pattern = f"^[^_]*_[^_]*(?:_[^_]*)*_{tag}([^_]*)"
-        rest = F.replace(F.regexp_extract(name, pattern, 1), F.lit(tag), F.lit(""))
-        return F.when(name.rlike(pattern), rest).otherwise(unknown)
+        found = F.try_element_at(F.filter(behind, lambda part: part.startswith(tag)), F.lit(-1))
+        return F.coalesce(F.replace(found, F.lit(tag), F.lit("")), unknown)
 
     return F.struct(
         spread(date, 4, "-").alias("date"),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -108,6 +108,28 @@ TEMPLATES = {
 }
 
 
+# Further names under which the same markup is known.
+SAME_MARKUP = {"llama-3.1": "llama3", "qwen-2": "chatml", "qwen-2.5": "chatml", "qwen3": "chatml", "gemma2": "gemma", "gemma-3": "gemma"}
+TEMPLATES |= {name: replace(TEMPLATES[other], name=name) for name, other in SAME_MARKUP.items()}
+# Markup without a role for system messages.
+TEMPLATES |= {
+    "llama": ChatTemplate("llama", {"user": ("[INST] ", " [/INST]"), "assistant": (" ", " </s><s>")}, opening="<s>", strip=True),
+    "mistral": ChatTemplate("mistral", {"user": ("[INST] ", " [/INST]"), "assistant": (" ", "</s>")}, opening="<s>", strip=True),
+}
+# Fixed value: what an answer begins with where the family's thinking is switched off.
+THINKING_OFF = {"qwen3": "<think>\n\n</think>\n\n"}
+
+
+def without_thinking(template: str | ChatTemplate) -> ChatTemplate:
+    """The template with its thinking switched off, or as it is if the family has no switch."""
+    found = get_template(template)
+    mark = THINKING_OFF.get(found.name)
+    if mark is None:
+        return found
+    before, after = found.roles["assistant"]
+    return replace(found, roles={**found.roles, "assistant": (before + mark, after)})
+
+
 def get_template(template: str | ChatTemplate) -> ChatTemplate:
     if isinstance(template, ChatTemplate):
         return template

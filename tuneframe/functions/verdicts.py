@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -23,6 +23,11 @@ def direction(delta: Column) -> Column:
     return F.when(delta > 0, "↗").when(delta < 0, "↘").otherwise("→")
 
 
+def judge(compared: DataFrame) -> DataFrame:
+    """Verdict and direction beside each score change, which ``compare`` gives as a fraction."""
+    return compared.withColumns({"verdict": score_verdict(F.col("delta") * 100), "direction": direction(F.col("delta"))})
+
+
 def goal_verdict(general_change: Column, task_change: Column, bearable: float = 15.0, alarming: float = 20.0) -> Column:
     """Weigh a change in general benchmarks (percent) against the change in the own task.
 

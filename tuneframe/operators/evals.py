@@ -44,24 +44,23 @@ _SCORE_KEY = ("model", "variant", "run_ts", "task")
 def normalise_metrics(raw: DataFrame, tasks: Sequence[str] | None = None) -> DataFrame:
     """``raw(model, variant, run_ts, task, key, value)``, numeric values, to metric rows.
 
-    ``,none`` leaves the names. A standard error is attached to its metric whether
-    the file spells it ``acc_stderr,none`` or ``acc,none_stderr``; the two kinds of
-    rows meet in one aggregation instead of a self join.
+    One row per key. ``,none`` leaves the metric's name; the names of other filters stay. A
+    standard error is attached to the key it belongs to, in either order of suffixes
+    (``acc_stderr,none`` and ``acc,none_stderr``), for every filter; one without a score
+    under its key is left out. Keys meet in one aggregation, no self join.
     """
     rows = raw if tasks is None else raw.filter(F.col("task").isin(*tasks))
-    plain = F.replace(F.col("key"), F.lit(SUFFIX), F.lit(""))
-    is_error = plain.endswith("_stderr")
-    metric = F.regexp_replace(plain, "_stderr$", "")
-    value_of = F.struct(F.col("key"), F.col("value"))
+    key = F.regexp_replace("key", "_stderr(?=,|$)", "")
     return (
-        rows.withColumns({"metric": metric, "__error": is_error})
-        .groupBy(*_SCORE_KEY, "metric")
+        rows.withColumns({"__error": F.col("key").rlike("_stderr(,|$)"), "key": key})
+        .groupBy(*_SCORE_KEY, "key")
         .agg(
-            F.max(F.when(~F.col("__error"), value_of)).alias("score"),
+            F.max(F.when(~F.col("__error"), F.col("value"))).alias("value"),
+            F.bool_or(~F.col("__error")).alias("__scored"),
             F.max(F.when(F.col("__error"), F.col("value"))).alias("stderr"),
         )
-        .filter(F.col("score").isNotNull())
-        .select(*_SCORE_KEY, "score.key", "metric", "score.value", "stderr")
+        .filter("__scored")
+        .select(*_SCORE_KEY, "key", F.replace("key", F.lit(SUFFIX), F.lit("")).alias("metric"), "value", "stderr")
     )
 
 
@@ -75,15 +74,15 @@ def _rank(metric: Column, policy: Sequence[str]) -> Column:
 def primary_metric(scores: DataFrame, policy: str = "compare") -> DataFrame:
     """The preferred metric of every task in a run.
 
-    ``leaderboard`` takes names with or without the suffix and falls back to the
-    first other metric by name; the other policies want the suffix and else give no row.
+    ``leaderboard`` takes names with or without the suffix, bare ones first, and falls back
+    to the first other metric by name; the other policies want the suffix and else give no row.
     """
     rank = _rank(F.col("metric"), METRIC_POLICIES[policy])
     if policy == "leaderboard":
         rank = F.coalesce(rank, F.lit(len(METRIC_POLICIES[policy])))
     else:
         rank = F.when(F.col("key") == F.concat(F.col("metric"), F.lit(SUFFIX)), rank)
-    best = F.min(F.struct(F.col("__rank"), F.col("metric"), F.col("value")))
+    best = F.min(F.struct(F.col("__rank"), F.col("metric"), F.col("key").endswith(SUFFIX).alias("suffixed"), F.col("value")))
     return (
         scores.withColumn("__rank", rank)
         .filter(F.col("__rank").isNotNull())

@@ -42,19 +42,20 @@ def add_lengths_with(
 ) -> DataFrame:
     """The same with a tokenizer of the caller's, given Arrow batches of texts.
 
-    Spark would evaluate a Python function in a CASE branch for every row, so the
-    borderline rows take a branch of their own.
+    Spark evaluates a Python function in a CASE branch for every row, so the text of a
+    row that is not borderline is sent as null, and only the others are counted.
     """
 
     @F.pandas_udf("int")
     def exact(texts: pd.Series) -> pd.Series:
-        return counter(texts).astype("int32")
+        known = texts.dropna()
+        counts = counter(known).astype("Int32") if len(known) else pd.Series(dtype="Int32")
+        return counts.reindex(texts.index)
 
     est = df.withColumn("estimated_length", estimate_tokens(F.col(text)))
     zoned = est.withColumn("zone", length_zone(F.col("estimated_length"), limits))
-    near = zoned.filter(F.col("zone") == BORDERLINE).withColumn("length", exact(F.col(text)))
-    far = zoned.filter(F.col("zone") != BORDERLINE).withColumn("length", F.col("estimated_length"))
-    return near.unionByName(far)
+    near = F.when(F.col("zone") == BORDERLINE, F.col(text))
+    return zoned.withColumn("length", F.coalesce(exact(near), F.col("estimated_length")))
 
 
 def conversation_lengths(

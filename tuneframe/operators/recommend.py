@@ -80,7 +80,10 @@ def current_plan(n: Column, max_steps: Column, batch: Column, accumulation: Colu
 
 
 def overfit_steps(n: Column, max_steps: Column, effective: Column, epochs: Column) -> Column:
-    """The steps to use instead, where the steps set run over more than three epochs; else null."""
+    """The steps to use instead, where the steps set run over more than three epochs; else null.
+
+    ``epochs`` are those of the dataset's tier (``target_epochs``), not the ones set now.
+    """
     implied = F.try_divide((max_steps * effective).cast("double"), n)
     return F.when((max_steps > 0) & (implied > MAX_SAFE_EPOCHS), F.ceil(n / EFFECTIVE_BATCH) * epochs)
 

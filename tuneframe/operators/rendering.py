@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tuneframe.functions.names import template_for_model
-from tuneframe.functions.templates import ChatTemplate, get_template
+from tuneframe.functions.templates import TEMPLATES, ChatTemplate, get_template, without_thinking
 
 
 class NoSamplesLeft(ValueError):
@@ -50,21 +52,38 @@ def render_chat(df: DataFrame, template: str | ChatTemplate = "chatml") -> DataF
 def render_switched(
     df: DataFrame, template: str | ChatTemplate, action: str = "action", fallback: str | ChatTemplate = "chatml"
 ) -> DataFrame:
-    """Render with ``template``, or with the fallback where the action says so.
+    """Render with ``template``, with its thinking switched off, or with the fallback, as the action says.
 
-    Adds ``thinking``: whether the template's reasoning markup is to stay on. The
-    actions are those of ``compatibility``; without a switch in the template the
-    fallback takes the place of turning reasoning off.
+    Adds ``thinking``: whether the template's reasoning markup stays on. The actions are
+    those of ``compatibility``; without a switch in the template the fallback takes the
+    place of turning reasoning off.
     """
     messages = F.col("messages")
-    use_fallback = F.col(action) == "use_chatml"
-    text = F.when(use_fallback, get_template(fallback).render(messages)).otherwise(
-        get_template(template).render(messages)
+    text = (
+        F.when(F.col(action) == "use_chatml", get_template(fallback).render(messages))
+        .when(F.col(action) == "disable_thinking", without_thinking(template).render(messages))
+        .otherwise(get_template(template).render(messages))
     )
     thinking = ~F.col(action).isin("use_chatml", "disable_thinking")
     return computed_once(df.withColumns({"text": text, "thinking": thinking}).drop("messages"), "text")
 
 
+def render_by_template(df: DataFrame, template: str = "template", more: Mapping[str, ChatTemplate] | None = None) -> DataFrame:
+    """Replace ``messages`` by ``text`` in the markup each row's template column names.
+
+    ``more`` adds markup by name. A name without markup gives an empty text, as a
+    message that cannot be rendered does.
+    """
+    known = {**TEMPLATES, **(more or {})}
+    alike: dict[tuple, list[str]] = {}
+    for name, found in known.items():
+        alike.setdefault((tuple(found.roles.items()), found.opening, found.strip), []).append(name)
+    text = F
+    for names in alike.values():
+        text = text.when(F.col(template).isin(*names), known[names[0]].render(F.col("messages")))
+    return computed_once(df.withColumn("text", text.otherwise("")).drop("messages"), "text")
+
+
 def drop_empty(df: DataFrame, text: str = "text") -> DataFrame:
     return df.filter(F.length(text) > 0)
 

@@ -16,7 +16,7 @@ from tuneframe.sources import results as S
 
 KEYS = (
     "acc,none", "acc_stderr,none", "exact_match,none", "prompt_level_strict_acc,none", "inst_level_strict_acc,none",
-    "accuracy,none", "f1,none", "acc,none_stderr",
+    "accuracy,none", "f1,none", "acc,none_stderr", "acc", "exact_match,strict-match", "exact_match_stderr,strict-match",
 )
 KEYS_SQL = "[" + ", ".join(f"'{k}'" for k in KEYS) + "]"
 
@@ -52,11 +52,11 @@ RAW_SQL = f"""raw AS (SELECT 'm' || user_id // 2 AS model, CASE user_id % 2 WHEN
   CASE user_id % 2 WHEN 1 THEN substr(strftime(ts, '%Y-%m-%d'), 1, 9) END AS run_ts, event_type AS task,
   {KEYS_SQL}[CAST(json_extract_string(props, '$.k') AS INTEGER) % {len(KEYS)} + 1] AS key,
   arg_max(value, event_id) AS value FROM events GROUP BY ALL)"""
-SCORES_SQL = f"""{RAW_SQL}, named AS (SELECT *, replace(replace(key, ',none', ''), '_stderr', '') AS metric,
+SCORES_SQL = f"""{RAW_SQL}, named AS (SELECT model, variant, run_ts, task, value, replace(key, '_stderr', '') AS key,
   contains(key, '_stderr') AS err FROM raw),
-scores AS (SELECT model, variant, run_ts, task, metric, max(key) FILTER (NOT err) AS key,
+scores AS (SELECT model, variant, run_ts, task, key, replace(key, ',none', '') AS metric,
   max(value) FILTER (NOT err) AS value, max(value) FILTER (err) AS stderr
-  FROM named GROUP BY ALL HAVING count(*) FILTER (NOT err) > 0)"""
+  FROM named GROUP BY model, variant, run_ts, task, key HAVING count(*) FILTER (NOT err) > 0)"""
 CURRENT_SQL = f"""{SCORES_SQL}, newest AS (SELECT model, max(run_ts) AS run_ts FROM raw WHERE variant = 'fine-tuned'
   GROUP BY model),
 current AS (SELECT s.* FROM scores s LEFT JOIN newest n ON s.model = n.model
@@ -66,7 +66,7 @@ COMPARED_SQL = f"""{CURRENT_SQL},
 shared AS (SELECT b.model, b.task, b.metric, b.value AS base, t.value AS tuned,
     list_position({list(ORDER)}, b.metric) AS place
   FROM current b JOIN current t ON b.model = t.model AND b.task = t.task AND b.key = t.key
-  WHERE b.variant = 'base' AND t.variant = 'fine-tuned' AND b.metric IN {ORDER}),
+  WHERE b.variant = 'base' AND t.variant = 'fine-tuned' AND b.metric IN {ORDER} AND suffix(b.key, ',none')),
 best AS (SELECT * FROM shared QUALIFY row_number() OVER (PARTITION BY model, task ORDER BY place) = 1),
 both_sides AS (SELECT model, task FROM current GROUP BY model, task HAVING count(DISTINCT variant) = 2),
 compared AS (SELECT model, task, metric, coalesce(base, 0.0) AS base_accuracy, coalesce(tuned, 0.0) AS finetuned_accuracy,
@@ -137,10 +137,10 @@ def normalise_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _primary_sql(policy: str, fallback: bool = False) -> str:
     order = list(B.METRIC_POLICIES[policy])
-    where = "TRUE" if fallback else f"metric IN {tuple(order)}"
+    where = "TRUE" if fallback else f"metric IN {tuple(order)} AND suffix(key, ',none')"
     return f"""WITH {SCORES_SQL} SELECT model, variant, run_ts, task, metric, value FROM scores WHERE {where}
 QUALIFY row_number() OVER (PARTITION BY model, variant, run_ts, task
-  ORDER BY coalesce(list_position({order}, metric), 99), metric) = 1"""
+  ORDER BY coalesce(list_position({order}, metric), 99), metric, suffix(key, ',none')) = 1"""
 
 
 @query(_primary_sql("compare"))
@@ -222,7 +222,7 @@ def benchmark_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     f"""WITH {CURRENT_SQL}, best AS (SELECT model, variant, task, value FROM current
   QUALIFY row_number() OVER (PARTITION BY model, variant, task
-    ORDER BY coalesce(list_position({list(B.METRIC_POLICIES['leaderboard'])}, metric), 99), metric) = 1)
+    ORDER BY coalesce(list_position({list(B.METRIC_POLICIES['leaderboard'])}, metric), 99), metric, suffix(key, ',none')) = 1)
 SELECT model, variant, {', '.join(
     f"coalesce(max(printf('%.4f', value)) FILTER (task = '{t}'), '-') AS {t}"
     for t in ('click', 'error', 'purchase', 'signup', 'view'))}
@@ -242,16 +242,13 @@ def signed_percent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {COMPARED_SQL} SELECT model, task, CASE WHEN delta >= 10 THEN 'excellent' WHEN delta >= 5 THEN 'good'
-  WHEN delta >= 2 THEN 'marginal' WHEN delta >= 0 THEN 'weak' WHEN delta > -3 THEN 'acceptable loss'
-  WHEN delta >= -5 THEN 'regression' ELSE 'possible forgetting' END AS verdict,
+    f"""WITH {COMPARED_SQL} SELECT model, task, CASE WHEN delta * 100 >= 10 THEN 'excellent' WHEN delta * 100 >= 5 THEN 'good'
+  WHEN delta * 100 >= 2 THEN 'marginal' WHEN delta * 100 >= 0 THEN 'weak' WHEN delta * 100 > -3 THEN 'acceptable loss'
+  WHEN delta * 100 >= -5 THEN 'regression' ELSE 'possible forgetting' END AS verdict,
   CASE WHEN delta > 0 THEN '↗' WHEN delta < 0 THEN '↘' ELSE '→' END AS direction FROM compared"""
 )
 def score_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    delta = F.col("delta")
-    return B.compare(current_scores(spark, sf_dir)).select(
-        "model", "task", verdicts.score_verdict(delta).alias("verdict"), verdicts.direction(delta).alias("direction")
-    )
+    return verdicts.judge(B.compare(current_scores(spark, sf_dir))).select("model", "task", "verdict", "direction")
 
 
 @query(

@@ -13,13 +13,13 @@ from tuneframe.queries.registry import query, table
 NAMES = (
     "adapter_config.json", "adapter_model.safetensors", "optimizer.pt", "config.json", "model-00001.safetensors",
     "m-Q4_K_M.gguf", "m-F16.gguf", "notes.md", "tokenizer.json", "model.Q4_K_M.gguf", "adapterXconfig.json",
-    "m-Q8_0.gguf", "model.safetensors", "README.mdx",
+    "m-Q8_0.gguf", "model.safetensors", "README.mdx", "model.gguf",
 )
 NAMES_SQL = "[" + ", ".join(f"'{n}'" for n in NAMES) + "]"
 LANG_AREA = {"en": "lora", "de": "merged_16bit", "fr": "gguf"}
 FILES_SQL = f"""files AS (SELECT doc_id, source AS model, CASE lang WHEN 'en' THEN 'lora' WHEN 'de' THEN 'merged_16bit'
   WHEN 'fr' THEN 'gguf' ELSE 'merged_4bit' END AS area, {NAMES_SQL}[n_chars % {len(NAMES)} + 1] AS name,
-  n_chars * 1000 AS length FROM documents)"""
+  n_chars * 1000 AS length, doc_id % 3 // 2 AS depth FROM documents)"""
 
 
 def files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,22 +34,23 @@ def files(spark: SparkSession, sf_dir: str) -> DataFrame:
         area.otherwise("merged_4bit").alias("area"),
         F.element_at(F.array(*[F.lit(n) for n in NAMES]), pick).alias("name"),
         (F.col("n_chars") * 1000).alias("length"),
+        F.floor(F.col("doc_id") % 3 / 2).alias("depth"),
     )
 
 
 @query(
     f"""WITH {FILES_SQL} SELECT model, area, CAST(sum(length) AS BIGINT) AS bytes,
-  count(*) FILTER (name LIKE '%.gguf') AS files FROM files GROUP BY model, area"""
+  count(*) FILTER (depth = 0 AND name LIKE '%.gguf') AS files FROM files GROUP BY model, area"""
 )
 def area_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.area_sizes(files(spark, sf_dir), "*.gguf")
 
 
 @query(
-    f"""WITH {FILES_SQL}, flags AS (SELECT model, bool_or(area = 'lora' AND name = 'adapter_config.json') AS lora,
-  bool_or(area = 'merged_16bit' AND name = 'config.json') AS merged_16bit,
-  bool_or(area = 'merged_4bit' AND name = 'config.json') AS merged_4bit,
-  bool_or(area = 'gguf' AND suffix(name, '.gguf')) AS gguf FROM files GROUP BY model)
+    f"""WITH {FILES_SQL}, flags AS (SELECT model, bool_or(depth = 0 AND area = 'lora' AND name = 'adapter_config.json') AS lora,
+  bool_or(depth = 0 AND area = 'merged_16bit' AND name = 'config.json') AS merged_16bit,
+  bool_or(depth = 0 AND area = 'merged_4bit' AND name = 'config.json') AS merged_4bit,
+  bool_or(depth = 0 AND area = 'gguf' AND suffix(name, '.gguf')) AS gguf FROM files GROUP BY model)
 SELECT * FROM flags WHERE lora OR merged_16bit OR merged_4bit OR gguf"""
 )
 def formats_available(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,9 +58,9 @@ def formats_available(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {FILES_SQL}, flags AS (SELECT model, bool_or(area = 'lora' AND name = 'adapter_config.json') AS lora,
-  bool_or(area = 'merged_16bit' AND name = 'model.safetensors') AS merged_16bit,
-  bool_or(area = 'gguf' AND suffix(name, '.gguf')) AS gguf FROM files GROUP BY model)
+    f"""WITH {FILES_SQL}, flags AS (SELECT model, bool_or(depth = 0 AND area = 'lora' AND name = 'adapter_config.json') AS lora,
+  bool_or(depth = 0 AND area = 'merged_16bit' AND name = 'model.safetensors') AS merged_16bit,
+  bool_or(depth = 0 AND area = 'gguf' AND suffix(name, '.gguf')) AS gguf FROM files GROUP BY model)
 SELECT * FROM flags WHERE lora OR merged_16bit OR gguf"""
 )
 def formats_to_upload(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,14 +71,14 @@ def _in(names) -> str:
     return "(" + ", ".join(f"'{n}'" for n in names if "*" not in n) + ")"
 
 
-PLAN_SQL = f"""{FILES_SQL}, plan AS (SELECT * FROM files WHERE NOT suffix(name, '.md') AND (
+PLAN_SQL = f"""{FILES_SQL}, plan AS (SELECT * FROM files WHERE depth = 0 AND NOT suffix(name, '.md') AND (
   (area = 'lora' AND name NOT IN {_in(A.KEEP['lora'])})
   OR (area = 'merged_16bit' AND name NOT IN {_in(A.KEEP['merged_16bit'])}
     AND NOT regexp_full_match(name, 'model-.*\\.safetensors'))
   OR (area = 'gguf' AND NOT suffix(name, '.gguf') AND name <> 'Modelfile')))"""
 
 
-@query(f"WITH {PLAN_SQL} SELECT doc_id, model, area, name, length, length AS freed_bytes FROM plan")
+@query(f"WITH {PLAN_SQL} SELECT doc_id, model, area, name, length, depth, length AS freed_bytes FROM plan")
 def cleanup_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.cleanup_plan(files(spark, sf_dir))
 
@@ -109,7 +110,7 @@ def human_size(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUANT_SQL = f"""{FILES_SQL}, quants AS (SELECT model, name, doc_id, length / 1073741824.0::DOUBLE AS size_gb,
-  string_split(replace(name, '.gguf', ''), '-')[-1] AS quant FROM files WHERE area = 'gguf' AND suffix(name, '.gguf')),
+  string_split(replace(name, '.gguf', ''), '-')[-1] AS quant FROM files WHERE depth = 0 AND area = 'gguf' AND suffix(name, '.gguf')),
 labelled AS (SELECT model, name, quant, size_gb, CASE WHEN contains(quant, 'Q4') THEN 'Good balance (recommended)'
   WHEN contains(quant, 'Q8') THEN 'Very high quality, near original' WHEN contains(quant, 'F16') THEN
   'Full precision (largest)' ELSE 'Unknown' END AS quality FROM quants)"""
@@ -164,7 +165,7 @@ def missing_outputs_forced(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.missing_outputs(*formats(spark, sf_dir), force=True)
 
 
-@query(f"WITH {FILES_SQL} SELECT doc_id, name FROM files WHERE name LIKE 'model.%.gguf'")
+@query(f"WITH {FILES_SQL} SELECT doc_id, name FROM files WHERE starts_with(name, 'model.') AND suffix(name, '.gguf')")
 def legacy_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.legacy_files(files(spark, sf_dir)).select("doc_id", "name")
 

@@ -274,6 +274,31 @@ def render_chat_llama3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.render_chat(S.nest_turns(table(spark, sf_dir, "conversations")), "llama3")
 
 
+NAMED = ("chatml", "llama-3.1", "llama", "qwen3", "gemma-3", "mistral", "phi-3", "unheard-of")
+NAMED_SQL = "[" + ", ".join(f"'{n}'" for n in NAMED) + "]"
+
+
+@query(
+    f"""WITH t AS (SELECT *, {NAMED_SQL}[conv_id % {len(NAMED)} + 1] AS template,
+  trim(text, ' ' || chr(9) || chr(10) || chr(13)) AS body FROM conversations),
+pieces AS (SELECT conv_id, turn, template, CASE WHEN template IN ('chatml', 'qwen3') THEN {PIECE}
+  WHEN template = 'llama-3.1' THEN '<|start_header_id|>' || role || '<|end_header_id|>' || chr(10) || chr(10) || body || '<|eot_id|>'
+  WHEN template = 'phi-3' THEN '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10)
+  WHEN role = 'system' THEN NULL
+  WHEN template = 'gemma-3' THEN '<start_of_turn>' || CASE role WHEN 'user' THEN role ELSE 'model' END || chr(10) || body || '<end_of_turn>' || chr(10)
+  WHEN role = 'user' THEN '[INST] ' || body || ' [/INST]'
+  WHEN template = 'llama' THEN ' ' || body || ' </s><s>' WHEN template = 'mistral' THEN ' ' || body || '</s>' END AS piece FROM t),
+joined AS (SELECT conv_id, template, CASE WHEN count(*) = count(piece) AND template <> 'unheard-of'
+  THEN string_agg(piece, '' ORDER BY turn) END AS text FROM pieces GROUP BY conv_id, template)
+SELECT conv_id, template, coalesce(CASE template WHEN 'llama-3.1' THEN '<|begin_of_text|>' WHEN 'gemma-3' THEN '<bos>'
+  WHEN 'llama' THEN '<s>' WHEN 'mistral' THEN '<s>' ELSE '' END || text, '') AS text FROM joined"""
+)
+def render_by_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nested = S.nest_turns(table(spark, sf_dir, "conversations"))
+    name = F.element_at(F.array(*[F.lit(n) for n in NAMED]), (F.col("conv_id") % len(NAMED) + 1).cast("int"))
+    return R.render_by_template(nested.withColumn("template", name)).select("conv_id", "template", "text")
+
+
 BROKEN_SQL = f"""{ALIASES_SQL}, rendered AS (
   SELECT conv_id, CASE WHEN count(*) = count(known) THEN
     string_agg('<|im_start|>' || known || chr(10) || text || '<|im_end|>' || chr(10), '' ORDER BY turn)
@@ -303,7 +328,9 @@ def empty_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 acts AS (SELECT conv_id, CASE WHEN reasoning THEN 'ok_reasoning_template' WHEN conv_id % 2 = 0
   THEN 'disable_thinking' ELSE 'use_chatml' END AS action FROM flags)
 SELECT conv_id, action, action = 'ok_reasoning_template' AS thinking, string_agg(CASE action WHEN 'use_chatml' THEN {PIECE}
-  ELSE '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) END, '' ORDER BY turn) AS text
+  ELSE '<|im_start|>' || role || chr(10) || CASE WHEN role = 'assistant' AND action = 'disable_thinking'
+    THEN '<think>' || chr(10) || chr(10) || '</think>' || chr(10) || chr(10) ELSE '' END || text || '<|im_end|>' || chr(10)
+  END, '' ORDER BY turn) AS text
 FROM conversations JOIN acts USING (conv_id) GROUP BY ALL"""
 )
 def thinking_switch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -311,7 +338,7 @@ def thinking_switch(spark: SparkSession, sf_dir: str) -> DataFrame:
     flags = flag_reasoning_turns(turns, markers=("tion",))
     nested = S.nest_turns(turns).join(flags, "conv_id")
     action = compatibility(F.lit(True), F.col("has_reasoning"), F.col("conv_id") % 2 == 0)
-    return R.render_switched(nested.withColumn("action", action), "phi-3").select("conv_id", "action", "thinking", "text")
+    return R.render_switched(nested.withColumn("action", action), "qwen3").select("conv_id", "action", "thinking", "text")
 
 
 @query(
@@ -372,14 +399,14 @@ def final_length(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.add_lengths(table(spark, sf_dir, "documents").select("doc_id", "text"), M).drop("text")
 
 
-@query(f"WITH {measured('documents', M)} SELECT doc_id, CAST(len AS INTEGER) AS length FROM measured WHERE zone = 'borderline'")
+@query(f"WITH {measured('documents', M)} SELECT doc_id, CAST(len AS INTEGER) AS length FROM measured")
 def final_length_with_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The hook for a caller's tokenizer, here given the default pattern."""
     pattern = r"[A-Za-z0-9]+|[^A-Za-z0-9 \t\r\n]"
     counted = L.add_lengths_with(
         table(spark, sf_dir, "documents").select("doc_id", "text"), M, lambda texts: texts.str.count(pattern)
     )
-    return counted.filter(F.col("zone") == "borderline").select("doc_id", "length")
+    return counted.select("doc_id", "length")
 
 
 @query(

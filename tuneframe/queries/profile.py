@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tuneframe.functions.names import model_size_class as size_class
@@ -98,6 +98,13 @@ DATASETS_SQL = """datasets AS (SELECT o_orderkey,
   o_custkey % 5 * 1000 AS max_steps, o_custkey % 4 + 1 AS batch, o_orderkey % 4 + 1 AS accumulation,
   o_custkey % 3 + 1 AS epochs, CASE WHEN o_orderkey % 7 = 0 THEN o_custkey ELSE 0 END AS max_samples FROM orders)"""
 HIGH_SQL = "(contains(name, 'GAIR/lima') OR avg_length > 800)"
+TARGET_SQL = f"CASE WHEN {HIGH_SQL} THEN 3 ELSE 1 END"
+
+
+def advised_epochs() -> Column:
+    return C.target_epochs(C.quality_tier(F.col("name"), F.col("avg_length")))
+
+
 RANK_SQL = "CASE WHEN n < 5000 THEN 64 WHEN n < 20000 THEN 32 ELSE 16 END"
 
 
@@ -131,12 +138,12 @@ def batch_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""WITH {DATASETS_SQL}, s AS (SELECT o_orderkey, CAST(ceil(n / 8.0) AS BIGINT) AS p,
-  CAST(ceil(n / 8.0) AS BIGINT) * epochs AS t FROM datasets)
+  CAST(ceil(n / 8.0) AS BIGINT) * {TARGET_SQL} AS t FROM datasets)
 SELECT o_orderkey, p AS steps_per_epoch, t AS total_steps, t * 8 AS samples_seen, t * 2 / 60 AS minutes_low,
   t * 4 / 60 AS minutes_high FROM s"""
 )
 def training_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plan = C.training_plan(F.col("n"), F.col("epochs"))
+    plan = C.training_plan(F.col("n"), advised_epochs())
     return datasets(spark, sf_dir).select("o_orderkey", plan.alias("p")).select("o_orderkey", "p.*")
 
 
@@ -154,11 +161,11 @@ def current_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""WITH {DATASETS_SQL} SELECT o_orderkey, CAST(CASE WHEN max_steps > 0
-  AND max_steps * batch * accumulation / nullif(n, 0) > 3 THEN ceil(n / 8.0) * epochs END AS BIGINT) AS advised_steps
+  AND max_steps * batch * accumulation / nullif(n, 0) > 3 THEN ceil(n / 8.0) * {TARGET_SQL} END AS BIGINT) AS advised_steps
 FROM datasets"""
 )
 def overfit_warning(spark: SparkSession, sf_dir: str) -> DataFrame:
-    steps = C.overfit_steps(F.col("n"), F.col("max_steps"), F.col("batch") * F.col("accumulation"), F.col("epochs"))
+    steps = C.overfit_steps(F.col("n"), F.col("max_steps"), F.col("batch") * F.col("accumulation"), advised_epochs())
     return datasets(spark, sf_dir).select("o_orderkey", steps.cast("bigint").alias("advised_steps"))
 
 

@@ -31,13 +31,20 @@ def build_session(app: str = "tuneframe", master: str | None = None, **conf: str
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The checkpoint folder of the session; a temporary one only where none is named."""
+    """The checkpoint folder of the session, which driver and executors have to share.
+
+    Where none is named, a temporary one is taken if the master is local, and else this fails.
+    """
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current:
         return current
     named = spark.conf.get(CHECKPOINT_KEY, None) or context.getConf().get(CHECKPOINT_KEY)
-    context.setCheckpointDir(named or tempfile.mkdtemp(prefix="tuneframe-"))
+    if not named:
+        if not context.master.startswith("local"):
+            raise ValueError(f"name a folder that all executors share in {CHECKPOINT_KEY}")
+        named = tempfile.mkdtemp(prefix="tuneframe-")
+    context.setCheckpointDir(named)
     return context.getCheckpointDir()
 
 

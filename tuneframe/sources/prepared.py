@@ -45,14 +45,16 @@ def write_prepared(
         F.sum(F.col("length").cast("bigint")).alias("sum"),
         F.count_if(F.col("length") > limits.max_seq_length).alias("too_long"),
     )
-    kept = filter_length(lengths, limits).drop("estimated_length", "zone", "length")
+    spark = samples.sparkSession
+    _remove(spark, f"{path}/metadata")  # until it is written again, nothing counts as prepared
+    kept = filter_length(lengths, limits).drop("estimated_length", "zone")
     kept.write.mode("overwrite").parquet(f"{path}/data")
 
-    spark, stats = samples.sparkSession, after.get
+    stats = after.get
     total, valid = stats["total"], stats["total"] - stats["too_long"]
     middle = total // 2
     if middle < valid:
-        median = _length_at(add_lengths(read_prepared(spark, path), limits), middle)
+        median = _length_at(spark.read.parquet(f"{path}/data").select("length", F.lit("").alias("zone")), middle)
     else:
         long = add_lengths(samples.filter(F.length("text") > 0), limits).filter(F.col("length") > limits.max_seq_length)
         median = _length_at(long, middle - valid)
@@ -77,8 +79,14 @@ def _length_at(lengths: DataFrame, position: int) -> int:
     return found or 0
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def read_prepared(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/data")
+    """The samples as they were prepared; the lengths written beside them serve the metadata."""
+    return spark.read.parquet(f"{path}/data").drop("length")
 
 
 def read_metadata(spark: SparkSession, path: str) -> DataFrame:
