@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from tuneframe.functions import scalars
 from tuneframe.operators import artifacts as A
 from tuneframe.operators import rules as V
-from tuneframe.queries.registry import query, table
+from tuneframe.queries.registry import query, scratch, table
+from tuneframe.sources import listings
 
 NAMES = (
     "adapter_config.json", "adapter_model.safetensors", "optimizer.pt", "config.json", "model-00001.safetensors",
@@ -46,6 +47,18 @@ def area_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.area_sizes(files(spark, sf_dir), "*.gguf")
 
 
+@query(
+    """SELECT 'source=' || source AS model, 'lang=' || lang AS area, CAST(sum(octet_length(encode(text)) + 1) AS BIGINT) AS bytes
+FROM documents GROUP BY ALL"""
+)
+def read_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts written below folders of their source and language, listed and summed up."""
+    path = scratch(spark, "artifacts")
+    table(spark, sf_dir, "documents").select("source", "lang", "text").write.partitionBy("source", "lang").text(path)
+    found = listings.split_artifact_path(listings.read_artifacts(spark, path), path)
+    return A.area_sizes(found).select("model", "area", "bytes")
+
+
 @query(
     f"""WITH {FILES_SQL}, flags AS (SELECT model, bool_or(depth = 0 AND area = 'lora' AND name = 'adapter_config.json') AS lora,
   bool_or(depth = 0 AND area = 'merged_16bit' AND name = 'config.json') AS merged_16bit,
