@@ -144,6 +144,18 @@ def training_scope(
     )
 
 
+def estimated_scope(max_steps: Column, batch: Column, accumulation: Column, max_samples: Column, epochs: Column) -> Column:
+    """What settings lead to before a run, where the size of the dataset is not known yet, as text."""
+    by_steps, limited = max_steps > 0, max_samples > 0
+    used = F.when(by_steps, max_steps * batch * accumulation).when(limited, max_samples * epochs)
+    bound = F.when(limited, F.concat(F.lit("limited to "), F.format_number(max_samples, 0), F.lit(" samples"))).otherwise(
+        F.concat(max_steps.cast("string"), F.lit(" steps"))
+    )
+    rounds = F.concat(epochs.cast("string"), F.lit(" epoch(s)"))
+    about = F.concat(F.lit("~"), F.format_number(used, 0), F.lit(" samples ("), rounds, F.lit(", "), bound, F.lit(")"))
+    return F.when(used.isNull(), F.concat(rounds, F.lit(", full dataset"))).otherwise(about)
+
+
 def recommend(datasets: DataFrame) -> DataFrame:
     """Add the recommendation to ``datasets(name, n, avg_length, vram_gb)``; narrow, no shuffle."""
     return (

@@ -9,6 +9,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tuneframe.functions.scalars import parse_duration
 from tuneframe.operators.artifacts import OUTPUT_FORMATS
 
 
@@ -23,12 +24,15 @@ class Rule:
     above: float | None = None
     choices: tuple[str, ...] = ()
     each: bool = False
+    duration: bool = False
 
     def broken(self) -> Column:
         value = F.col(self.column)
         if self.each:
             return F.exists(value, lambda v: ~v.isin(*self.choices))
         bad = F.lit(False)
+        if self.duration:
+            bad = bad | (value.isNotNull() & parse_duration(value).isNull())
         if self.above is not None:
             bad = bad | (value <= self.above)
         if self.low is not None:
@@ -65,6 +69,7 @@ RULES = (
     Rule("max_tokens", "positive", above=0),
     Rule("eval_batch_size", "positive", above=0),
     Rule("backend", "choice", choices=BACKENDS),
+    Rule("timeout", "duration", duration=True),
 )
 
 
@@ -94,6 +99,16 @@ def config_violations(configs: DataFrame, *keys: str, rules: Sequence[Rule] = RU
     )
 
 
+def unknown_settings(documents: DataFrame, *keys: str, document: str = "document", known: Sequence[str] | None = None) -> DataFrame:
+    """One row per name at the top of a JSON document of settings that no rule or ``known`` name has.
+
+    A text that is no JSON object has no names.
+    """
+    names = list(known) if known is not None else sorted({rule.column for rule in RULES})
+    found = documents.select(*keys, F.explode(F.json_object_keys(F.col(document))).alias("field"))
+    return found.filter(~F.col("field").isin(*names)).withColumn("rule", F.lit("unknown"))
+
+
 def get_path(document: Column, path: str, default: Any = None, data_type: str = "string") -> Column:
     """Value at a dotted path of a JSON document, or the default."""
     value = F.try_variant_get(F.try_parse_json(document), f"$.{path}", data_type)

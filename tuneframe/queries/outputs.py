@@ -202,6 +202,7 @@ def configs(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("formats"),
         F.when(flag == "N", "vllm").otherwise("ollama").alias("backend"),
         (F.col("l_suppkey") % 4).cast("int").alias("num_train_epochs"),
+        F.when(flag == "A", "5 min").when(flag == "R", "5 hours").alias("timeout"),
     )
 
 
@@ -213,12 +214,24 @@ UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, 'lora_dropout', 'fraction'
 UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, 'warmup_steps', 'not negative', CAST(w AS VARCHAR) FROM c WHERE w < 0
 UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, 'optimizer', 'choice', 'lion' FROM c WHERE f = 'R'
 UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, 'formats', 'choice', 'gguf_q8_0,gguf_q9' FROM c WHERE s = 'O'
-UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, 'num_train_epochs', 'positive', CAST(e AS VARCHAR) FROM c WHERE e <= 0"""
+UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, 'num_train_epochs', 'positive', CAST(e AS VARCHAR) FROM c WHERE e <= 0
+UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, 'timeout', 'duration', '5 hours' FROM c WHERE f = 'R'"""
 )
 def config_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.config_violations(configs(spark, sf_dir), "l_orderkey", "l_linenumber", "l_partkey")
 
 
+@query(
+    """SELECT event_id, unnest(CASE event_type WHEN 'view' THEN [] ELSE [event_type, 'lora_rnk'] END) AS field, 'unknown' AS rule
+FROM events"""
+)
+def unknown_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    body = F.concat(F.lit('{"lora_rank": 8, "'), F.col("event_type"), F.lit('": '), F.col("props"), F.lit(', "lora_rnk": 4}'))
+    document = F.when(F.col("event_type") == "view", "no object").otherwise(body)
+    documents = table(spark, sf_dir, "events").select("event_id", document.alias("document"))
+    return V.unknown_settings(documents, "event_id")
+
+
 @query(
     """SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
   CASE event_type WHEN 'click' THEN json_extract_string(props, '$.k') ELSE 'none' END AS deep FROM events"""

@@ -214,6 +214,17 @@ def training_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return datasets(spark, sf_dir).select("o_orderkey", C.training_scope(samples, *rest).alias("scope"))
 
 
+@query(
+    f"""WITH {DATASETS_SQL} SELECT o_orderkey, CASE WHEN max_steps <= 0 AND max_samples <= 0 THEN epochs || ' epoch(s), full dataset'
+  ELSE '~' || format('{{:,}}', CASE WHEN max_steps > 0 THEN max_steps * batch * accumulation ELSE max_samples * epochs END)
+    || ' samples (' || epochs || ' epoch(s), ' || CASE WHEN max_samples > 0 THEN 'limited to ' || format('{{:,}}', max_samples)
+    || ' samples' ELSE max_steps || ' steps' END || ')' END AS scope FROM datasets"""
+)
+def estimated_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    settings = [F.col(c) for c in ("max_steps", "batch", "accumulation", "max_samples", "epochs")]
+    return datasets(spark, sf_dir).select("o_orderkey", C.estimated_scope(*settings).alias("scope"))
+
+
 @query(
     f"""WITH {DATASETS_SQL} SELECT o_orderkey, CASE WHEN vram_gb IS NULL THEN 'no gpu'
   WHEN vram_gb < 4 THEN 'batch of one, gradient checkpointing on'

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tuneframe.operators.evals import BASE, TUNED, summary
 
 # Fixed value: where a result file lies below the output root.
-RESULT_PATH = r"([^/]+)/benchmarks/(base|fine-tuned)/(?:([^/]+)/)?lm-eval/(?:.*/)?(results_[^/]*\.json)$"
+RESULT_PATH = r"([^/]+)/benchmarks/(base|fine-tuned)/(?:([^/]+)/)?lm-eval/(?:.*/)?(results(?:_[^/]*)?\.json)$"
 
 # Numbers only: texts such as "N/A" and booleans are no scores.
 _NUMERIC = r"^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL.*)$"
@@ -18,7 +18,7 @@ def read_eval_results(spark: SparkSession, root: str) -> DataFrame:
     """``(model, variant, run_ts, file, modified, body)`` for every result file below the root."""
     files = (
         spark.read.option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "results_*.json")
+        .option("pathGlobFilter", "results*.json")
         .text(root, wholetext=True)
         .select(
             F.col("_metadata.file_path").alias("path"),
@@ -45,7 +45,8 @@ def one_file_per_run(files: DataFrame, by: str = "file") -> DataFrame:
     """
     key = ["model", "variant", "__run"]
     named = files.withColumn("__run", F.coalesce("run_ts", F.lit("")))
-    order = F.struct(F.col(by).alias("by"), F.col("file"))
+    # a legacy file without a time in its name counts only where there is no other
+    order = F.struct((F.col("file") != "results.json").alias("timed"), F.col(by).alias("by"), F.col("file"))
     chosen = named.groupBy(*key).agg(F.max(order).alias("__best")).select(*key, F.col("__best.file").alias("file"))
     return named.join(chosen, [*key, "file"], "left_semi").select(*files.columns)
 
