@@ -20,6 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tuneframe.llm.samples import labelled_texts
 from tuneframe.llm.ship import as_key, ship, with_key
 from tuneframe.llm.words import Words, pieces
 
@@ -207,17 +208,21 @@ def train(texts: list[str], labels: list[int], how: Training = Training(), seed:
     groups = [t.encode("utf-8", "surrogatepass") for t in texts]
     w = read(groups)
     codes = slots(w)
-    # documents of each label that have a slot
-    flat = np.unique(np.repeat(w.doc, N_INPUTS) * np.int64(N_INPUTS * SLOTS) + codes.ravel())
-    doc, slot = np.divmod(flat, N_INPUTS * SLOTS)
-    positive = np.bincount(slot, y[doc], N_INPUTS * SLOTS)
-    negative = np.bincount(slot, 1 - y[doc], N_INPUTS * SLOTS)
+    positive, negative = np.zeros(N_INPUTS * SLOTS), np.zeros(N_INPUTS * SLOTS)
+    inputs = np.empty(codes.shape, np.float32)
+    own = y[w.doc]
+    for c in range(N_INPUTS):  # a column at a time keeps the driver small
+        # documents of each label that have a slot
+        doc, slot = np.divmod(np.unique(w.doc * np.int64(N_INPUTS * SLOTS) + codes[:, c]), N_INPUTS * SLOTS)
+        positive += np.bincount(slot, y[doc], N_INPUTS * SLOTS)
+        negative += np.bincount(slot, 1 - y[doc], N_INPUTS * SLOTS)
+        # what a training document reads leaves out its own label
+        mine = codes[:, c]
+        inputs[:, c] = evidence(np.maximum(positive[mine] - own, 0), np.maximum(negative[mine] - (1 - own), 0), base, how.strength)
+    inputs[codes % SLOTS == 0] = 0
+    del codes
     table = evidence(positive, negative, base, how.strength)
     table[np.arange(N_INPUTS) * SLOTS] = 0
-    # what a training document reads leaves out its own label
-    own = y[w.doc][:, None]
-    inputs = evidence(np.maximum(positive[codes] - own, 0), np.maximum(negative[codes] - (1 - own), 0), base, how.strength)
-    inputs[codes % SLOTS == 0] = 0
     starts, docs = window_starts(w)
     score = np.array([np.sort(inputs[s : s + WINDOW].max(axis=1))[-4:].sum() for s in starts])
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in p.items()}
@@ -242,17 +247,14 @@ def train(texts: list[str], labels: list[int], how: Training = Training(), seed:
     return Network(p, table)
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, text: str, key: str, label: str, how: Training) -> DataFrame:
-    """(text, label) of at most how.positives and how.negatives labelled rows that are not held out.
+def training_rows(docs: DataFrame, labels: DataFrame, text: str, key: str, label: str, how: Training) -> list[tuple[int, str]]:
+    """(label, text) of at most how.positives and how.negatives labelled rows that are not held out.
 
     A key that is labelled twice counts as labelled 1 if one of its labels is. Rows without
     label, text or key, and texts over how.max_chars, are not learned from.
     """
     marks = labels.filter(F.col(label).isin(0, 1)).groupBy(F.col(key).alias("key")).agg(F.max(label).cast("int").alias("label"))
-    rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text")).filter(~held_out(F.col("key")) & (F.length("text") <= how.max_chars))
-    known = rows.join(marks, "key").withColumn("order", F.xxhash64("key"))
-    part = lambda value, n: known.filter(F.col("label") == value).orderBy("order", "text").limit(n)
-    return part(1, how.positives).unionByName(part(0, how.negatives)).select("text", "label")
+    return labelled_texts(docs.filter(~held_out(F.col(f"`{key}`"))), marks, text, key, {1: how.positives, 0: how.negatives}, how.max_chars)
 
 
 def score_toxicity(df: DataFrame, network: Network, text: str = "text", key: str = "doc_id", threshold: float = 0.7) -> DataFrame:
@@ -276,6 +278,5 @@ def score_toxicity(df: DataFrame, network: Network, text: str = "text", key: str
 
 def toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic", how: Training = Training()) -> DataFrame:
     """Train on the labelled rows that are not held out, and score every row of docs."""
-    rows = training_rows(docs, labels, text, key, label, how).collect()  # bounded by `how`
-    rows.sort(key=lambda r: (r["label"], r["text"]))
-    return score_toxicity(docs, train([r["text"] for r in rows], [r["label"] for r in rows], how), text, key)
+    rows = training_rows(docs, labels, text, key, label, how)  # bounded by `how`
+    return score_toxicity(docs, train([t for _, t in rows], [y for y, _ in rows], how), text, key)
