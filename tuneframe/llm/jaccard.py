@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tuneframe.llm.components import connected_components
 from tuneframe.llm.recurring import BLOCKS, blocks, in_batches, partitions_of, recurring
-from tuneframe.llm.ship import settled, with_key
+from tuneframe.llm.ship import release, settled, with_key
 from tuneframe.llm.words import Words, mix, pieces
 
 #: Sets of one block of a large group: two blocks are in memory at once.
@@ -193,10 +193,10 @@ def document_sets(df: DataFrame, text: str, key: str, size: int, percent: int) -
 
     def sets(pdf: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
         known = np.zeros(0, np.uint64)
-        times = np.zeros(0, np.uint32)
+        times = np.zeros(0, np.uint8)
         if len(told):
             known = np.concatenate([np.frombuffer(k, np.uint32) + (np.uint64(b) << np.uint64(32)) for b, k in zip(told["bucket"], told["keys"])])
-            times = np.frombuffer(b"".join(told["counts"]), np.uint32)
+            times = np.frombuffer(b"".join(told["counts"]), np.uint8)
             order = np.argsort(known)
             known, times = known[order], times[order]
         out, sent = [], set()
@@ -231,6 +231,7 @@ def jaccard_components(df: DataFrame, text: str = "text", key: str = "doc_id", s
     """
     kind = df.schema[key].dataType
     rows = settled(document_sets(df, text, key, size, percent))
+    release(df.sparkSession)
     typed = F.col("key").cast(kind)
     same = rows.filter("set_key IS NOT NULL").groupBy("set_key").agg(F.min(typed).alias("first"), F.count("*").alias("copies"))
     sets = rows.filter("elements IS NOT NULL").dropDuplicates(["set_key"]).select("set_key", "n", "elements")

@@ -58,21 +58,21 @@ def blocks(batch: int, keys: np.ndarray, n_buckets: int, seed: np.ndarray | None
 def recurring(blocks_df: DataFrame, kind=np.uint64, counts: bool = False) -> DataFrame:
     """(batch, bucket, keys[, counts]): of each batch's keys in a bucket, those that occur twice anywhere.
 
-    `counts` adds the number of batches' entries of each key as 32-bit numbers.
+    `counts` adds how often each key was named, as a byte: eight times its base-2 logarithm.
     """
 
     def answer(pdf: pd.DataFrame) -> pd.DataFrame:
         parts = [np.frombuffer(x, kind) for x in pdf["keys"]]
         values, times = np.unique(np.concatenate(parts), return_counts=True)
         values, times = values[times > 1], times[times > 1]
-        rows = []
+        levels, rows = (8 * np.log2(times)).astype(np.uint8), []
         for batch, bucket, part in zip(pdf["batch"], pdf["bucket"], parts):
             at = np.searchsorted(values, part)
             at[at == len(values)] = 0
             found = values[at] == part if len(values) else np.zeros(len(part), bool)
             found[1:] &= part[1:] != part[:-1]
             if found.any():
-                rows.append((batch, bucket, part[found].tobytes(), times[at[found]].astype(np.uint32).tobytes()))
+                rows.append((batch, bucket, part[found].tobytes(), levels[at[found]].tobytes()))
         return pd.DataFrame(rows, columns=["batch", "bucket", "keys", "counts"])
 
     told = blocks_df.groupBy("bucket").applyInPandas(answer, BLOCKS + ", counts binary")

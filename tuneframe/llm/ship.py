@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import io
 import pathlib
 import tempfile
@@ -48,6 +49,16 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of the shuffle files of steps that are over.
+
+    Spark removes them when the driver collects the plans that made them, which on a
+    driver with little to do is much later than the files fill the executors' disks.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def as_key(name: str) -> Column:
     """A key as text, because numbers beside nulls lose digits in pandas."""
     return F.col(f"`{name}`").cast("string").alias("key")
