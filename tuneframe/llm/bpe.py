@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from tuneframe.llm.ship import as_key, ship, with_key
 
 #: Chunks whose ids a task remembers; it starts anew beyond.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 #: White space as the normaliser knows it: Unicode's, without the four separators 1C to 1F.
 WHITE = re.compile("[\t-\r \x85\xa0  -     　]+")
 SEPARATORS = re.compile("[\x1c-\x1f]")
@@ -63,7 +63,7 @@ class Merges:
         """Whether a and b stay two tokens when their letters stand side by side."""
         key = a << 20 | b
         if (known := self.known.get(key)) is None:
-            if len(self.known) > 1_000_000:
+            if len(self.known) > 250_000:
                 self.known.clear()
             known = self.known[key] = self._compatible(a, b)
         return known
@@ -175,6 +175,12 @@ class WordBpe:
                 ids.append(known)
         return " ".join(ids)
 
+    def forget(self) -> None:
+        """Give back what was remembered: idle workers stay, and other stages need their memory."""
+        self.table.clear()
+        self.piece_table.clear()
+        self.merges.known.clear()
+
     def encode(self, text: str) -> Iterator[str]:
         """Decimal ids joined by one space, in slices of the text; slices without ids are left out."""
         for part in slices(text):
@@ -230,6 +236,7 @@ def encode_documents(df: DataFrame, path: str, text: str = "text", key: str = "d
         for pdf in batches:
             ids = [np.array(" ".join(bpe.encode(t or "")).split(), np.int32) for t in pdf["text"]]
             yield pd.DataFrame({"key": pdf["key"], "n_tokens": [len(x) for x in ids], "ids": ids})
+        bpe.forget()
 
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = vocabulary(path)
@@ -247,6 +254,7 @@ def encode_documents(df: DataFrame, path: str, text: str = "text", key: str = "d
                 out.append((n, ids_hash.hexdigest(), text_hash.hexdigest()))
             n, a, b = zip(*out) if out else ((), (), ())
             yield pd.DataFrame({"key": pdf["key"], "n_tokens": n, "ids_sha256": a, "decoded_sha256": b})
+        bpe.forget()
 
     if digests:
         made = rows.mapInPandas(hashed, "key string, n_tokens long, ids_sha256 string, decoded_sha256 string")
