@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tuneframe.llm.quality import CLASS_OF, CLASSES
+from tuneframe.llm.samples import labelled_texts
 from tuneframe.llm.ship import settled, ship
 from tuneframe.llm.toxicity import SLOTS, evidence, read
 from tuneframe.llm.words import IS_SPACE, Words, pieces
@@ -121,7 +122,8 @@ def learn(texts: list[str], domains: list[int], k: int, how: Fit) -> Classifier:
     groups = [t.encode("utf-8", "surrogatepass") for t in texts]
     w = read(groups)
     codes = codes_of(w)
-    doc, slot = np.divmod(np.unique((w.doc[:, None] * np.int64(SLOTS) + codes).ravel()), SLOTS)
+    pairs = np.unique(np.concatenate([np.unique(w.doc * np.int64(SLOTS) + codes[:, c]) for c in range(codes.shape[1])]))
+    doc, slot = np.divmod(pairs, SLOTS)
     tables, own = [], []
     for d in range(k):
         mark = (y == d).astype(float)
@@ -129,9 +131,11 @@ def learn(texts: list[str], domains: list[int], k: int, how: Fit) -> Classifier:
         positive, negative = np.bincount(slot, mark[doc], SLOTS), np.bincount(slot, 1 - mark[doc], SLOTS)
         tables.append(evidence(positive, negative, base, how.strength))
         tables[-1][0] = 0
-        mine = mark[w.doc][:, None]  # a document reads the evidence of the others
-        others = evidence(np.maximum(positive[codes] - mine, 0), np.maximum(negative[codes] - (1 - mine), 0), base, how.strength)
-        own.append(np.where(codes == 0, np.float32(0), others).max(axis=1))
+        mine, others = mark[w.doc], np.full(len(codes), -np.inf, np.float32)
+        for c in codes.T:  # a document reads the evidence of the others; a column at a time keeps the driver small
+            found = evidence(np.maximum(positive[c] - mine, 0), np.maximum(negative[c] - (1 - mine), 0), base, how.strength)
+            np.maximum(others, np.where(c == 0, np.float32(0), found), out=others)
+        own.append(others)
     _, x, _ = inputs(groups, np.array(tables), np.stack(own, axis=1))
     mean, scale = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-6)
     x = np.hstack([(x - mean) / scale, np.ones((len(x), 1))])
@@ -143,14 +147,10 @@ def learn(texts: list[str], domains: list[int], k: int, how: Fit) -> Classifier:
 
 
 def sample(df: DataFrame, labels: DataFrame, text: str, key: str, domain: Column, names: list[str], how: Fit) -> list:
-    marks = labels.select(F.col(key).alias("key"), domain.alias("domain")).filter(F.col("domain").isin(names)).groupBy("key").agg(F.max("domain").alias("domain"))
-    rows = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text")).filter(F.length("text") <= how.max_chars)
-    known = rows.join(marks, "key").select("domain", "text", F.xxhash64("key").alias("order"))
-    parts = [known.filter(F.col("domain") == d).orderBy("order", "text").limit(how.per_domain) for d in names]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return sorted((names.index(r["domain"]), r["text"]) for r in out.collect())  # bounded by `how`
+    """(index of the domain, text) of labelled rows; of two labels of a key the last by name counts."""
+    marks = labels.select(F.col(key).alias("key"), domain.alias("label")).filter(F.col("label").isin(names)).groupBy("key").agg(F.max("label").alias("label"))
+    rows = labelled_texts(df, marks, text, key, dict.fromkeys(names, how.per_domain), how.max_chars)
+    return sorted((names.index(label), t) for label, t in rows)
 
 
 def rate_of(posterior: Column, history: list[tuple[list[float], float]], ridge: float) -> Column:
@@ -214,11 +214,11 @@ def mixture(
     total = float(groups.agg(F.sum("tokens")).first()[0] or 1)
     groups = groups.select("percent", shares("percent").alias("posterior"), (F.col("tokens") / total).alias("share"))
     history = solve(groups, [budget * targets[d] for d in names], how)
-    rates = settled(groups.select("percent", rate_of(F.col("posterior"), history, how.ridge)["r"].alias("rate")))
     made = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), classify(F.col(f"`{text}`")).alias("m"))
-    made = made.select("row", "m.n_tokens", "m.percent").join(rates, "percent", "left")
+    made = made.select("row", "m.n_tokens", shares("m.percent").alias("posterior"))
+    made = made.withColumn("rate", rate_of(F.col("posterior"), history, how.ridge)["r"])
     chance = F.pmod(F.xxhash64(F.col("row")[key], F.col("row")[text]), F.lit(1 << 20)) / float(1 << 20)
-    return made.select("row", "n_tokens", shares("percent").alias("posterior"), "rate", F.floor(F.col("rate") + chance).cast("int").alias("copies"))
+    return made.select("row", "n_tokens", "posterior", "rate", F.floor(F.col("rate") + chance).cast("int").alias("copies"))
 
 
 def mixed(df: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, **more) -> DataFrame:
