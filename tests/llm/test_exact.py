@@ -168,6 +168,40 @@ def test_quality_counts_and_distances(docs, texts):
             assert abs(r.class_distance - math.sqrt(max(0, js))) < 1e-9
 
 
+def distance(p, q):
+    m = (p + q) / 2
+    return math.sqrt(max(0, sum(0.5 * a * math.log2(a / c) for x in (p, q) for a, c in zip(x, m) if a)))
+
+
+def test_quality_drops_texts_without_language_and_keeps_clean_ones(spark):
+    small = "/root/testdata/sf0.01"
+    df = spark.read.parquet(f"{small}/documents.parquet")
+    rows = df.collect()
+    made = {r["doc_id"]: r for r in quality.quality_rules(df).collect()}
+    measures = [m for m in quality.measure([r["text"] for r in rows]).itertuples()]
+    shares = [np.array(m.words) / max(1, sum(m.words)) for m in measures]
+    none = np.eye(len(shares[0]))[-1]
+    for lang in {r["lang"] for r in rows}:
+        own = [i for i, r in enumerate(rows) if r["lang"] == lang and measures[i].n_words >= 50]
+        mean = np.mean([shares[i] for i in own], axis=0)
+        for i in own:
+            r, far = made[rows[i]["doc_id"]], distance(shares[i], mean)
+            assert abs(r.word_distance - far) < 1e-9
+            junk = r.class_distance > 0.28 or r.n_words >= 150 and far > 0.75 * distance(none, mean)
+            assert r.kept == (not r.base_failed and not junk)
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{small}/labels.parquet").collect()}
+    long = [(d, r) for d, r in made.items() if r.n_words >= 150 and not r.base_failed]
+    assert all(r.kept for d, r in long if labels.get(d) == 1)
+    assert not any(r.kept for d, r in long if labels.get(d) == 0)
+
+
+def test_quality_of_a_language_without_common_words(spark):
+    rnd = random.Random(3)
+    rows = [(i, " ".join([rnd.choice("abcdefgh") * 2 + rnd.choice("klmnop") + rnd.choice("xyz") for _ in range(300)] + ["the"] * (i % 4)), "xx") for i in range(40)]
+    made = quality.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string"), min_language_words=1000)
+    assert all(r.kept for r in made.collect())
+
+
 PLAIN = [re.compile(p) for p in (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]")]
 
 

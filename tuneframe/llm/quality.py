@@ -142,29 +142,37 @@ def quality_rules(
     key: str = "doc_id",
     language: str | None = "lang",
     class_limit: float = 0.28,
-    word_limit: float = 0.45,
+    word_limit: float = 0.75,
     min_words: int = 50,
+    min_word_words: int = 150,
+    min_reach: float = 0.2,
     min_language_words: int = 20_000,
 ) -> DataFrame:
     """One row per row of df: key, counts, base_failed, the two distances, and kept.
 
     base_failed: fewer than 50 words, or over half of them in repeated 3-word windows.
     kept is false if base_failed, or if a distance to the language passes its limit, in a
-    document of min_words or more and a language of min_language_words or more. A null or
-    blank text has no words and fails. A null language is a language of its own.
+    document of min_words or more and a language of min_language_words or more. word_limit is
+    a share of the distance from the language to a text with none of its common words; it
+    binds in documents of min_word_words or more, as shorter ordinary texts may hold few of
+    them, and where that distance is min_reach or more: other languages have no common words
+    here. A null or blank text has no words and fails. A null language is a language of its own.
     """
     rows = settled(measured(df, text, key, language).withColumns({"p": shares("classes"), "q": shares("words")}).drop("classes", "words"))
     n_classes, n_words = len(CLASSES), len(common_words()) + 1
     mean = lambda c, n: F.array(*[F.avg(F.get(c, F.lit(i))) for i in range(n)])
     long = rows.filter(F.col("n_words") >= min_words)
     reference = long.groupBy("language").agg(F.sum("n_words").alias("language_words"), mean("p", n_classes).alias("p_mean"), mean("q", n_words).alias("q_mean"))
-    judged = rows.join(reference, "language", "left")
+    none = F.array(*[F.lit(0.0)] * (n_words - 1), F.lit(1.0))
+    judged = rows.join(reference.withColumn("reach", js_distance(none, F.col("q_mean"))), "language", "left")
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     able = (F.col("n_words") >= min_words) & (F.coalesce("language_words", F.lit(0)) >= min_language_words)
     judged = judged.select(
         "key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
         F.when(able, js_distance(F.col("p"), F.col("p_mean"))).alias("class_distance"),
         F.when(able, js_distance(F.col("q"), F.col("q_mean"))).alias("word_distance"),
+        "reach",
     )
-    far = F.coalesce((F.col("class_distance") > class_limit) | (F.col("word_distance") > word_limit), F.lit(False))
-    return with_key(judged.withColumn("kept", ~F.col("base_failed") & ~far), df, key)
+    far_words = (F.col("n_words") >= min_word_words) & (F.col("reach") >= min_reach) & (F.col("word_distance") > word_limit * F.col("reach"))
+    far = F.coalesce(F.col("class_distance") > class_limit, F.lit(False)) | F.coalesce(far_words, F.lit(False))
+    return with_key(judged.withColumn("kept", ~F.col("base_failed") & ~far).drop("reach"), df, key)
