@@ -243,6 +243,34 @@ def test_disguises(text, found):
     assert [text[a:b] for a, _, b in spans] == found and set(base) <= set(spans)
 
 
+@pytest.mark.parametrize(
+    "text, found",
+    [
+        ("call +44 20 seven nine 46 0958", ["+44 20 seven nine 46 0958"]),
+        ("card 4111 1111 1111 one one 11", ["4111 1111 1111 one one 11"]),
+        ("plus 1 415 555 2671", ["plus 1 415 555 2671"]),
+        ("jane at example\ndot com", ["jane at example\ndot com"]),
+        ("jane at example\tdot\tcom", ["jane at example\tdot\tcom"]),
+        ("192.168.one.1", ["192.168.one.1"]),
+        ("N\u0130NE and \u017fix [at] n\u0131ne 5", []),
+    ],
+)
+def test_disguises_alone_in_a_text(text, found):
+    assert [text[a:b] for a, _, b in pii.find(text)[1]] == found
+
+
+def test_the_gate_hides_nothing(monkeypatch, texts):
+    rnd = random.Random(8)
+    words = [*pii.NUMBERS, "Seven", "plus", "PLUS", "dot", "at", "[at]", "(dot)", "{ . }", "<@>", "jane", "example", "com", "a@b.c", "+", "+1", "415", "5", "4111", "1111", "192", ".", "@", "\u017fix", "n\u0131ne", "N\u0130NE", "\u200b", "\u2013", "\xa0"]
+    gaps = ["", " ", " ", " ", "  ", "     ", "\n", "\t", ".", "-", ", ", " (", ") "]
+    plain = [w for w in words if w.isascii()]
+    made = ["".join(rnd.choice(words if i % 5 == 0 else plain) + rnd.choice(gaps) for _ in range(rnd.randrange(3, 25))) for i in range(20_000)]
+    made += [f"{t[:40]} {' '.join(rnd.choice(words) for _ in range(6))} {t[40:400]}" for t in texts.values()]
+    gated = [pii.find(t) for t in [*made, *texts.values()]]
+    monkeypatch.setattr(pii, "suspicious", lambda text, translated: True)
+    assert gated == [pii.find(t) for t in [*made, *texts.values()]]
+
+
 def test_redaction():
     text = "a@b.c and 1.2.3.4"
     assert pii.redacted(text, pii.find(text)[1]) == "[EMAIL] and [IP]"

@@ -107,9 +107,19 @@ TABLE = str.maketrans(_letters() | MARKS)
 _NUMBER = "(?:" + "|".join(NUMBERS) + ")"
 _OPEN, _CLOSE = r"[\[({<]\s{0,3}", r"\s{0,3}[\])}>]"
 _DOT = rf"(?:\s{{0,3}}{_OPEN}(?:dot|\.){_CLOSE}\s{{0,3}}|\s{{1,3}}dot\s{{1,3}})"
-#: What makes a lower-case text worth a second look.
-BRACKETED = re.compile(rf"{_OPEN}(?:at|@|dot|\.){_CLOSE}")
-SPELLED = re.compile(rf"\b{_NUMBER}[\s.,-]{{1,3}}{_NUMBER}[\s.,-]{{1,3}}{_NUMBER}\b")
+#: What makes a lower-case text worth a second look. A spelled digit with no digit near it is in no identifier
+#: but an address, which is found as it stands; what may part digits is what the detectors and REWRITE allow.
+_GAP = r"[\s,().-]+"
+LOOKS = [
+    re.compile(pattern)
+    for pattern in (
+        rf"{_OPEN}(?:at|@|dot|\.){_CLOSE}",
+        r"\sdot\s",
+        rf"\bplus\s{{1,3}}(?:{_NUMBER}|[0-9])",
+        rf"[0-9]{_GAP}{_NUMBER}\b",
+        rf"\b{_NUMBER}\b{_GAP}(?:{_NUMBER}\b|[0-9])",
+    )
+]
 HIDDEN = re.compile(f"[{INVISIBLE}]")
 REWRITE = re.compile(
     "|".join(
@@ -126,12 +136,18 @@ REWRITE = re.compile(
 )
 
 
+def folded(text: str) -> str:
+    """In lower case, with the letters that REWRITE takes for s and i whatever their case."""
+    low = text.lower()
+    return low if low.isascii() else low.replace("\u017f", "s").replace("\u0131", "i").replace("i\u0307", "i")
+
+
 def suspicious(text: str, translated: str) -> bool:
-    """Whether anything in the text could be rewritten."""
+    """Whether rewriting could change what is found: never false where it does."""
     if translated is not text and translated != text or not text.isascii() and HIDDEN.search(text):
         return True
-    low = translated.lower()
-    return " dot " in low or bool(BRACKETED.search(low)) or bool(SPELLED.search(low))
+    low = folded(translated)
+    return any(look.search(low) for look in LOOKS)
 
 
 def translate(text: str) -> str:
@@ -154,7 +170,7 @@ class Normalised:
         for m in REWRITE.finditer(text):
             kind = m.lastgroup
             if kind == "number":
-                new = NUMBERS[re.match("[a-z]+", m[0].lower())[0]]
+                new = NUMBERS[re.match("[a-z]+", folded(m[0]))[0]]
             else:
                 new = {"at": "@", "bare_at": "@", "dot": ".", "plus": "+", "gone": ""}[kind]
             self._add(parts, text[at : m.start()], at, m.start(), True)
