@@ -328,6 +328,17 @@ def test_mixing_meets_its_targets(spark):
     assert mixing.mixed(df, marks, targets).columns == df.columns
 
 
+@pytest.mark.parametrize("toxic", [0.005, 0.0005])
+def test_mixing_meets_its_targets_where_a_domain_is_rare(spark, toxic):
+    how, wanted = mixing.Fit(), list(mixing.TARGETS.values())
+    rows = [([float(i == j) for j in range(3)], share) for i, share in enumerate([0.95 - toxic, 0.05, toxic])]
+    groups = spark.createDataFrame(rows, "posterior array<double>, share double").coalesce(1).cache()
+    prices = mixing.solve(groups, wanted, how)
+    made = groups.select("posterior", "share", mixing.rate_of(groups["posterior"], prices).alias("rate")).collect()
+    totals = np.array([r["share"] * r["rate"] * np.array(r["posterior"]) for r in made]).sum(axis=0)
+    assert np.abs(totals - wanted).max() < 2e-4
+
+
 def test_gradients_of_the_network():
     rng = np.random.default_rng(0)
     p = {k: v.astype(np.float64) for k, v in toxicity.new_parameters(rng).items()}

@@ -1,11 +1,11 @@
 """Mixing to target weights with soft membership.
 
 A classifier learned from a labelled table gives each document posteriors over domains,
-kept in whole percent. Nonnegative rates of documents are found by projected gradient
-steps: the sum over documents of rate * tokens * posterior is to meet each domain's target,
+kept in whole percent. Nonnegative rates of documents are found by gradient steps on the
+prices of the domains, scaled by the curvature: the sum over documents of rate * tokens * posterior is to meet each domain's target,
 and rates stay near one where the targets leave them free. A document's rate depends on
 its posterior alone, so the steps run in Spark over one row for each posterior that
-occurs, with the history of residuals, a few numbers for each step, as their only state.
+occurs, with the prices, one number for each domain, as their only state.
 """
 
 from __future__ import annotations
@@ -42,9 +42,9 @@ class Fit:
     per_domain: int = 1200
     max_chars: int = 20_000
     strength: float = 3.0
-    ridge: float = 0.002  # weight of staying near a rate of one
+    ridge: float = 1e-6  # weight of staying near a rate of one: it only decides between rates that meet the targets
     steps: int = 200
-    tolerance: float = 1e-4
+    tolerance: float = 1e-8  # of the gradient, at which the steps end
 
 
 @dataclass
@@ -153,38 +153,42 @@ def sample(df: DataFrame, labels: DataFrame, text: str, key: str, domain: Column
     return sorted((names.index(label), t) for label, t in rows)
 
 
-def rate_of(posterior: Column, history: list[tuple[list[float], float]], ridge: float) -> Column:
-    """The rate of a posterior after the steps of a history of (gradient of the totals, momentum).
+def rate_of(posterior: Column, prices: list[float]) -> Column:
+    """The rate of a posterior at the prices of the domains: max(0, 1 - posterior . prices)."""
+    cost = F.aggregate(F.zip_with(posterior, F.array(*map(F.lit, prices)), lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
+    return F.greatest(F.lit(0.0), 1 - cost)
 
-    Each step: r' = max(0, y - (p . g + ridge (y - 1)) / (1 + ridge)), then y = r' + m (r' - r).
+
+def solve(groups: DataFrame, wanted: list[float], how: Fit) -> list[float]:
+    """The prices (residual / ridge) at the optimum. groups: posterior (array of shares) and share of all tokens.
+
+    At the optimum of |totals - wanted|^2 + ridge * share . (rate - 1)^2 the rates follow from
+    the prices alone, which minimise wanted . v + ridge / 2 |v|^2 + share . rate(v)^2 / 2. Steps
+    go down its gradient, scaled by its curvature, and are halved while they lead uphill.
     """
-    state = F.struct(F.lit(1.0).alias("r"), F.lit(1.0).alias("y"))
-    if not history:
-        return state
-    steps = F.array(*[F.struct(F.array(*map(F.lit, g)).alias("g"), F.lit(m).alias("m")) for g, m in history])
-
-    def step(s: Column, h: Column) -> Column:
-        slope = F.aggregate(F.zip_with(posterior, h["g"], lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
-        r = F.greatest(F.lit(0.0), s["y"] - (slope + ridge * (s["y"] - 1)) / (1 + ridge))
-        return F.struct(r.alias("r"), (r + h["m"] * (r - s["r"])).alias("y"))
-
-    return F.aggregate(steps, state, step)
-
-
-def solve(groups: DataFrame, wanted: list[float], how: Fit) -> list[tuple[list[float], float]]:
-    """The steps that lead to the rates. groups: posterior (array of shares) and share of all tokens."""
-    history: list[tuple[list[float], float]] = []
-    pace, last = 1.0, None
-    while len(history) < how.steps:
-        totals = groups.select(F.col("share"), "posterior", rate_of(F.col("posterior"), history, how.ridge)["y"].alias("y"))
-        row = totals.agg(*[F.sum(F.col("share") * F.col("y") * F.get("posterior", F.lit(i))) for i in range(len(wanted))]).first()
-        g = [float(x or 0.0) - t for x, t in zip(row, wanted)]
-        if last is not None and max(abs(a - b) for a, b in zip(g, last)) < how.tolerance:
+    k, goal = len(wanted), np.array(wanted)
+    p = [F.get("posterior", F.lit(i)) for i in range(k)]
+
+    def look(v: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        rows = groups.select("share", "posterior", rate_of(F.col("posterior"), v.tolist()).alias("rate"))
+        active = F.when(F.col("rate") > 0, F.col("share")).otherwise(0.0)
+        sums = [F.sum(F.col("share") * F.col("rate") * F.col("rate")), *[F.sum(F.col("share") * F.col("rate") * x) for x in p], *[F.sum(active * x * y) for x in p for y in p]]
+        found = np.array([float(x or 0.0) for x in rows.agg(*sums).first()])
+        return goal @ v + how.ridge / 2 * v @ v + found[0] / 2, goal + how.ridge * v - found[1 : k + 1], found[k + 1 :].reshape(k, k) + how.ridge * np.eye(k)
+
+    v = np.zeros(k)
+    value, slope, curve = look(v)
+    for _ in range(how.steps):
+        if np.abs(slope).max() < how.tolerance:
             break
-        faster = (1 + (1 + 4 * pace * pace) ** 0.5) / 2
-        history.append((g, (pace - 1) / faster))
-        pace, last = faster, g
-    return history
+        step, part = np.linalg.solve(curve, slope), 1.0
+        after = look(v - step)
+        while after[0] > value - 1e-4 * part * (slope @ step) and part > 1e-6 and np.abs(after[1]).max() >= how.tolerance:
+            part /= 2
+            after = look(v - part * step)
+        v = v - part * step
+        value, slope, curve = after
+    return v.tolist()
 
 
 def mixture(
@@ -213,10 +217,10 @@ def mixture(
     groups = settled(groups)
     total = float(groups.agg(F.sum("tokens")).first()[0] or 1)
     groups = groups.select("percent", shares("percent").alias("posterior"), (F.col("tokens") / total).alias("share"))
-    history = solve(groups, [budget * targets[d] for d in names], how)
+    prices = solve(groups, [budget * targets[d] for d in names], how)
     made = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), classify(F.col(f"`{text}`")).alias("m"))
     made = made.select("row", "m.n_tokens", shares("m.percent").alias("posterior"))
-    made = made.withColumn("rate", rate_of(F.col("posterior"), history, how.ridge)["r"])
+    made = made.withColumn("rate", rate_of(F.col("posterior"), prices))
     chance = F.pmod(F.xxhash64(F.col("row")[key], F.col("row")[text]), F.lit(1 << 20)) / float(1 << 20)
     return made.select("row", "n_tokens", "posterior", "rate", F.floor(F.col("rate") + chance).cast("int").alias("copies"))
 
