@@ -130,7 +130,7 @@ def jsonl_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"WITH {TEXTS}, {measured('rendered', M)} SELECT conv_id, text FROM measured WHERE len <= {M.max_seq_length}"
 )
 def prepared_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    build = lambda: conversation_texts(spark, sf_dir).drop("part")
+    build = lambda: conversation_texts(spark, sf_dir)
     return P.prepare_once(spark, scratch(spark, "prepared"), build, M, "conversations", DATE)
 
 
@@ -144,7 +144,7 @@ METADATA_SQL = f"""SELECT (SELECT count(*) FROM rendered) AS original_samples,
 @query(f"WITH {TEXTS}, {measured('rendered', M)} {METADATA_SQL}")
 def prepared_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "prepared")
-    P.write_prepared(conversation_texts(spark, sf_dir).drop("part"), path, M, "conversations", DATE)
+    P.write_prepared(conversation_texts(spark, sf_dir), path, M, "conversations", DATE)
     return P.read_metadata(spark, path)
 
 
@@ -190,7 +190,7 @@ def unknown_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sharegpt_to_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     nested = S.nest_turns(aliased_turns(spark, sf_dir))
     renamed = F.transform("messages", lambda m: F.struct(m["role"].alias("from"), m["content"].alias("value")))
-    return S.unnest_messages(S.to_messages(nested.select("conv_id", "part", renamed.alias("conversations"))), "conv_id")
+    return S.unnest_messages(S.to_messages(nested.select("conv_id", renamed.alias("conversations"))), "conv_id")
 
 
 @query(
