@@ -39,9 +39,12 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least doc_id of each component of near-duplicates; rows without one come first."""
+    """The document with the least doc_id of each component of near-duplicates; rows without one come first.
+
+    Near duplicates share four fifths of the shingles of five words that either has.
+    """
     rows = with_row(docs)
-    own = jaccard_components(rows, key=ROW).filter(F.col("component_id") == F.col(ROW)).select(ROW).distinct()
+    own = jaccard_components(rows, key=ROW, size=5, percent=80).filter(F.col("component_id") == F.col(ROW)).select(ROW).distinct()
     return rows.join(own, ROW, "left_semi").dropDuplicates([ROW]).drop(ROW)
 
 
