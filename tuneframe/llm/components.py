@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tuneframe.llm.ship import settled
+from tuneframe.session import settle
 
 
 def _stars(edges: DataFrame) -> DataFrame:
@@ -22,12 +22,12 @@ def connected_components(edges: DataFrame) -> DataFrame:
     around a hub is one join, whose hub Spark can split; the number of rounds grows with
     the logarithm of the longest path.
     """
-    edges = settled(edges.select("a", "b").filter("a <> b").distinct())
+    edges = settle(edges.select("a", "b").filter("a <> b").distinct())
     seen = None
     while True:
         large = _stars(edges).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
         s = _stars_down(large)
-        edges = settled(s)
+        edges = settle(s)
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == seen:
             break

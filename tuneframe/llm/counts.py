@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tuneframe.llm.bpe import REMEMBERED, WHITE
-from tuneframe.llm.ship import as_key, settled, ship, with_key
+from tuneframe.llm.ship import as_key, ship, with_key
+from tuneframe.session import settle
 
 _SPACE = WHITE.pattern[1:-2]
 #: White space with the word behind it, or white space at the end: these never share a token.
@@ -134,16 +135,16 @@ def count_tokens(df: DataFrame, path: str, text: str = "text", key: str = "doc_i
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     docs = df.select(as_key(key), body.alias("text"))
     rows = docs.withColumns({"row": F.monotonically_increasing_id(), "n_bytes": F.octet_length("text").cast("long"), "same": F.when(F.length("text") > chunk, F.xxhash64("text")).otherwise(0)})
-    first = settled(pieces(rows, path, chunk, overlap))
+    first = settle(pieces(rows, path, chunk, overlap))
     short = first.filter("k = 1").select("key", "n_bytes", F.col("n").alias("n_tokens"))
-    long = settled(first.filter("k > 1 AND i = 0").select("row", "key", "n_bytes", "same").join(spliced(first, ["row"]), "row"))
+    long = settle(first.filter("k > 1 AND i = 0").select("row", "key", "n_bytes", "same").join(spliced(first, ["row"]), "row"))
     while not (failed := long.filter("n_tokens IS NULL").select("same", "n_bytes").distinct()).isEmpty():
         overlap *= 8
         chunk = max(chunk, 4 * overlap)
         again = docs.select(F.xxhash64("text").alias("same"), F.octet_length("text").cast("long").alias("n_bytes"), "text")
         again = again.join(failed, ["same", "n_bytes"], "left_semi").dropDuplicates(["same", "n_bytes"])
-        cut = settled(pieces(again, path, chunk, overlap))
+        cut = settle(pieces(again, path, chunk, overlap))
         found = cut.filter("k = 1").select("same", "n_bytes", F.col("n").alias("found")).unionByName(spliced(cut, ["same", "n_bytes"]).withColumnRenamed("n_tokens", "found"))
-        long = settled(long.join(found, ["same", "n_bytes"], "left").select("row", "key", "n_bytes", "same", F.coalesce("n_tokens", "found").alias("n_tokens")))
+        long = settle(long.join(found, ["same", "n_bytes"], "left").select("row", "key", "n_bytes", "same", F.coalesce("n_tokens", "found").alias("n_tokens")))
     out = short.unionByName(long.select("key", "n_bytes", "n_tokens"))
     return with_key(out.withColumn("over_limit", F.col("n_tokens") > limit), df, key)

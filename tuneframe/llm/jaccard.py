@@ -26,8 +26,9 @@ from pyspark.sql import functions as F
 
 from tuneframe.llm.components import connected_components
 from tuneframe.llm.recurring import BLOCKS, blocks, in_batches, partitions_of, recurring
-from tuneframe.llm.ship import release, settled, with_key
+from tuneframe.llm.ship import release, with_key
 from tuneframe.llm.words import Words, mix, pieces
+from tuneframe.session import settle
 
 #: Sets of one block of a large group: two blocks are in memory at once.
 BLOCK = 4096
@@ -230,7 +231,7 @@ def jaccard_components(df: DataFrame, text: str = "text", key: str = "doc_id", s
     Other columns are not looked at. percent is from 51 to 100.
     """
     kind = df.schema[key].dataType
-    rows = settled(document_sets(df, text, key, size, percent))
+    rows = settle(document_sets(df, text, key, size, percent))
     release(df.sparkSession)
     typed = F.col("key").cast(kind)
     same = rows.filter("set_key IS NOT NULL").groupBy("set_key").agg(F.min(typed).alias("first"), F.count("*").alias("copies"))
@@ -245,10 +246,10 @@ def jaccard_components(df: DataFrame, text: str = "text", key: str = "doc_id", s
                 out.append(elements[:length].astype(np.int64))
             yield pd.DataFrame({"a": pdf["set_key"], "tokens": out})
 
-    sets = settled(sets)
+    sets = settle(sets)
     posted = sets.mapInPandas(prefixes, "a string, tokens array<long>").select("a", F.explode("tokens").alias("token"))
     hub = posted.groupBy("token").agg(F.min("a").alias("b"), F.count("*").alias("times")).filter("times > 1")
-    groups = settled(connected_components(posted.join(hub, "token").select("a", "b").unionByName(hub.select("b", F.col("b").alias("a")))))
+    groups = settle(connected_components(posted.join(hub, "token").select("a", "b").unionByName(hub.select("b", F.col("b").alias("a")))))
     blocks_of = groups.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("k"))
     n_tasks = 4 * partitions_of(df)
     mine = F.pmod(F.xxhash64("set_key"), F.col("k")).cast("int")
@@ -263,7 +264,7 @@ def jaccard_components(df: DataFrame, text: str = "text", key: str = "doc_id", s
     )
     dealt = sets.join(groups.withColumnRenamed("node", "set_key").join(blocks_of, "component"), "set_key").join(same.select("set_key", "copies"), "set_key")
     dealt = dealt.withColumn("mine", mine).withColumn("t", F.explode(task)).select("t.task", "t.role", "set_key", "n", "copies", "elements")
-    found = settled(dealt.groupBy("task").applyInPandas(lambda pdf: links_of(pdf, percent), "a string, b string, n_links long"))
+    found = settle(dealt.groupBy("task").applyInPandas(lambda pdf: links_of(pdf, percent), "a string, b string, n_links long"))
     linked = connected_components(found).withColumnRenamed("node", "set_key")
     links = found.groupBy(F.col("a").alias("set_key")).agg(F.sum("n_links").alias("n_links"))
     whole = same.join(linked, "set_key", "left").withColumn("component", F.coalesce("component", "set_key"))

@@ -19,9 +19,10 @@ from pyspark.sql import functions as F
 
 from tuneframe.llm.quality import CLASS_OF, CLASSES
 from tuneframe.llm.samples import labelled_texts
-from tuneframe.llm.ship import settled, ship
+from tuneframe.llm.ship import ship
 from tuneframe.llm.toxicity import SLOTS, evidence, read
 from tuneframe.llm.words import IS_SPACE, Words, pieces
+from tuneframe.session import settle
 
 #: Domains of the labels table and the shares of tokens they are to have.
 TARGETS = {"good": 0.95, "poor": 0.03, "toxic": 0.02}
@@ -214,7 +215,7 @@ def mixture(
 
     shares = lambda c: F.transform(c, lambda x: x / 100.0)
     groups = df.select(classify(F.col(f"`{text}`")).alias("m")).groupBy("m.percent").agg(F.sum("m.n_tokens").alias("tokens"))
-    groups = settled(groups)
+    groups = settle(groups)
     total = float(groups.agg(F.sum("tokens")).first()[0] or 1)
     groups = groups.select("percent", shares("percent").alias("posterior"), (F.col("tokens") / total).alias("share"))
     prices = solve(groups, [budget * targets[d] for d in names], how)

@@ -14,8 +14,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tuneframe.llm.ship import as_key, settled, ship, with_key
+from tuneframe.llm.ship import as_key, ship, with_key
 from tuneframe.llm.words import Words, pieces
+from tuneframe.session import settle
 
 SPACE = " \t\n\v\f\r"
 SYMBOLS = b"#*$%&|<>"
@@ -158,7 +159,7 @@ def quality_rules(
     them, and where that distance is min_reach or more: other languages have no common words
     here. A null or blank text has no words and fails. A null language is a language of its own.
     """
-    rows = settled(measured(df, text, key, language).withColumns({"p": shares("classes"), "q": shares("words")}).drop("classes", "words"))
+    rows = settle(measured(df, text, key, language).withColumns({"p": shares("classes"), "q": shares("words")}).drop("classes", "words"))
     n_classes, n_words = len(CLASSES), len(common_words()) + 1
     mean = lambda c, n: F.array(*[F.avg(F.get(c, F.lit(i))) for i in range(n)])
     long = rows.filter(F.col("n_words") >= min_words)

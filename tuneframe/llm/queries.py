@@ -15,6 +15,7 @@ from tuneframe.llm.mixing import TARGETS, mixture
 from tuneframe.llm.oracles import JACCARD, repeated_windows
 from tuneframe.llm.pii import personal_data
 from tuneframe.llm.quality import quality_rules
+from tuneframe.llm.sharding import sharded
 from tuneframe.llm.substrings import remove_repeated
 from tuneframe.llm.suffixes import repeated_passages
 from tuneframe.llm.toxicity import toxicity
@@ -95,3 +96,8 @@ def lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_toxicity")
 def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@query("op13_sharding")
+def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharded(documents(spark, sf_dir))

@@ -1,4 +1,4 @@
-"""The package on the executors, and the folder that driver and executors share."""
+"""The package on the executors, and keys on their way through pandas."""
 
 from __future__ import annotations
 
@@ -32,23 +32,6 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """df, computed once and written to the folder named by spark.checkpoint.dir.
-
-    Where none is named, as in tests, a folder of this machine is taken if the master is local.
-    """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not context.master.startswith("local"):
-                raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
-            folder = tempfile.mkdtemp(prefix="tuneframe-checkpoints-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint()
-
-
 def release(spark: SparkSession) -> None:
     """Let go of the shuffle files of steps that are over.
 
