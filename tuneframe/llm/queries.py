@@ -19,6 +19,7 @@ from tuneframe.llm.sharding import sharded
 from tuneframe.llm.substrings import remove_repeated
 from tuneframe.llm.suffixes import repeated_passages
 from tuneframe.llm.toxicity import toxicity
+from tuneframe.llm.whitening import whitened
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -98,6 +99,11 @@ def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+@query("op12_whitening")
+def whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 @query("op13_sharding")
 def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharded(documents(spark, sf_dir))
