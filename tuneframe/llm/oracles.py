@@ -49,3 +49,37 @@ degree AS (SELECT a AS rid, count(*) AS n_links FROM links GROUP BY a)
 SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, coalesce(n_links, 0)::BIGINT AS n_links
 FROM w JOIN least USING (rid) LEFT JOIN n USING (rid) LEFT JOIN degree USING (rid)
 """
+
+
+_BITS = ", ".join(["-1"] * 8)
+_CRC32 = f"""xor(list_reduce([4294967295] || flatten(list_transform(string_split(conv_id::VARCHAR, ''), lambda x: [ord(x), {_BITS}])),
+  lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295)"""
+
+TRIE = f"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+k AS (SELECT conv_id, turn, left(sha256(strlen(role) || ':' || role || text), 32) AS code, len({WORDS.format(text="text")}) AS n FROM t),
+c AS (SELECT conv_id, list({{'code': code, 'n': n}} ORDER BY turn NULLS FIRST, code) AS ts FROM k GROUP BY conv_id),
+h AS (SELECT *, {_CRC32} % 4 AS h FROM c),
+b AS (
+  SELECT a.conv_id, list_concat(coalesce(list_slice(o.ts, 1, a.h), []), list_slice(a.ts, a.h + 1, len(a.ts))) AS ts
+  FROM h a LEFT JOIN c o ON o.conv_id = a.conv_id - a.conv_id % 20
+),
+e AS (SELECT conv_id, ts, unnest(range(len(ts) + 1)) AS d FROM b),
+p AS (
+  SELECT conv_id, d, array_to_string(list_transform(list_slice(ts, 1, d), lambda x: x.code), '') AS path,
+    CASE WHEN d > 0 THEN ts[d].n ELSE 0 END AS n, d = len(ts) AS ended
+  FROM e
+),
+g AS (
+  SELECT path, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(n) AS saved,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ended), '')) AS ends_sha256
+  FROM p GROUP BY path
+),
+kids AS (SELECT left(path, 32 * (depth - 1)) AS path, count(*) AS n FROM g WHERE depth > 0 GROUP BY 1),
+v AS (SELECT g.path, g.saved, g.depth, kids.n IS NULL AS leaf FROM g LEFT JOIN kids USING (path)),
+up AS (SELECT left(path, 32 * a) AS path, saved, leaf FROM (SELECT path, saved, leaf, unnest(range(depth + 1)) AS a FROM v)),
+sums AS (SELECT path, sum(saved) AS saved, count(*) FILTER (leaf) AS leaves FROM up GROUP BY path)
+SELECT g.conv_id, g.depth::BIGINT AS depth, o.conv_id AS parent_conv_id, g.n_convs::BIGINT AS n_convs, coalesce(kids.n, 0)::BIGINT AS n_children,
+  sums.leaves::BIGINT AS n_leaves, sums.saved::BIGINT AS saved_tokens, g.ends_sha256
+FROM g JOIN sums USING (path) LEFT JOIN kids USING (path) LEFT JOIN g o ON g.depth > 0 AND o.path = left(g.path, 32 * (g.depth - 1))
+"""

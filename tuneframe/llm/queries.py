@@ -12,13 +12,14 @@ from tuneframe.llm.counts import count_tokens
 from tuneframe.llm.jaccard import jaccard_components
 from tuneframe.llm.lz import edit_likeness
 from tuneframe.llm.mixing import TARGETS, mixture
-from tuneframe.llm.oracles import JACCARD, repeated_windows
+from tuneframe.llm.oracles import JACCARD, TRIE, repeated_windows
 from tuneframe.llm.pii import personal_data
 from tuneframe.llm.quality import quality_rules
 from tuneframe.llm.sharding import sharded
 from tuneframe.llm.substrings import remove_repeated
 from tuneframe.llm.suffixes import repeated_passages
 from tuneframe.llm.toxicity import toxicity
+from tuneframe.llm.trie import prefix_trie
 from tuneframe.llm.whitening import whitened
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,6 +100,11 @@ def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+@query("op11_prefix_trie", TRIE)
+def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 @query("op12_whitening")
 def whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitened(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
