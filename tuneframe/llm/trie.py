@@ -236,7 +236,7 @@ def rebuilt(turns: DataFrame, conv: str, turn: str, role: str, text: str, share:
 
 
 def digests(members: DataFrame) -> DataFrame:
-    """(same, ends): SHA-256 of each group's conv_ids, ascending and joined by commas.
+    """(same, ends): SHA-256 of each group's conv_ids, ascending and joined by commas; few groups of one are among them.
 
     The ids are sorted and put into texts where they lie, slices of a group of any size side by
     side; what then meets is a text for each JOINED ids, and only the digest itself reads them in order.
@@ -245,11 +245,13 @@ def digests(members: DataFrame) -> DataFrame:
 
     def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = []
-            for same, ids in pdf.groupby("same", sort=False)["conv_id"]:
-                ids = ids.tolist()
-                for at in range(0, len(ids), JOINED):
-                    out.append((same, ids[at], ",".join(map(str, ids[at : at + JOINED]))))
+            same, ids, out = pdf["same"].to_numpy(), pdf["conv_id"].tolist(), []
+            starts = np.concatenate([[0], np.flatnonzero(same[1:] != same[:-1]) + 1])
+            ends = np.concatenate([starts[1:], [len(same)]])
+            kept = ends - starts > 1
+            kept[[0, -1]] = True  # these may go on in another batch
+            for a, b in zip(starts[kept], ends[kept]):
+                out += [(same[a], ids[at], ",".join(map(str, ids[at : min(b, at + JOINED)]))) for at in range(a, b, JOINED)]
             yield pd.DataFrame(out, columns=["same", "first", "text"])
 
     parts = sliced.mapInPandas(join, "same string, first long, text string")
@@ -288,9 +290,8 @@ def prefix_trie(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", rol
     ship(turns.sparkSession)
     made = settle(rebuilt(turns, conv, turn, role, text, share, heads).withColumn("same", F.sha2("codes", 256)))
     grouped = made.groupBy("same").agg(F.count("*").alias("n_convs"), F.min("conv_id").alias("conv_id"), F.first("codes").alias("codes"), F.first("words").alias("words"))
-    several = made.join(grouped.filter("n_convs > 1").select("same"), "same", "left_semi")
     single = F.sha2(F.col("conv_id").cast("string").cast("binary"), 256)
-    sequences = grouped.join(digests(several), "same", "left").withColumn("ends", F.coalesce("ends", single)).drop("same")
+    sequences = grouped.join(digests(made), "same", "left").withColumn("ends", F.coalesce("ends", single)).drop("same")
     sharded = settle(settle(sequences).repartitionByRange("codes").withColumn("shard", F.spark_partition_id()))
     rows = settle(_shards(sharded))
 
