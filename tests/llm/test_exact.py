@@ -13,7 +13,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tuneframe.llm import jaccard, lz, mixing, pii, quality, suffixes, toxicity
+from tuneframe.llm import bpe, jaccard, lz, mixing, pii, quality, ship, suffixes, toxicity
 from tuneframe.llm.bpe import WordBpe, decode_documents, encode_documents
 from tuneframe.llm.components import connected_components
 from tuneframe.llm.counts import count_tokens
@@ -96,12 +96,45 @@ def test_bpe_ids_and_round_trip(spark, texts):
         assert r["ids_sha256"] == hashlib.sha256(" ".join(map(str, expected[r["doc_id"]])).encode()).hexdigest()
 
 
+def test_bpe_of_texts_beyond_a_slice(spark, texts):
+    # slices with and without letters beyond Latin-1, a word longer than a slice, and null among short texts
+    plain = " ".join(texts.values())
+    long = (plain * (1 + 3_000_000 // len(plain)))[:2_600_000] + " \u201cquoted\u201d <|endoftext|> " + plain[:900_000] + " " + "x" * 1_100_000
+    library = Tokenizer.from_file(WORD_FILE)
+    rows = [(1, long), (2, "short"), (3, None), (4, plain[:400_000])]
+    made = {r["doc_id"]: r["ids"] for r in encode_documents(spark.createDataFrame(rows, "doc_id long, text string"), WORD_FILE).collect()}
+    for i, t in rows:
+        assert made[i] == library.encode(t or "", add_special_tokens=False).ids
+
+
+def test_remembered_is_bounded(monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 100)
+    asked = []
+    table = bpe.Remembered(lambda key: asked.append(key) or key + 1, lambda key, value: 10)
+    assert all(table[i % 25] == i % 25 + 1 for i in range(1000))
+    assert len(table) <= 10 and len(table.old) <= 10 and len(asked) == 1000
+    asked.clear()
+    assert all(table[i % 9] == i % 9 + 1 for i in range(1000)) and len(asked) <= 9
+    table.forget()
+    assert not table and not table.old
+
+
+def test_a_worker_holds_one_operators_tables(monkeypatch):
+    monkeypatch.setattr(ship, "_held", {})
+    gone = []
+    ship.hold("a", lambda: gone.append("a"))
+    ship.hold("a", lambda: gone.append("a"))
+    assert not gone
+    ship.hold("b", lambda: gone.append("b"))
+    assert gone == ["a"]
+
+
 def test_each_bpe_token_builds_itself():
-    bpe = WordBpe(WORD_FILE)
-    for token in random.Random(3).sample(sorted(bpe.whole), 500):
-        text = bpe.token[token]
-        if text.endswith(bpe.mark) and text != bpe.mark:
-            assert bpe.piece(text.removesuffix(bpe.mark)) == [token]
+    words = WordBpe(WORD_FILE)
+    for token in random.Random(3).sample(sorted(words.whole), 500):
+        text = words.token[token]
+        if text.endswith(words.mark) and text != words.mark:
+            assert words.piece(text.removesuffix(words.mark)) == [token]
 
 
 @pytest.mark.parametrize("chunk, overlap", [(32_768, 256), (100, 16), (40, 4)])

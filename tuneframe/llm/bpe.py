@@ -6,8 +6,8 @@ the last one of a prefix if it is compatible with the last token of the prefix b
 no merge across their border comes before the merges that built the two. Exactly one
 token is, so one entry per prefix is stored; back-pointers then give the ids.
 
-Spark deals out the documents; inside a task, the ids of a chunk between white space are
-kept for the next time it occurs, in a bounded table.
+Spark deals out the documents; a worker keeps the ids of pieces for the next time they occur,
+in tables of bounded size, until another operator's turn.
 """
 
 from __future__ import annotations
@@ -15,24 +15,29 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Callable, Iterator
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tuneframe.llm.ship import as_key, ship, with_key
+from tuneframe.llm.ship import as_key, hold, ship, with_key
 
-#: Chunks whose ids a task remembers; it starts anew beyond.
-REMEMBERED = 200_000
+#: Bytes of a generation of each table that a worker remembers; there are two of a table at most.
+REMEMBERED = 40 << 20
+#: Bytes of an entry beside its letters and ids, and of a remembered pair.
+ENTRY, PAIR = 190, 110
 #: White space as the normaliser knows it: Unicode's, without the four separators 1C to 1F.
 WHITE = re.compile("[\t-\r \x85\xa0  -     　]+")
-SEPARATORS = re.compile("[\x1c-\x1f]")
 #: Long texts are worked on in slices of about so many characters, cut at white space.
 SLICE = 1 << 20
-FOREIGN = "\u0100"
+#: Characters of texts whose ids are handed on together.
+HANDED = 1 << 20
+FOREIGN = re.compile("[^\x00-\xff]")
+#: What a text has to be read chunk by chunk for.
+UNUSUAL = re.compile("[^\x00-\x1b\x20-\xff]")
 END = ""
 
 
@@ -57,16 +62,11 @@ class Merges:
             first, second = vocab[a], vocab[b]
             self.pair[first, second] = rank
             self.rank[token], self.left[token], self.right[token] = rank, first, second
-        self.known: dict[int, bool] = {}
+        self.known = Remembered(lambda key: self._compatible(key >> 20, key & 0xFFFFF), lambda key, fits: 2 * PAIR)
 
     def compatible(self, a: int, b: int) -> bool:
         """Whether a and b stay two tokens when their letters stand side by side."""
-        key = a << 20 | b
-        if (known := self.known.get(key)) is None:
-            if len(self.known) > 250_000:
-                self.known.clear()
-            known = self.known[key] = self._compatible(a, b)
-        return known
+        return self.known[a << 20 | b]
 
     def builds(self, token: int) -> bool:
         """Whether the two parts of a token stay two until the token's own merge."""
@@ -96,16 +96,16 @@ class WordBpe:
 
         spec = json.loads(open(path, encoding="utf-8").read())
         model = spec["model"]
-        self.vocab: dict[str, int] = model["vocab"]
+        vocab: dict[str, int] = model["vocab"]
         self.mark = model["end_of_word_suffix"]
-        self.merges = Merges(self.vocab, model["merges"])
-        self.token = {i: t for t, i in self.vocab.items()}
+        self.merges = Merges(vocab, model["merges"])
+        self.token = {i: t for t, i in vocab.items()}
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
         self.token |= {i: t for t, i in self.special.items()}
         self.letters = byte_letters()
         self.automaton = ahocorasick.Automaton()
         self.length: dict[int, int] = {}
-        for text, i in self.vocab.items():
+        for text, i in vocab.items():
             if i in self.special.values():
                 continue
             body = text.removesuffix(self.mark)
@@ -118,8 +118,9 @@ class WordBpe:
         self.pieces = regex.compile(pattern)
         library = self._library(path)
         self.normalise, self.split = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
-        self.table = Table(self.chunk)
-        self.piece_table: dict[str, str] = {}
+        size = lambda key, ids: ENTRY + len(key) + len(ids)
+        self.chunks = Remembered(self.chunk, lambda key, ids: 2 * size(key, ids))
+        self.ids = Remembered(self.written, size)
         # a token may open a piece alone if its own letters are merged into it
         m = self.merges
         self.whole = {t for t in self.length if m.rank[t] < 0 or m.builds(t)}
@@ -130,10 +131,14 @@ class WordBpe:
 
         return Tokenizer.from_file(path)
 
+    @cached_property
+    def name(self) -> dict[str, str]:
+        """The token of each id in decimal."""
+        return {str(i): t for i, t in self.token.items()}
+
     def piece(self, letters: str) -> list[int]:
         """Ids of one piece in byte letters."""
-        n, length, whole = len(letters), self.length, self.whole
-        known, compatible = self.merges.known, self.merges.compatible
+        n, length, whole, fits = len(letters), self.length, self.whole, self.merges.known
         last: list[int] = [-1] * (n + 1)
         for end, token in self.automaton.iter(letters + END):
             at = end + 1 if end < n - 1 else n
@@ -143,10 +148,8 @@ class WordBpe:
             if not start:
                 if token in whole:
                     last[at] = token
-            elif (before := last[start]) >= 0:
-                fits = known.get(before << 20 | token)
-                if compatible(before, token) if fits is None else fits:
-                    last[at] = token
+            elif (before := last[start]) >= 0 and fits[before << 20 | token]:
+                last[at] = token
         out, at = [], n
         while at:
             token = last[at]
@@ -156,52 +159,65 @@ class WordBpe:
             at -= length[token]
         return out[::-1]
 
+    def written(self, piece: str) -> str:
+        """Decimal ids, joined by one space, of one lower-case piece."""
+        plain = piece.isascii() and piece.isprintable()
+        return " ".join(map(str, self.piece(piece if plain else "".join([self.letters[b] for b in piece.encode()]))))
+
     def chunk(self, chunk: str) -> str:
         """Decimal ids, joined by one space, of text without white space."""
         ids: list[str] = []
         for part in self.specials.split(chunk) if "<|" in chunk else (chunk,):
             if part in self.special:
                 ids.append(str(self.special[part]))
-                continue
-            if max(part, default="") < FOREIGN:
-                pieces = ["".join([self.letters[b] for b in x.encode()]) for x in self.pieces.findall(part.lower())]
-            else:  # classes of letters differ between versions of Unicode: as the library's rules split them
-                pieces = [x for x, _ in self.split(self.normalise(part))]
-            for piece in pieces:
-                if (known := self.piece_table.get(piece)) is None:
-                    if len(self.piece_table) >= REMEMBERED:
-                        self.piece_table.clear()
-                    known = self.piece_table[piece] = " ".join(map(str, self.piece(piece)))
-                ids.append(known)
+            elif FOREIGN.search(part):  # classes of letters differ between versions of Unicode: as the library's rules split them
+                ids += [" ".join(map(str, self.piece(x))) for x, _ in self.split(self.normalise(part))]
+            else:
+                ids += map(self.ids.__getitem__, self.pieces.findall(part.lower()))
         return " ".join(ids)
 
     def forget(self) -> None:
-        """Give back what was remembered: idle workers stay, and other stages need their memory."""
-        self.table.clear()
-        self.piece_table.clear()
-        self.merges.known.clear()
+        """Give back what was remembered."""
+        for table in (self.chunks, self.ids, self.merges.known):
+            table.forget()
 
     def encode(self, text: str) -> Iterator[str]:
         """Decimal ids joined by one space, in slices of the text; slices without ids are left out."""
         for part in slices(text):
-            chunks = WHITE.split(part) if SEPARATORS.search(part) else part.split()
-            if joined := " ".join(filter(None, map(self.table.__getitem__, chunks))):
+            if not UNUSUAL.search(part) and "<|" not in part:
+                found = map(self.ids.__getitem__, self.pieces.findall(part.lower()))
+            else:
+                found = filter(None, map(self.chunks.__getitem__, WHITE.split(part)))
+            if joined := " ".join(found):
                 yield joined
 
 
-class Table(dict):
-    """Ids of chunks, made when first asked for."""
+class Remembered(dict):
+    """What make(key) gave, made when first asked for. What was not asked for lately is let go of.
 
-    def __init__(self, make):
-        super().__init__()
-        self.make = make
+    A generation of REMEMBERED bytes, as `size` counts them, becomes the old one when it is full, and the old one goes; what
+    is asked for again comes back from the old generation.
+    """
 
-    def __missing__(self, chunk: str) -> str:
-        if len(self) >= REMEMBERED:
+    def __init__(self, make: Callable, size: Callable):
+        super().__init__()
+        self.make, self.size, self.held, self.old = make, size, 0, {}
+
+    def __missing__(self, key):
+        known = self.old.get(key)
+        if known is None:
+            known = self.make(key)
+        self.held += self.size(key, known)
+        if self.held > REMEMBERED:
+            self.old, self.held = dict(self), 0
             self.clear()
-        known = self[chunk] = self.make(chunk)
+        self[key] = known
         return known
 
+    def forget(self) -> None:
+        self.clear()
+        self.old, self.held = {}, 0
+
 
 def slices(text: str) -> Iterator[str]:
     """The text in parts that end before white space, a very long word whole."""
@@ -217,10 +233,27 @@ def slices(text: str) -> Iterator[str]:
 
 
 @lru_cache(1)
-def vocabulary(path: str) -> WordBpe:
+def _vocabulary(path: str) -> WordBpe:
     return WordBpe(path)
 
 
+def vocabulary(path: str) -> WordBpe:
+    """The vocabulary and its tables, which stay with the worker while this operator's tasks follow each other."""
+    hold("bpe", _vocabulary.cache_clear)
+    return _vocabulary(path)
+
+
+def handed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Parts of some HANDED characters, null texts empty, so that the ids of a whole batch are never held."""
+    for pdf in batches:
+        pdf["text"] = pdf["text"].fillna("")
+        group = (pdf["text"].str.len().cumsum() // HANDED).to_numpy()
+        cuts = [0, *(np.flatnonzero(group[1:] != group[:-1]) + 1), len(pdf)]
+        for a, b in zip(cuts, cuts[1:]):
+            if b > a:
+                yield pdf.iloc[a:b]
+
+
 def encode_documents(df: DataFrame, path: str, text: str = "text", key: str = "doc_id", digests: bool = False) -> DataFrame:
     """One row per row of df: key, n_tokens and ids (array), or ids_sha256 and decoded_sha256 with `digests`.
 
@@ -233,28 +266,26 @@ def encode_documents(df: DataFrame, path: str, text: str = "text", key: str = "d
 
     def full(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = vocabulary(path)
-        for pdf in batches:
-            ids = [np.array(" ".join(bpe.encode(t or "")).split(), np.int32) for t in pdf["text"]]
-            yield pd.DataFrame({"key": pdf["key"], "n_tokens": [len(x) for x in ids], "ids": ids})
-        bpe.forget()
+        for pdf in handed(batches):
+            ids = [np.concatenate([np.zeros(0, np.int32), *[np.fromstring(x, np.int32, sep=" ") for x in bpe.encode(t)]]) for t in pdf["text"]]
+            yield pd.DataFrame({"key": pdf["key"].array, "n_tokens": [len(x) for x in ids], "ids": ids})
 
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = vocabulary(path)
-        names = {str(i): t for i, t in bpe.token.items()}
-        for pdf in batches:
+        name = bpe.name.__getitem__
+        for pdf in handed(batches):
             out = []
             for t in pdf["text"]:
                 ids_hash, text_hash, n = hashlib.sha256(), hashlib.sha256(), 0
-                for part in bpe.encode(t or ""):
+                for part in bpe.encode(t):
                     ids = part.split(" ")
                     space = b" " if n else b""
                     n += len(ids)
                     ids_hash.update(space + part.encode())
-                    text_hash.update(space + " ".join(map(names.__getitem__, ids)).encode())
+                    text_hash.update(space + " ".join(map(name, ids)).encode())
                 out.append((n, ids_hash.hexdigest(), text_hash.hexdigest()))
-            n, a, b = zip(*out) if out else ((), (), ())
-            yield pd.DataFrame({"key": pdf["key"], "n_tokens": n, "ids_sha256": a, "decoded_sha256": b})
-        bpe.forget()
+            n, a, b = zip(*out)
+            yield pd.DataFrame({"key": pdf["key"].array, "n_tokens": n, "ids_sha256": a, "decoded_sha256": b})
 
     if digests:
         made = rows.mapInPandas(hashed, "key string, n_tokens long, ids_sha256 string, decoded_sha256 string")

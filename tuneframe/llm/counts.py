@@ -19,8 +19,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tuneframe.llm.bpe import REMEMBERED, WHITE
-from tuneframe.llm.ship import as_key, ship, with_key
+from tuneframe.llm.bpe import WHITE
+from tuneframe.llm.ship import as_key, hold, ship, with_key
 from tuneframe.session import settle
 
 _SPACE = WHITE.pattern[1:-2]
@@ -28,6 +28,8 @@ _SPACE = WHITE.pattern[1:-2]
 PARTS = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
 CHUNK, OVERLAP = 32_768, 256
 GROUP = 1 << 20
+#: Parts whose tokens a worker remembers.
+REMEMBERED = 400_000
 
 
 class Counter:
@@ -42,7 +44,7 @@ class Counter:
 
     def learn(self, parts: set[str]) -> None:
         new = list(parts.difference(self.table))
-        if len(self.table) + len(new) > 2 * REMEMBERED:
+        if len(self.table) + len(new) > REMEMBERED:
             self.table.clear()
             new = list(parts)
         for at in range(0, len(new), 20_000):
@@ -51,10 +53,16 @@ class Counter:
 
 
 @lru_cache(1)
-def counter(path: str) -> Counter:
+def _counter(path: str) -> Counter:
     return Counter(path)
 
 
+def counter(path: str) -> Counter:
+    """The library and what it counted, which stay with the worker while this operator's tasks follow each other."""
+    hold("counts", _counter.cache_clear)
+    return _counter(path)
+
+
 def edge(parts: list[str], counts: list[int], start: int, low: int, high: int) -> list[tuple[int, int]]:
     """(offset in the document, tokens before it) of the stable ends in [low, high), but the text's end."""
     out, at, tokens = [], start, 0

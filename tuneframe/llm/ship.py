@@ -7,6 +7,7 @@ import io
 import pathlib
 import tempfile
 import zipfile
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +33,19 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+_held: dict[str, Callable[[], object]] = {}
+
+
+def hold(name: str, forget: Callable[[], object]) -> None:
+    """Said in a task before its operator's tables are used: those that the worker holds of another are let go of.
+
+    Workers go from stage to stage, so tables that stay with them are there while other operators run.
+    """
+    for other in [x for x in _held if x != name]:
+        _held.pop(other)()
+    _held[name] = forget
+
+
 def release(spark: SparkSession) -> None:
     """Let go of the shuffle files of steps that are over.
 

@@ -10,6 +10,8 @@ from collections.abc import Iterator
 
 import numpy as np
 
+from tuneframe.llm.ship import hold
+
 SPACES = (9, 10, 11, 12, 13, 32)
 #: Texts are worked on in groups of about this many bytes, which bounds the arrays.
 PIECE_BYTES = 2 << 20
@@ -57,6 +59,7 @@ def _segments(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: in
 
 def pieces(texts: list, limit: int = PIECE_BYTES) -> Iterator[tuple[int, list[bytes]]]:
     """Groups of encoded texts of about `limit` bytes, each with the number of texts before it."""
+    hold("words", _powers.clear)
     group, size, first = [], 0, 0
     for i, text in enumerate(texts):
         data = text.encode("utf-8", "surrogatepass") if isinstance(text, str) else b""
