@@ -112,7 +112,7 @@ def test_remembered_is_bounded(monkeypatch):
     asked = []
     table = bpe.Remembered(lambda key: asked.append(key) or key + 1, lambda key, value: 10)
     assert all(table[i % 25] == i % 25 + 1 for i in range(1000))
-    assert len(table) <= 10 and len(table.old) <= 10 and len(asked) == 1000
+    assert 0 < len(table) <= 10 and len(table.old) <= 10 and len(asked) == 1000
     asked.clear()
     assert all(table[i % 9] == i % 9 + 1 for i in range(1000)) and len(asked) <= 9
     table.forget()

@@ -87,12 +87,20 @@ class Merges:
                 before, b = rank_b + 1, self.left[b]
 
 
+def latin(pattern: str) -> re.Pattern:
+    """A pattern of pieces for text up to U+00FF, with its classes written out, which `re` reads twice as fast."""
+    import regex
+
+    for name in (r"\p{L}", r"\p{N}", r"\s"):
+        pattern = pattern.replace(name, "".join(re.escape(chr(i)) for i in range(256) if regex.match(name, chr(i))))
+    return re.compile(pattern)
+
+
 class WordBpe:
     """A BPE vocabulary with an end-of-word mark, its normaliser and its pieces."""
 
     def __init__(self, path: str):
         import ahocorasick
-        import regex
 
         spec = json.loads(open(path, encoding="utf-8").read())
         model = spec["model"]
@@ -104,7 +112,7 @@ class WordBpe:
         self.token |= {i: t for t, i in self.special.items()}
         self.letters = byte_letters()
         self.automaton = ahocorasick.Automaton()
-        self.length: dict[int, int] = {}
+        self.length = [0] * (max(self.token) + 1)
         for text, i in vocab.items():
             if i in self.special.values():
                 continue
@@ -115,7 +123,7 @@ class WordBpe:
         self.automaton.make_automaton()
         self.specials = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        self.pieces = regex.compile(pattern)
+        self.pieces = latin(pattern)
         library = self._library(path)
         self.normalise, self.split = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
         size = lambda key, ids: ENTRY + len(key) + len(ids)
@@ -123,7 +131,7 @@ class WordBpe:
         self.ids = Remembered(self.written, size)
         # a token may open a piece alone if its own letters are merged into it
         m = self.merges
-        self.whole = {t for t in self.length if m.rank[t] < 0 or m.builds(t)}
+        self.whole = {t for t, n in enumerate(self.length) if n and (m.rank[t] < 0 or m.builds(t))}
 
     @staticmethod
     def _library(path: str):
@@ -207,9 +215,10 @@ class Remembered(dict):
         known = self.old.get(key)
         if known is None:
             known = self.make(key)
-        self.held += self.size(key, known)
+        more = self.size(key, known)
+        self.held += more
         if self.held > REMEMBERED:
-            self.old, self.held = dict(self), 0
+            self.old, self.held = dict(self), more
             self.clear()
         self[key] = known
         return known
