@@ -10,6 +10,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -347,29 +348,68 @@ def test_mixing_meets_its_targets(spark):
         labels.append((i, quality_, toxic))
     df, marks = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
     targets = {"good": 0.5, "poor": 0.2, "toxic": 0.3}
-    made = mixing.mixture(df, marks, targets, how=mixing.Fit(ridge=1e-4)).collect()
+    made = mixing.mixture(df, marks, targets).collect()
     total = sum(r["n_tokens"] for r in made)
     for i, share in enumerate(targets.values()):
-        assert abs(sum(r["rate"] * r["n_tokens"] * r["posterior"][i] for r in made) / total - share) < 0.01
+        assert abs(sum(r["rate"] * r["n_tokens"] * r["posterior"][i] for r in made) / total - share) < 1e-6
     assert min(r["rate"] for r in made) >= 0 and all(abs(r["copies"] - r["rate"]) <= 1 for r in made)
-    # the same least squares, solved step by step for each document
-    p, t = np.array([r["posterior"] for r in made]), np.array([r["n_tokens"] for r in made]) / total
-    rate = np.ones(len(made))
-    for _ in range(4000):
-        rate = np.maximum(0, rate - (p @ ((rate * t) @ p - list(targets.values())) + 1e-4 * (rate - 1)))
-    assert np.abs(rate - [r["rate"] for r in made]).max() < 0.05
+    assert all(abs(sum(r["posterior"]) - 1) < 1e-12 for r in made)
     assert mixing.mixed(df, marks, targets).columns == df.columns
 
 
+def dense_steps(p, share, goal, n):
+    """Plain projected gradient on every rate, with a short step."""
+    rate, length = np.ones(len(p)), 1 / np.linalg.norm((p * share[:, None]).T @ p, 2)
+    for _ in range(n):
+        off = (rate * share) @ p - goal
+        if np.abs(off).max() < 1e-12:
+            break
+        rate = np.maximum(0, rate - length * (p @ off))
+    return rate
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_rates_against_plain_projected_gradient(spark, seed):
+    # the last targets cannot be met: no document is purely of the first domain; there a few steps are held against a thousand plain ones
+    rng = np.random.default_rng(seed)
+    p, share = rng.dirichlet([3, 1, 0.3], 200), rng.random(200)
+    share, goal = share / share.sum(), np.array([[0.3, 0.3, 0.4], [0.5, 0.45, 0.05], [0.995, 0.004, 0.001]][seed])
+    rows = spark.createDataFrame([(float(s), *map(float, x)) for s, x in zip(share, p)], "share double, p0 double, p1 double, p2 double").coalesce(1).cache()
+    steps = mixing.solve(rows, goal.tolist(), mixing.Fit(steps=25 if seed < 2 else 12))
+    got = np.array([r["rate"] for r in rows.select(mixing.rate_of([F.col("p0"), F.col("p1"), F.col("p2")], steps).alias("rate")).collect()])
+    want = dense_steps(p, share, goal, 1000)
+    miss = [np.linalg.norm((r * share) @ p - goal) for r in (got, want)]
+    assert got.min() >= 0 and miss[0] < miss[1] * 1.05 + 1e-6
+    if seed < 2:
+        assert np.abs((got * share) @ p - goal).max() < 1e-6
+
+
 @pytest.mark.parametrize("toxic", [0.005, 0.0005])
 def test_mixing_meets_its_targets_where_a_domain_is_rare(spark, toxic):
     how, wanted = mixing.Fit(), list(mixing.TARGETS.values())
-    rows = [([float(i == j) for j in range(3)], share) for i, share in enumerate([0.95 - toxic, 0.05, toxic])]
-    groups = spark.createDataFrame(rows, "posterior array<double>, share double").coalesce(1).cache()
-    prices = mixing.solve(groups, wanted, how)
-    made = groups.select("posterior", "share", mixing.rate_of(groups["posterior"], prices).alias("rate")).collect()
-    totals = np.array([r["share"] * r["rate"] * np.array(r["posterior"]) for r in made]).sum(axis=0)
-    assert np.abs(totals - wanted).max() < 2e-4
+    rows = [(share, *[float(i == j) for j in range(3)]) for i, share in enumerate([0.95 - toxic, 0.05, toxic])]
+    groups = spark.createDataFrame(rows, "share double, p0 double, p1 double, p2 double").coalesce(1).cache()
+    p = [F.col(f"p{i}") for i in range(3)]
+    steps = mixing.solve(groups, wanted, how)
+    made = groups.select("*", mixing.rate_of(p, steps).alias("rate")).collect()
+    totals = np.array([r["share"] * r["rate"] * np.array([r["p0"], r["p1"], r["p2"]]) for r in made]).sum(axis=0)
+    assert np.abs(totals - wanted).max() < 1e-6
+
+
+def test_the_querys_own_fit_meets_its_targets(spark):
+    # documents, of whose tokens a two-thousandth is toxic, with the exact posteriors that are returned
+    rnd, words = random.Random(8), {0: "calm clear plain steady open", 1: "xx click buy now zz", 2: "vile awful hate scum filth"}
+    rows, labels = [], []
+    for i in range(4000):
+        kind = 2 if i % 2000 == 7 else 1 if i % 11 == 0 else 0
+        rows.append((i, " ".join(rnd.choice(words[kind].split() + ["the", "of", "and", "it"]) for _ in range(60))))
+        if i % 3 == 0 or kind == 2:
+            labels.append((i, int(kind == 0), int(kind == 2)))
+    df, marks = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    made = mixing.mixture(df, marks).collect()
+    total = sum(r["n_tokens"] for r in made)
+    for i, share in enumerate(mixing.TARGETS.values()):
+        assert abs(sum(r["rate"] * r["n_tokens"] * r["posterior"][i] for r in made) / total - share) < 0.005 * share
 
 
 def test_gradients_of_the_network():

@@ -1,16 +1,19 @@
 """Mixing to target weights with soft membership.
 
-A classifier learned from a labelled table gives each document posteriors over domains,
-kept in whole percent. Nonnegative rates of documents are found by gradient steps on the
-prices of the domains, scaled by the curvature: the sum over documents of rate * tokens * posterior is to meet each domain's target,
-and rates stay near one where the targets leave them free. A document's rate depends on
-its posterior alone, so the steps run in Spark over one row for each posterior that
-occurs, with the prices, one number for each domain, as their only state.
+A classifier learned from a labelled table gives each document posteriors over domains.
+Projected gradient steps on the documents' rates solve a least squares: the sum over documents of rate * tokens *
+posterior is to meet each domain's target. Every document begins at a rate of one, and each step
+takes its posterior times one vector off its rate, which is cut at nought. So a step is a sum over
+all documents in Spark and a vector of one number for each domain, and a rate is read off the
+document's own posterior and the vectors of the steps. Texts are classified once.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pandas as pd
@@ -43,9 +46,8 @@ class Fit:
     per_domain: int = 1200
     max_chars: int = 20_000
     strength: float = 3.0
-    ridge: float = 1e-6  # weight of staying near a rate of one: it only decides between rates that meet the targets
-    steps: int = 200
-    tolerance: float = 1e-8  # of the gradient, at which the steps end
+    steps: int = 40
+    tolerance: float = 1e-7  # share of a target that its total may be off when the steps end
 
 
 @dataclass
@@ -57,11 +59,11 @@ class Classifier:
     scale: np.ndarray
     weights: np.ndarray  # inputs and a constant, domains
 
-    def percents(self, group: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Tokens of each text, and its posterior in whole percent, which add up to 100."""
+    def posteriors(self, group: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens of each text, and its posterior."""
         n, x, _ = inputs(group, self.tables)
         x = np.hstack([(x - self.mean) / self.scale, np.ones((len(x), 1))])
-        return n, whole_percents(softmax(x @ self.weights))
+        return n, softmax(x @ self.weights)
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
@@ -69,14 +71,6 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def whole_percents(p: np.ndarray) -> np.ndarray:
-    """Rounded down, and what is left goes to the largest remainders."""
-    low = np.floor(100 * p + 1e-9).astype(int)
-    left = 100 - low.sum(axis=1)
-    rank = np.argsort(np.argsort(-(100 * p - low), axis=1, kind="stable"), axis=1, kind="stable")
-    return low + (rank < left[:, None])
-
-
 def inputs(group: list[bytes], tables: np.ndarray, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, object]:
     """Tokens of each text, and its inputs: shares of character classes, for each domain the most
     evidence of a word and the number of words with strong evidence, and the length. `own` replaces
@@ -154,76 +148,86 @@ def sample(df: DataFrame, labels: DataFrame, text: str, key: str, domain: Column
     return sorted((names.index(label), t) for label, t in rows)
 
 
-def rate_of(posterior: Column, prices: list[float]) -> Column:
-    """The rate of a posterior at the prices of the domains: max(0, 1 - posterior . prices)."""
-    cost = F.aggregate(F.zip_with(posterior, F.array(*map(F.lit, prices)), lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
-    return F.greatest(F.lit(0.0), 1 - cost)
+def rate_of(posterior: list[Column], steps: list[list[float]]) -> Column:
+    """The rate of a posterior after the steps, from a rate of one."""
+    rate = F.lit(1.0)
+    for step in steps:
+        rate = F.greatest(F.lit(0.0), rate - reduce(add, [p * F.lit(float(x)) for p, x in zip(posterior, step)]))
+    return rate
 
 
-def solve(groups: DataFrame, wanted: list[float], how: Fit) -> list[float]:
-    """The prices (residual / ridge) at the optimum. groups: posterior (array of shares) and share of all tokens.
+def solve(rows: DataFrame, wanted: list[float], how: Fit) -> list[list[float]]:
+    """The steps to the rates of the least squares. rows: share (of all tokens), p0, p1, ... (posterior).
 
-    At the optimum of |totals - wanted|^2 + ridge * share . (rate - 1)^2 the rates follow from
-    the prices alone, which minimise wanted . v + ridge / 2 |v|^2 + share . rate(v)^2 / 2. Steps
-    go down its gradient, scaled by its curvature, and are halved while they lead uphill.
+    A step goes down the gradient, posterior . (totals - wanted), scaled by the inverse of the
+    curvature of the documents whose rate is above nought. If it would lead uphill it is shortened, and
+    at last taken down the plain gradient at a length that cannot. Where no rates meet the targets
+    the steps end when they gain next to nothing or are used up.
     """
     k, goal = len(wanted), np.array(wanted)
-    p = [F.get("posterior", F.lit(i)) for i in range(k)]
-
-    def look(v: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-        rows = groups.select("share", "posterior", rate_of(F.col("posterior"), v.tolist()).alias("rate"))
-        active = F.when(F.col("rate") > 0, F.col("share")).otherwise(0.0)
-        sums = [F.sum(F.col("share") * F.col("rate") * F.col("rate")), *[F.sum(F.col("share") * F.col("rate") * x) for x in p], *[F.sum(active * x * y) for x in p for y in p]]
-        found = np.array([float(x or 0.0) for x in rows.agg(*sums).first()])
-        return goal @ v + how.ridge / 2 * v @ v + found[0] / 2, goal + how.ridge * v - found[1 : k + 1], found[k + 1 :].reshape(k, k) + how.ridge * np.eye(k)
-
-    v = np.zeros(k)
-    value, slope, curve = look(v)
-    for _ in range(how.steps):
-        if np.abs(slope).max() < how.tolerance:
+    p = [F.col(f"p{i}") for i in range(k)]
+
+    def look(steps: list[list[float]]) -> tuple[np.ndarray, np.ndarray]:
+        rated = rows.select("share", *p, rate_of(p, steps).alias("rate"))
+        free = F.when(F.col("rate") > 0, F.col("share")).otherwise(0.0)
+        sums = [F.sum(F.col("share") * F.col("rate") * x) for x in p] + [F.sum(free * p[i] * p[j]) for i in range(k) for j in range(i, k)]
+        found = [float(x or 0.0) for x in rated.agg(*sums).first()]
+        curve = np.zeros((k, k))
+        curve[np.triu_indices(k)] = found[k:]
+        return np.array(found[:k]), np.maximum(curve, curve.T)
+
+    steps: list[list[float]] = []
+    totals, curve = look(steps)
+    plain = 1 / max(np.linalg.norm(curve, 2), 1e-300)
+    while len(steps) < how.steps:
+        off = totals - goal
+        if (np.abs(off) <= how.tolerance * goal).all():
+            break
+        newton = np.linalg.pinv(curve, rcond=1e-12, hermitian=True) @ off
+        for step in (*[newton / 4**j for j in range(6)], plain * off):
+            after, bend = look([*steps, step.tolist()])
+            if np.linalg.norm(after - goal) < (1 - 1e-4) * np.linalg.norm(off):
+                break
+        else:
             break
-        step, part = np.linalg.solve(curve, slope), 1.0
-        after = look(v - step)
-        while after[0] > value - 1e-4 * part * (slope @ step) and part > 1e-6 and np.abs(after[1]).max() >= how.tolerance:
-            part /= 2
-            after = look(v - part * step)
-        v = v - part * step
-        value, slope, curve = after
-    return v.tolist()
+        steps.append(step.tolist())
+        totals, curve = after, bend
+    return steps
 
 
 def mixture(
-    df: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, text: str = "text", key: str = "doc_id", budget: float = 1.0, domain: Column | None = None, how: Fit = Fit()
+    df: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, text: str = "text", key: str = "doc_id", budget: float = 1.0, domain: Column | None = None, how: Fit = Fit(),
+    carry: Sequence[str] | None = None,
 ) -> DataFrame:
-    """One row per row of df: row (df's columns), n_tokens, posterior (of the targets in order), rate, copies.
+    """One row per row of df: row (df's columns, or those to carry), n_tokens, posterior (of the targets in order), rate, copies.
 
     The rates' expected tokens are budget times the tokens of df. copies is rate rounded up
     or down by a hash of key and text, so that its mean is the rate. A null or blank text has
     no tokens, the posterior of an empty text and its rate. With labels of fewer than two
-    domains every domain is as likely. Columns of df keep their names inside `row`.
+    domains every domain is as likely. Columns of df keep their names inside `row`. What is
+    carried is written to the shared folder once, beside the posteriors.
     """
     ship(df.sparkSession)
     names = list(targets)
-    rows = sample(df, labels, text, key, label_domain() if domain is None else domain, names, how)
-    shared = df.sparkSession.sparkContext.broadcast(learn([t for _, t in rows], [d for d, _ in rows], len(names), how))  # a few MB
+    learned = sample(df, labels, text, key, label_domain() if domain is None else domain, names, how)
+    shared = df.sparkSession.sparkContext.broadcast(learn([t for _, t in learned], [d for d, _ in learned], len(names), how))  # a few MB
+    columns = [f"p{i}" for i in range(len(names))]
 
-    @F.pandas_udf("n_tokens long, percent array<int>")
+    @F.pandas_udf("n_tokens long, " + ", ".join(f"{c} double" for c in columns))
     def classify(texts: pd.Series) -> pd.DataFrame:
-        parts = [shared.value.percents(group) for _, group in pieces(texts.tolist())]
+        parts = [shared.value.posteriors(group) for _, group in pieces(texts.tolist())]
         n = np.concatenate([a for a, _ in parts]) if parts else np.zeros(0, int)
-        return pd.DataFrame({"n_tokens": n, "percent": [x for _, p in parts for x in p.astype(np.int32)]})
-
-    shares = lambda c: F.transform(c, lambda x: x / 100.0)
-    groups = df.select(classify(F.col(f"`{text}`")).alias("m")).groupBy("m.percent").agg(F.sum("m.n_tokens").alias("tokens"))
-    groups = settle(groups)
-    total = float(groups.agg(F.sum("tokens")).first()[0] or 1)
-    groups = groups.select("percent", shares("percent").alias("posterior"), (F.col("tokens") / total).alias("share"))
-    prices = solve(groups, [budget * targets[d] for d in names], how)
-    made = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), classify(F.col(f"`{text}`")).alias("m"))
-    made = made.select("row", "m.n_tokens", shares("m.percent").alias("posterior"))
-    made = made.withColumn("rate", rate_of(F.col("posterior"), prices))
-    chance = F.pmod(F.xxhash64(F.col("row")[key], F.col("row")[text]), F.lit(1 << 20)) / float(1 << 20)
-    return made.select("row", "n_tokens", "posterior", "rate", F.floor(F.col("rate") + chance).cast("int").alias("copies"))
+        p = np.vstack([p for _, p in parts]) if parts else np.zeros((0, len(columns)))
+        return pd.DataFrame({"n_tokens": n, **dict(zip(columns, p.T))})
+
+    chance = F.pmod(F.xxhash64(f"`{key}`", f"`{text}`"), F.lit(1 << 20)) / float(1 << 20)
+    row = F.struct(*[F.col(f"`{c}`") for c in (df.columns if carry is None else carry)])
+    judged = settle(df.select(row.alias("row"), chance.alias("chance"), classify(F.col(f"`{text}`")).alias("m")).select("row", "chance", "m.*"))
+    total = float(judged.agg(F.sum("n_tokens")).first()[0] or 1)
+    rows = judged.filter("n_tokens > 0").select((F.col("n_tokens") / total).alias("share"), *columns)
+    steps = solve(rows, [budget * targets[d] for d in names], how)
+    made = judged.withColumn("rate", rate_of([F.col(c) for c in columns], steps))
+    return made.select("row", "n_tokens", F.array(*columns).alias("posterior"), "rate", F.floor(F.col("rate") + F.col("chance")).cast("int").alias("copies"))
 
 
 def mixed(df: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, **more) -> DataFrame:

@@ -65,7 +65,7 @@ def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op4_source_mixing")
 def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made = mixture(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    made = mixture(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"), carry=["doc_id"])
     posteriors = [F.get("posterior", F.lit(i)).alias(f"p_{d}") for i, d in enumerate(TARGETS)]
     return made.select("row.doc_id", "n_tokens", *posteriors, "rate", "copies")
 
