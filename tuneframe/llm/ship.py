@@ -6,6 +6,7 @@ import gc
 import io
 import pathlib
 import tempfile
+import time
 import zipfile
 from collections.abc import Callable
 
@@ -50,10 +51,14 @@ def release(spark: SparkSession) -> None:
     """Let go of the shuffle files of steps that are over.
 
     Spark removes them when the driver collects the plans that made them, which on a
-    driver with little to do is much later than the files fill the executors' disks.
+    driver with little to do is much later than the files fill the executors' disks. Asking
+    for that is no promise of Spark's: nothing depends on it but the disk in use. Python's share goes first and
+    reaches the JVM by itself, so it is asked twice.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def as_key(name: str) -> Column:
