@@ -37,6 +37,17 @@ def test_running_by_key(skewed):
     assert {(r["k"], r["o"]): (r["n"], r["s"], r["m"]) for r in got.collect()} == want
 
 
+@pytest.mark.parametrize("slices", [None, 3, 200])
+def test_tails(skewed, slices):
+    got = O.running(skewed, {"n": ("count", F.lit(1))}, ["o"], ["k"], {"t": (3, F.col("v")), "u": (1, F.col("o"))}, slices)
+    seen = {}
+    for r in sorted(got.collect(), key=lambda r: r["o"]):
+        before = seen.setdefault(r["k"], [])
+        assert (r["n"], r["t"], r["u"]) == (len(before) + 1, [v for v, _ in before[-3:]], [o for _, o in before[-1:]])
+        before.append((r["v"], r["o"]))
+    assert sum(map(len, seen.values())) == 900
+
+
 def test_running_over_the_table(skewed):
     got = O.running(skewed, {"s": ("sum", F.col("o")), "x": ("max", F.col("v"))}, ["o"])
     total, high = 0, None
@@ -83,6 +94,32 @@ def test_shuffle_is_a_permutation_fixed_by_the_seed(spark):
     assert first == again != other and sorted(first.values()) == list(range(500))
 
 
+def test_rows_without_a_key_keep_their_place(spark):
+    rows = [(None, i) for i in range(40)] + [(i // 2, 100 + i) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, length int").repartition(4)
+    shuffled = P.seeded_shuffle(df, "id", 5).collect()
+    assert sorted(r["position"] for r in shuffled) == list(range(100))
+    assert sorted((r["id"] is not None, r["length"]) for r in shuffled) == sorted((i is not None, n) for i, n in rows)
+    assert {r["position"] for r in shuffled if r["id"] is None} == set(range(40))
+    packed = P.pack_sequences(df, 64, "id").collect()
+    assert len(packed) == 100 and packed[0].asDict().keys() == {"id", "length", "start", "first_block", "last_block"}
+    ends = sorted((r["start"], r["start"] + r["length"]) for r in packed)
+    assert ends[0][0] == 0 and all(a[1] == b[0] for a, b in zip(ends, ends[1:])) and ends[-1][1] == sum(n for _, n in rows)
+
+
+def test_the_table_is_worked_out_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def counted(x):
+        seen.add(1)
+        return x
+
+    df = spark.range(300).withColumn("length", counted("id"))
+    P.pack_sequences(df, 16, "id").collect()
+    assert seen.value == 300
+
+
 def test_steps(spark):
     steps = P.assign_steps(spark.range(21).withColumnRenamed("id", "position"), 2, 4)
     rows = sorted((r["position"], r["step"], r["micro_batch"]) for r in steps.collect())

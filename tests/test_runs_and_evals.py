@@ -1,6 +1,7 @@
 """Runs, backups, results and artifacts on literal rows and files."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -75,12 +76,27 @@ def test_read_runs(spark, tmp_path):
 def test_loss_health(spark):
     losses = [4.0, 3.0, 2.0, 9.0, 2.0, 4.0, 4.0]
     df = spark.createDataFrame([(1, i, 0.0, v, 0.0, 0.0) for i, v in enumerate(losses)], LOG)
-    for block in (100, 2):
-        judged = M.loss_health(df, window=2, block=block).orderBy("step").collect()
+    for slices in (None, 1, 5):
+        judged = M.loss_health(df, window=2, slices=slices).orderBy("step").collect()
         assert [r["health"] for r in judged] == ["start", "falling", "falling", "spike", "falling", "falling", "rising"]
         assert [r["best_loss"] for r in judged] == [4.0, 3.0, 2.0, 2.0, 2.0, 2.0, 2.0]
 
 
+def test_loss_health_of_a_run_with_most_rows(spark):
+    rng = random.Random(3)
+    rows = [(0, i, 0.0, rng.choice([1.0, 2.0, 5.0]), 0.0, 0.0) for i in range(1500)] + [(r, i, 0.0, float(r + i % 3), 0.0, 0.0) for r in range(1, 90) for i in range(rng.randrange(1, 9))]
+    judged = M.loss_health(spark.createDataFrame(rows, LOG).repartition(5), window=4, slices=37)
+    plan = judged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange rangepartitioning") == 0 and "Generate" not in plan  # sorted before, and no blocks that overlap
+    got = {(r["run"], r["step"]): (r["previous_loss"], r["best_loss"], r["recent_mean"]) for r in judged.collect()}
+    assert len(got) == len(rows)
+    for run in {r[0] for r in rows}:
+        losses = [r[3] for r in sorted(x for x in rows if x[0] == run)]
+        for i, loss in enumerate(losses):
+            recent = losses[max(0, i - 4) : i]
+            assert got[run, i] == (recent[-1] if recent else None, min(losses[: i + 1]), sum(recent) / len(recent) if recent else None)
+
+
 def test_backups(spark):
     files = spark.createDataFrame(
         [

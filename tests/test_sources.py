@@ -3,6 +3,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tuneframe.functions.text import LengthLimits
+from tuneframe.operators import rendering as R
+from tuneframe.operators.lengths import add_lengths
 from tuneframe.plans.prepare import prepare_samples
 from tuneframe.session import shared_dir
 from tuneframe.sources import prepared as P
@@ -83,3 +85,22 @@ def test_schema_of_prepared_metadata(spark, tmp_path):
     P.write_prepared(df, str(tmp_path / "p"), LIMITS, "d", "now")
     assert P.read_metadata(spark, str(tmp_path / "p")).schema == T.StructType(P.METADATA_SCHEMA.fields)
     assert P.read_prepared(spark, str(tmp_path / "p")).agg(F.count("*")).first()[0] == 1
+
+
+def test_samples_are_rendered_once(spark, tmp_path):
+    """Most samples are too long, so the median is one that is not kept."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def rendered(n):
+        seen.add(1)
+        return "x " * n
+
+    samples = spark.range(1, 41).select(rendered("id").alias("text"), F.col("id").alias("key"))
+    limits = LengthLimits(4)
+    row = P.write_prepared(R.computed_once(samples, "text"), str(tmp_path / "p"), limits, "d", "now")
+    assert seen.value == 40
+    lengths = sorted(r["length"] for r in add_lengths(spark.range(1, 41).select(F.expr("repeat('x ', cast(id as int))").alias("text")), limits).collect())
+    assert row["median_length"] == lengths[20] > 4 and row["valid_samples"] == sum(n <= 4 for n in lengths)
+    kept = P.read_prepared(spark, str(tmp_path / "p"))
+    assert kept.columns == ["text", "key"] and kept.count() == row["valid_samples"] and kept.filter("key IS NULL").isEmpty()

@@ -188,3 +188,16 @@ def test_opening_counts_once(spark):
     chars = L.conversation_lengths(turns, LengthLimits(10), "llama3").first()["chars"]
     text = render_chat(S.nest_turns(turns), "llama3").first()["text"]
     assert chars == len(text) and tokens == 9
+
+
+def test_turns_without_a_conversation_are_measured_like_others(spark):
+    """They are one conversation; where it is too long it is dropped before its turns are gathered."""
+    limits = LengthLimits(50)
+    many = [(None, i, "user", "some words of a turn") for i in range(400)] + [(1, 0, "user", "short")]
+    df = spark.createDataFrame(many, "conv_id long, turn long, role string, text string")
+    made = prepare_turns(df, limits)
+    assert [r["conv_id"] for r in made.collect()] == [1]
+    few = spark.createDataFrame(many[:2] + many[-1:], df.schema)
+    assert sorted((r["conv_id"] is None, r["conv_id"]) for r in prepare_turns(few, limits).collect()) == [(False, 1), (True, None)]
+    gone = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "<=>" in gone

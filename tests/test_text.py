@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -9,6 +10,8 @@ from tuneframe.functions import text as X
 from tuneframe.operators import lengths as L
 from tuneframe.operators import profiling as P
 from tuneframe.operators.rendering import NoSamplesLeft, drop_empty, empty_counts, require_samples
+from tuneframe.plans.selection import value_at, value_range
+from tuneframe.queries import QUERIES
 from tuneframe.sources import splits
 
 M = X.LengthLimits(1024)
@@ -147,3 +150,40 @@ def test_limit_by_key(spark):
     ties = spark.createDataFrame([(None, 1), (2, 9), (2, 5), (2, 7), (None, 3), (3, 1)], "id int, x int")
     for n, want in ((1, [1]), (2, [1, 3]), (3, [1, 3, 5]), (4, [1, 3, 5, 7]), (5, [1, 3, 5, 7, 9]), (9, [1, 1, 3, 5, 7, 9])):
         assert sorted(r["x"] for r in splits.limit_samples(ties, n, "id").collect()) == want
+
+
+@pytest.mark.parametrize("by", [[], ["g"]])
+def test_value_at_a_position(spark, by):
+    # one group holds nearly all distinct values, one a single value, one nulls alone
+    rng = random.Random(6)
+    rows = [("big", v) for v in rng.sample(range(10**6), 3000)] + [("big", 2**40 + i) for i in range(500)] + [("one", 7)] * 9 + [(None, 5), (None, 6)]
+    rows += [("none", None)] * 3
+    counts = spark.createDataFrame(rows, "g string, v long").groupBy("g", "v").count() if by else spark.createDataFrame(rows, "g string, v long").groupBy("v").count()
+    values = {}
+    for g, v in rows:
+        if v is not None:
+            values.setdefault(g if by else "", []).append(v)
+    for part in (0, 0.25, 0.5, 0.99):
+        made = value_at(counts, lambda n, part=part: F.floor(n * part), "v", "count", by).collect()  # noqa: B023
+        assert {r["g"] if by else "": r["value"] for r in made} == {g: sorted(x)[int(len(x) * part)] for g, x in values.items()}
+    assert value_at(counts, lambda n: n, "v", "count", by).isEmpty()
+
+
+def test_ranges_are_in_order(spark):
+    values = sorted({*range(3000), *(2**k + d for k in range(11, 62) for d in (-1, 0, 1))})
+    made = spark.createDataFrame([(v,) for v in values], "v long").select(value_range(F.col("v")).alias("r"), "v").orderBy("v").collect()
+    assert [r["r"] for r in made] == sorted(r["r"] for r in made) and len({r["r"] for r in made[:1024]}) == 1024
+
+
+@pytest.mark.parametrize("name", ["length_stats", "conversation_length_stats", "prep_metadata", "length_stats_by_source"])
+def test_no_window_over_all_lengths(spark, sf_dir, name):
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+
+
+def test_truncation_stops_at_the_limit(spark):
+    df = spark.range(1).select(F.concat(F.repeat(F.lit("ab, "), 1_000_000), F.lit("end")).alias("text"))
+    assert L.truncate_to(df, 5).first()["tokens"] == ["ab", ",", "ab", ",", "ab"]
+    assert L.truncate_to(spark.createDataFrame([(" \t",), (None,), ("a  ",), ("é9x",)], "text string"), 2).collect() == [([],), (None,), (["a"],), (["é", "9x"],)]
+    cut = L.truncate_to(df, 100_000).select(F.size("tokens")).first()[0]
+    assert cut == 100_000

@@ -24,6 +24,12 @@ def parse_duration(text: Column) -> Column:
     return F.when(unit.startswith("m"), number * 60).otherwise(number)
 
 
+def is_duration(text: Column) -> Column:
+    """Whether ``parse_duration`` has a result; texts too short to exceed 64 bits need no parsing for that."""
+    form = DURATION_PATTERN.replace("^", r"(?i)^[ \t\r\n]*").replace("$", r"[ \t\r\n]*$")
+    return F.when(F.length(text) <= 18, text.rlike(form)).otherwise(parse_duration(text).isNotNull())
+
+
 def fixed_point(value: Column, digits: int) -> Column:
     """Text with ``digits`` decimals, rounded as C and Python do.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tuneframe.functions.templates import ChatTemplate, get_template
@@ -20,6 +20,8 @@ from tuneframe.functions.text import (
     token_array,
     token_count,
 )
+from tuneframe.plans.selection import value_at
+from tuneframe.session import settle
 
 
 def add_lengths(df: DataFrame, limits: LengthLimits, text: str = "text", pattern: str = TOKEN_PATTERN) -> DataFrame:
@@ -96,35 +98,32 @@ def filter_length(df: DataFrame, limits: LengthLimits) -> DataFrame:
     return df.filter(F.col("length") <= limits.max_seq_length)
 
 
-def length_histogram(lengths: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Samples ``n`` per length, and the length's ``rank``: the samples up to it.
+def length_counts(lengths: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Samples ``n`` and ``borderline`` ones of each length, written to the shared folder.
 
     Counting by length first leaves one row per distinct length, spread over the
-    cluster whatever the share of a group. Only those rows meet in a window. Distinct
-    lengths add up to at most all tokens, so t tokens have under sqrt(2 t) of them:
-    some seven million for 100 TB of text.
+    cluster whatever the share of a group. They are read several times, the texts once.
     """
     counts = lengths.groupBy(*by, "length").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("zone") == BORDERLINE).alias("borderline")
     )
-    order = Window.partitionBy(*by).orderBy("length")
-    known = F.when(F.col("length").isNotNull(), F.col("n"))
-    return counts.withColumns(
-        {
-            "rank": F.sum(known).over(order.rowsBetween(Window.unboundedPreceding, 0)),
-            "total": F.coalesce(F.sum(known).over(Window.partitionBy(*by)), F.lit(0)),
-        }
-    )
+    return settle(counts)
+
 
+def with_upper_median(counts: DataFrame, sums: Sequence[Column], by: Sequence[str] = ()) -> DataFrame:
+    """``sums`` over the counts, ``avg_length`` and ``median_length``, the element at total // 2 of the ascending lengths.
 
-def _mean_and_upper_median() -> list[Column]:
-    """The median is the element at total // 2 of the ascending lengths."""
+    The median of a group comes from ``value_at``; its row and the one of the sums are put
+    together by an aggregation of two rows a group, so no join has to pair them.
+    """
     total = F.sum(F.when(F.col("length").isNotNull(), F.col("n")))
-    middle = F.floor(F.col("total") / 2)
-    return [
-        F.coalesce(F.sum(F.col("length") * F.col("n")) / total, F.lit(0.0)).alias("avg_length"),
-        F.coalesce(F.min(F.when(F.col("rank") > middle, F.col("length"))), F.lit(0)).alias("median_length"),
-    ]
+    mean = F.coalesce(F.sum(F.col("length") * F.col("n")) / total, F.lit(0.0)).alias("avg_length")
+    summed = counts.groupBy(*by).agg(*sums, mean)
+    median = value_at(counts, lambda size: F.floor(size / 2), "length", by=by, name="median_length")
+    median = median.withColumn("median_length", F.col("median_length").cast(counts.schema["length"].dataType))
+    both = summed.unionByName(median, allowMissingColumns=True)
+    merged = [F.max(c).alias(c) for c in summed.columns if c not in by]
+    return both.groupBy(*by).agg(*merged, F.coalesce(F.max("median_length"), F.lit(0)).alias("median_length"))
 
 
 def length_stats(lengths: DataFrame, limits: LengthLimits, by: Sequence[str] = ()) -> DataFrame:
@@ -134,20 +133,17 @@ def length_stats(lengths: DataFrame, limits: LengthLimits, by: Sequence[str] = (
     too_long = F.coalesce(F.sum(F.when(F.col("length") > limits.max_seq_length, F.col("n"))), zero)
     borderline = F.coalesce(F.sum("borderline"), zero)
     share = lambda part: F.coalesce(F.try_divide(part * 100.0, total), F.lit(0.0))
-    return (
-        length_histogram(lengths, by)
-        .groupBy(*by)
-        .agg(
-            total.alias("total"),
-            F.coalesce(F.max("length"), zero).alias("max_length"),
-            *_mean_and_upper_median(),
-            too_long.alias("too_long"),
-            share(too_long).alias("too_long_pct"),
-            borderline.alias("borderline"),
-            share(borderline).alias("borderline_pct"),
-            F.when(too_long > total * 0.2, F.max("length")).alias("suggested_max_length"),
-        )
-    )
+    sums = [
+        total.alias("total"),
+        F.coalesce(F.max("length"), zero).alias("max_length"),
+        too_long.alias("too_long"),
+        share(too_long).alias("too_long_pct"),
+        borderline.alias("borderline"),
+        share(borderline).alias("borderline_pct"),
+        F.when(too_long > total * 0.2, F.max("length")).alias("suggested_max_length"),
+    ]
+    columns = ["total", "max_length", "avg_length", "median_length", "too_long", "too_long_pct", "borderline", "borderline_pct", "suggested_max_length"]
+    return with_upper_median(length_counts(lengths, by), sums, by).select(*by, *columns)
 
 
 def prep_metadata(
@@ -179,19 +175,23 @@ def prep_metadata(
     lengths = add_lengths(df, limits, text).select("zone", F.when(usable, F.col("length")).alias("length"))
     part = lambda condition: F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
     fits = F.col("length") <= limits.max_seq_length
-    return (
-        length_histogram(lengths)
-        .agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("original_samples"),
-            part(fits).alias("valid_samples"),
-            F.coalesce(F.max("length"), F.lit(0)).alias("max_length"),
-            *_mean_and_upper_median(),
-            part(~fits).alias("filtered_count"),
-        )
-        .select("*", *tail)
-    )
+    sums = [
+        F.coalesce(F.sum("n"), F.lit(0)).alias("original_samples"),
+        part(fits).alias("valid_samples"),
+        F.coalesce(F.max("length"), F.lit(0)).alias("max_length"),
+        part(~fits).alias("filtered_count"),
+    ]
+    stats = with_upper_median(length_counts(lengths), sums)
+    return stats.select("original_samples", "valid_samples", "max_length", "avg_length", "median_length", "filtered_count", *tail)
 
 
 def truncate_to(df: DataFrame, max_tokens: int, text: str = "text", pattern: str = TOKEN_PATTERN) -> DataFrame:
-    """Replace ``text`` by ``tokens``, at most the first ``max_tokens`` of it."""
-    return df.withColumn("tokens", F.slice(token_array(F.col(text), pattern), 1, max_tokens)).drop(text)
+    """Replace ``text`` by ``tokens``, at most the first ``max_tokens`` of it.
+
+    For the default pattern the text is cut behind its last token first, by a repetition
+    that stops there and never goes back, so what follows is not split into tokens.
+    """
+    body = F.col(text)
+    if pattern == TOKEN_PATTERN:
+        body = F.regexp_extract(body, rf"^(?:[ \t\r\n]*+(?:[A-Za-z0-9]++|[^A-Za-z0-9 \t\r\n])){{0,{max_tokens}}}+", 0)
+    return df.withColumn("tokens", F.slice(token_array(body, pattern), 1, max_tokens)).drop(text)

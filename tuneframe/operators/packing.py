@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tuneframe.plans.ordered import number_rows, running
+from tuneframe.session import settle
 
 
 def shuffle_key(seed: int, key: Column) -> Column:
@@ -15,13 +16,13 @@ def shuffle_key(seed: int, key: Column) -> Column:
 def seeded_shuffle(df: DataFrame, key: str, seed: int) -> DataFrame:
     """Add ``position`` from 0 in an order fixed by the seed and the sample keys.
 
-    The hash spreads the keys evenly over range partitions whatever they look like.
-    Only the unique keys are numbered; other columns join their positions.
+    The hash spreads the keys evenly over range partitions whatever they look like. Rows
+    without a key come first, and repeated keys stay beside each other; these are parted by where the table
+    has them. The rows are written once and carry their positions through one shuffle.
     """
-    keyed = df.select(key).withColumn("shuffle_key", shuffle_key(seed, F.col(key)))
-    numbered = number_rows(keyed, ["shuffle_key", key], name="__rn")
-    positions = numbered.select(key, "shuffle_key", (F.col("__rn") - 1).alias("position"))
-    return positions if df.columns == [key] else df.join(positions, key)
+    keyed = settle(df.withColumns({"shuffle_key": shuffle_key(seed, F.col(key)), "__row": F.monotonically_increasing_id()}))
+    numbered = number_rows(keyed, ["shuffle_key", key, "__row"], name="__rn")
+    return numbered.select(*df.columns, "shuffle_key", (F.col("__rn") - 1).alias("position"))
 
 
 def assign_steps(df: DataFrame, batch: int, accumulation: int, position: str = "position") -> DataFrame:
@@ -36,15 +37,13 @@ def assign_steps(df: DataFrame, batch: int, accumulation: int, position: str = "
 def pack_sequences(df: DataFrame, max_seq_length: int, *order: str, length: str = "length") -> DataFrame:
     """Lay the samples end to end and cut every ``max_seq_length`` tokens.
 
-    Adds ``start`` and the first and last block a sample lies in. ``order`` names
-    columns that together are unique; only they and the lengths are laid out, other
-    columns join them.
+    Adds ``start`` and the first and last block a sample lies in, in the order of the named
+    columns, nulls first; rows alike in all of them are laid out as the table has them. The rows are
+    written once, so lengths are not worked out again for the sampling of ranges. A null length takes no room.
     """
-    size = F.col(length).cast("bigint")
-    narrow = [*order, length]
-    summed = running(df.select(*narrow), {"__end": ("sum", size)}, order)
-    if set(df.columns) != set(narrow):
-        summed = df.drop(length).join(summed, list(order))
+    size = F.coalesce(F.col(length).cast("bigint"), F.lit(0).cast("bigint"))
+    rows = settle(df.withColumn("__row", F.monotonically_increasing_id()))
+    summed = running(rows, {"__end": ("sum", size)}, [*order, "__row"]).drop("__row")
     start = F.col("__end") - size
     last = start + F.greatest(size, F.lit(1)) - 1
     return summed.withColumns(

@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tuneframe.functions.scalars import parse_duration
+from tuneframe.functions.scalars import is_duration
 from tuneframe.operators.artifacts import OUTPUT_FORMATS
 
 
@@ -32,7 +32,7 @@ class Rule:
             return F.exists(value, lambda v: ~v.isin(*self.choices))
         bad = F.lit(False)
         if self.duration:
-            bad = bad | (value.isNotNull() & parse_duration(value).isNull())
+            bad = bad | (value.isNotNull() & ~is_duration(value))
         if self.above is not None:
             bad = bad | (value <= self.above)
         if self.low is not None:

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tuneframe.functions.names import backup_name, backup_parts
-from tuneframe.plans.ordered import running, with_halo
+from tuneframe.plans.ordered import running
 from tuneframe.sources.runs import LOSS_COLUMNS
 
 
@@ -107,24 +107,19 @@ def loss_health(
     window: int = 5,
     spike: float = 2.0,
     plateau: float = 0.01,
-    block: int = 100_000,
+    slices: int | None = None,
 ) -> DataFrame:
     """Label each loss row ``start``, ``spike``, ``rising``, ``plateau`` or ``falling``.
 
     The row is held against the mean of up to ``window`` rows before it: above
-    ``spike`` times that mean is a spike, within ``plateau`` of it a plateau. A long
-    run is cut into blocks that overlap by the window.
+    ``spike`` times that mean is a spike, within ``plateau`` of it a plateau. Rows are
+    sorted once; a slice of a long run gets the last ``window`` losses before it, and their minimum.
     """
-    totals = {"rn": ("count", F.lit(1)), "best_loss": ("min", F.col("loss"))}
-    rows = running(loss_rows(log, run), totals, [order], [run])
-    blocks = with_halo(rows, "rn", window, block)
-    frame = Window.partitionBy(run, "block").orderBy("rn")
-    judged = blocks.withColumns(
-        {
-            "previous_loss": F.lag("loss").over(frame),
-            "recent_mean": F.avg("loss").over(frame.rowsBetween(-window, -1)),
-        }
-    ).filter(~F.col("is_halo"))
+    rows = running(
+        loss_rows(log, run), {"best_loss": ("min", F.col("loss"))}, [order], [run], {"recent": (window, F.col("loss"))}, slices
+    )
+    mean = F.aggregate("recent", F.lit(0.0), lambda a, x: a + x) / F.nullif(F.size("recent"), F.lit(0))
+    judged = rows.withColumns({"previous_loss": F.try_element_at("recent", F.lit(-1)), "recent_mean": mean})
     change = F.col("loss") - F.col("recent_mean")
     health = (
         F.when(F.col("recent_mean").isNull(), "start")
@@ -133,7 +128,7 @@ def loss_health(
         .when(change > 0, "rising")
         .otherwise("falling")
     )
-    return judged.withColumn("health", health).drop("block", "is_halo", "rn")
+    return judged.withColumn("health", health).drop("recent")
 
 
 def compare_runs(runs: DataFrame, comparison: DataFrame, task: str | None = None) -> DataFrame:

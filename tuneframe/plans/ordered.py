@@ -30,16 +30,62 @@ def running(
     totals: Mapping[str, tuple[str, Column]],
     order: Sequence[str],
     keys: Sequence[str] = (),
+    tails: Mapping[str, tuple[int, Column]] | None = None,
+    slices: int | None = None,
 ) -> DataFrame:
     """Add running aggregates ``{column: (sum|count|min|max, value)}`` up to each row.
 
-    ``order`` has to be unique within a key.
+    ``tails``, ``{column: (size, value)}``, adds arrays of up to so many values before the row, the last one
+    at the end. ``order`` has to be unique within a key. ``slices`` fixes how many there are.
     """
-    sliced = settle(df.repartitionByRange(*keys, *order).withColumn(_SLICE, F.spark_partition_id()))
-    frame = Window.partitionBy(_SLICE, *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    local = sliced.withColumns({name: _AGGREGATE[kind](value).over(frame) for name, (kind, value) in totals.items()})
-    carries = _carries(sliced, totals, keys)
-    return _merge(local, carries, {name: kind for name, (kind, _) in totals.items()}, keys)
+    ranged = df.repartitionByRange(*([slices] if slices else []), *keys, *order)
+    sliced = settle(ranged.withColumn(_SLICE, F.spark_partition_id()))
+    rows = Window.partitionBy(_SLICE, *keys).orderBy(*order)
+    frame = rows.rowsBetween(Window.unboundedPreceding, 0)
+    local = sliced.withColumns(
+        {name: _AGGREGATE[kind](value).over(frame) for name, (kind, value) in totals.items()}
+        | {name: F.collect_list(F.struct(value.alias("v"))).over(rows.rowsBetween(-size, -1)) for name, (size, value) in (tails or {}).items()}
+    )
+    if totals:
+        local = _merge(local, _carries(sliced, totals, keys), {name: kind for name, (kind, _) in totals.items()}, keys)
+    if tails:
+        local = _with_tails(local, _tails(sliced, tails, order, keys), tails, keys)
+    return local.drop(_SLICE)
+
+
+def _tails(sliced: DataFrame, tails: Mapping[str, tuple[int, Column]], order: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """The last values before each slice of the key that begins it: a bounded array for a slice.
+
+    Only the last key of a slice can go on in the next, so the last rows of slices are
+    enough, and a row number under a limit is cut down per task.
+    """
+    most = max(size for size, _ in tails.values())
+    back = Window.partitionBy(_SLICE).orderBy(*[F.col(c).desc() for c in (*keys, *order)])
+    ends = sliced.withColumn("__back", F.row_number().over(back)).filter(F.col("__back") <= most)
+    kept = lambda value: F.transform(F.sort_array(F.collect_list(F.struct(*order, value.alias("v")))), lambda x: F.struct(x["v"].alias("v")))
+    held = ends.groupBy(_SLICE, *keys).agg(*[kept(value).alias(f"__{name}") for name, (_, value) in tails.items()])
+    first = sliced.groupBy(_SLICE).agg(F.min(F.struct(F.lit(0), *keys)).alias("__first")).select(_SLICE, *[F.col("__first")[k].alias(k) for k in keys])
+    both = held.unionByName(first, allowMissingColumns=True).groupBy(_SLICE, *keys)
+    merged = both.agg(*[F.first(f"__{name}", ignorenulls=True).alias(f"__{name}") for name in tails])
+    before = Window.partitionBy(*keys).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    carried = {f"__{name}": _last(F.flatten(F.collect_list(f"__{name}").over(before)), size) for name, (size, _) in tails.items()}
+    names = [f"__{name}" for name in tails]
+    found = merged.withColumns(carried).filter(F.size(names[0]) > 0)
+    return found.select(F.col(_SLICE).alias("__at"), *[F.col(k).alias(f"__key_{i}") for i, k in enumerate(keys)], *names)
+
+
+def _last(values: Column, size: int) -> Column:
+    return F.slice(values, F.greatest(F.size(values) - size + 1, F.lit(1)), F.lit(size))
+
+
+def _with_tails(local: DataFrame, carried: DataFrame, tails: Mapping[str, tuple[int, Column]], keys: Sequence[str]) -> DataFrame:
+    match = local[_SLICE] == carried["__at"]
+    for i, key in enumerate(keys):
+        match = match & local[key].eqNullSafe(carried[f"__key_{i}"])
+    joined = local.join(F.broadcast(carried), match, "left")  # a row for each slice at most
+    whole = lambda name, size: _last(F.concat(F.coalesce(f"__{name}", F.slice(name, 1, 0)), name), size)
+    merged = {name: F.transform(whole(name, size), lambda x: x["v"]) for name, (size, _) in tails.items()}
+    return joined.withColumns(merged).select(*local.columns)
 
 
 def number_rows(df: DataFrame, order: Sequence[str], keys: Sequence[str] = (), name: str = "rn") -> DataFrame:
@@ -54,7 +100,7 @@ def number_rows(df: DataFrame, order: Sequence[str], keys: Sequence[str] = (), n
     inner = placed.withColumns(
         {_SLICE: F.shiftright("__pos", 33), name: F.col("__pos").bitwiseAND(F.lit((1 << 33) - 1)) + 1}
     ).drop("__pos")
-    return _merge(inner, _carries(inner, {name: ("count", F.lit(1))}, ()), {name: "count"}, ())
+    return _merge(inner, _carries(inner, {name: ("count", F.lit(1))}, ()), {name: "count"}, ()).drop(_SLICE)
 
 
 def _carries(sliced: DataFrame, totals: Mapping[str, tuple[str, Column]], keys: Sequence[str]) -> DataFrame:
@@ -88,7 +134,7 @@ def _merge(local: DataFrame, carries: DataFrame, kinds: Mapping[str, str], keys:
         .otherwise(_MERGE[kind](F.col(name), F.col(f"__{name}")))
         for name, kind in kinds.items()
     }
-    return joined.withColumns(merged).select(*[c for c in local.columns if c != _SLICE])
+    return joined.withColumns(merged).select(*local.columns)
 
 
 def with_halo(df: DataFrame, position: str, width: int, block: int) -> DataFrame:

@@ -47,7 +47,8 @@ def prepare_turns(
         F.bool_or(F.col("__chars").isNull()).alias("broken"),
     )
     lost = F.col("broken") | (estimate_from_chars(F.col("chars") + len(shape.opening)) > limits.upper)
-    rest = sized.join(sums.filter(lost).select("conv_id"), "conv_id", "left_anti")
+    gone = sums.filter(lost).select(F.col("conv_id").alias("__lost"))
+    rest = sized.join(gone, F.col("conv_id").eqNullSafe(F.col("__lost")), "left_anti")  # turns without conv_id are one conversation
 
     # What is left is short enough to be kept. The
     # filter works on sums; a text is put together where it is kept or borderline.

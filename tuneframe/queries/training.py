@@ -253,8 +253,8 @@ def loss_health(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(HEALTH_SQL)
 def loss_health_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same with every run cut into slices and short blocks, as a hot run would be."""
-    return _health(M.loss_health(loss_log(spark, sf_dir), block=16))
+    """The same over many slices, which cut runs as a hot run would be."""
+    return _health(M.loss_health(loss_log(spark, sf_dir), slices=64))
 
 
 @query(

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tuneframe.functions.text import LengthLimits
-from tuneframe.operators.lengths import add_lengths, filter_length, length_histogram
+from tuneframe.operators.lengths import add_lengths
+from tuneframe.plans.selection import value_at
 
 METADATA_SCHEMA = T.StructType(
     [
@@ -33,8 +34,8 @@ def write_prepared(
     """Check, filter and write rendered samples, and return their metadata.
 
     Counts, sum and maximum are observed while the table is written, so the samples
-    are rendered once. The median is looked up afterwards among the lengths written,
-    which all come before the ones filtered out.
+    are rendered once. A sample that is too long leaves a row with its length and nothing
+    else, so that the median is found among the lengths written, which ``read_prepared`` leaves out.
     """
     before, after = Observation(), Observation()
     counted = samples.observe(before, F.count(F.lit(1)).alias("original"))
@@ -47,23 +48,20 @@ def write_prepared(
     )
     spark = samples.sparkSession
     _remove(spark, f"{path}/metadata")  # until it is written again, nothing counts as prepared
-    kept = filter_length(lengths, limits).drop("estimated_length", "zone")
-    kept.write.mode("overwrite").parquet(f"{path}/data")
+    fits = F.col("length") <= limits.max_seq_length
+    rows = lengths.select(*[F.when(fits, F.col(f"`{c}`")).alias(c) for c in samples.columns if c != "length"], "length")
+    rows.write.mode("overwrite").parquet(f"{path}/data")
 
     stats = after.get
     total, valid = stats["total"], stats["total"] - stats["too_long"]
-    middle = total // 2
-    if middle < valid:
-        median = _length_at(spark.read.parquet(f"{path}/data").select("length", F.lit("").alias("zone")), middle)
-    else:
-        long = add_lengths(samples.filter(F.length("text") > 0), limits).filter(F.col("length") > limits.max_seq_length)
-        median = _length_at(long, middle - valid)
+    counts = spark.read.parquet(f"{path}/data").groupBy("length").agg(F.count(F.lit(1)).alias("n"))
+    median = value_at(counts, lambda size: F.floor(size / 2), "length", name="median").first()
     row = {
         "original_samples": before.get["original"],
         "valid_samples": valid,
         "max_length": stats["max"] or 0,
         "avg_length": stats["sum"] / total if total else 0.0,
-        "median_length": median,
+        "median_length": median["median"] if median else 0,
         "filtered_count": stats["too_long"],
         "max_seq_length": limits.max_seq_length,
         "dataset_name": dataset_name,
@@ -73,20 +71,14 @@ def write_prepared(
     return row
 
 
-def _length_at(lengths: DataFrame, position: int) -> int:
-    """The length at a position of the ascending order, from 0."""
-    found = length_histogram(lengths).filter(F.col("rank") > position).agg(F.min("length")).first()[0]
-    return found or 0
-
-
 def _remove(spark: SparkSession, path: str) -> None:
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def read_prepared(spark: SparkSession, path: str) -> DataFrame:
-    """The samples as they were prepared; the lengths written beside them serve the metadata."""
-    return spark.read.parquet(f"{path}/data").drop("length")
+    """The samples as they were prepared, without those that were too long and the lengths written beside them."""
+    return spark.read.parquet(f"{path}/data").filter(F.col("text").isNotNull()).drop("length")
 
 
 def read_metadata(spark: SparkSession, path: str) -> DataFrame:
