@@ -11,6 +11,7 @@ from tuneframe.operators import evals as B
 from tuneframe.operators import logs
 from tuneframe.operators import runs as M
 from tuneframe.plans.evaluation import compare_models, load_scores
+from tuneframe.queries import QUERIES
 from tuneframe.sources import listings
 from tuneframe.sources import results as S
 from tuneframe.sources import runs as R
@@ -348,3 +349,36 @@ def test_missing_outputs(spark):
     todo = lambda **k: {r["format"]: r["kind"] for r in A.missing_outputs(asked, there, **k).collect()}
     assert todo() == {"merged_4bit": "other", "gguf_q9": "unknown"}
     assert todo(force=True) == {"gguf_f16": "gguf", "merged_4bit": "other", "gguf_q9": "unknown"}
+
+
+@pytest.mark.parametrize("name", ["primary_metric_compare", "primary_metric_leaderboard", "primary_metric_scores", "leaderboard"])
+def test_metrics_are_chosen_without_sorting(spark, sf_dir, name):
+    df = QUERIES[name](spark, sf_dir)
+    df.collect()
+    assert "SortAggregate" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_suggestions_by_grams(spark):
+    rng = random.Random(2)
+    valid = ["".join(rng.choice("aAbBc_") for _ in range(rng.randrange(1, 9))) for _ in range(300)] + ["mmlu_x", "mmlu_y", "é_mmlu", "MMLU", ""]
+    wrong = ["a", "AB", "bc_", "abca", "mmlu", "Mmlu_", "zz", "zzzz", "é_", "TruthfulQA", "ccccccccc"]
+    made = B.suggest_tasks(spark.createDataFrame([(x,) for x in wrong], "task string"), spark.createDataFrame([(x,) for x in valid], "task string"))
+    got = {}
+    for r in sorted(made.collect()):
+        got.setdefault(r["task"], []).append((r["rank"], r["suggestion"]))
+    for task in wrong[:-2] + wrong[-1:]:
+        want = sorted({v for v in valid if task.lower() in v.lower()}, key=lambda v: v.encode())[:3]
+        assert [s for _, s in sorted(got.get(task, []))] == want, task
+    assert [s for _, s in sorted(got["TruthfulQA"])] == list(B.TRUTHFUL_HINT)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_nothing_is_parsed_below_the_sort_of_backups(spark):
+    files = spark.createDataFrame([("m", f"2025112{i}_202255_rank32_lr0.0003_loss1.4846", "adapter_config.json", 10) for i in range(9)], "model string, backup string, name string, length long")
+    made = M.list_backups(files, newest=True)
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Sort [") :]
+    assert "regexp" in plan.lower() or "split(" in plan
+    assert "split(" not in below and "regexp" not in below.lower()
+    assert [r["backup"][7] for r in made.collect()] == list("876543210")

@@ -38,6 +38,9 @@ EXPECTED_SCORES = {
 # Fixed value: the tasks named to whoever asks for a misspelt truthfulness task.
 TRUTHFUL_HINT = ("truthfulqa_mc1", "truthfulqa_mc2")
 
+#: Characters of the grams by which task names are found.
+GRAM = 3
+
 _SCORE_KEY = ("model", "variant", "run_ts", "task")
 
 
@@ -77,19 +80,29 @@ def primary_metric(scores: DataFrame, policy: str = "compare") -> DataFrame:
     ``leaderboard`` takes names with or without the suffix, bare ones first, and falls back
     to the first other metric by name; the other policies want the suffix and else give no row.
     """
-    rank = _rank(F.col("metric"), METRIC_POLICIES[policy])
+    names = METRIC_POLICIES[policy]
+    rank = _rank(F.col("metric"), names)
+    suffixed = F.col("key").endswith(SUFFIX)
     if policy == "leaderboard":
-        rank = F.coalesce(rank, F.lit(len(METRIC_POLICIES[policy])))
+        place = rank * 2 + suffixed.cast("int")
     else:
-        rank = F.when(F.col("key") == F.concat(F.col("metric"), F.lit(SUFFIX)), rank)
-    best = F.min(F.struct(F.col("__rank"), F.col("metric"), F.col("key").endswith(SUFFIX).alias("suffixed"), F.col("value")))
-    return (
-        scores.withColumn("__rank", rank)
-        .filter(F.col("__rank").isNotNull())
+        place = F.when(F.col("key") == F.concat(F.col("metric"), F.lit(SUFFIX)), rank * 2)
+    placed = scores.withColumn("__place", place)
+    # A number tells the metric and its suffix, so numbers alone are aggregated.
+    best = (
+        placed.filter(F.col("__place").isNotNull())
         .groupBy(*_SCORE_KEY)
-        .agg(best.alias("best"))
-        .select(*_SCORE_KEY, "best.metric", "best.value")
+        .agg(F.min("__place").alias("__place"), F.min_by("value", "__place").alias("value"))
+        .select(*_SCORE_KEY, F.get(F.array(*[F.lit(name) for name in names]), F.floor(F.col("__place") / 2).cast("int")).alias("metric"), "value")
     )
+    if policy != "leaderboard":
+        return best
+    # Tasks without a preferred metric: the few names that each has, in order.
+    others = placed.filter(F.col("__place").isNull()).select(*_SCORE_KEY, F.struct("metric", suffixed.alias("suffixed"), "value").alias("__other"))
+    match = [F.col(f"o.{c}").eqNullSafe(F.col(f"b.{c}")) for c in _SCORE_KEY]
+    alone = others.alias("o").join(best.select(*_SCORE_KEY).alias("b"), match, "left_anti")
+    first = alone.groupBy(*_SCORE_KEY).agg(F.array_min(F.collect_list("__other")).alias("__first"))
+    return best.unionByName(first.select(*_SCORE_KEY, F.col("__first.metric").alias("metric"), F.col("__first.value").alias("value")))
 
 
 def latest_runs(runs: DataFrame, scores: DataFrame | None = None) -> DataFrame:
@@ -97,10 +110,12 @@ def latest_runs(runs: DataFrame, scores: DataFrame | None = None) -> DataFrame:
 
     ``runs(model, variant, run_ts)`` lists the run directories. A newest run without
     scores hides older ones, as a directory listing would; pass ``scores`` to look
-    only at runs that have some.
+    only at runs that have some. Runs are made distinct by hashing before their names are compared.
     """
     listed = scores if scores is not None else runs
-    return listed.filter(F.col("variant") == TUNED).groupBy("model").agg(F.max("run_ts").alias("run_ts"))
+    names = listed.filter(F.col("variant") == TUNED).select("model", "run_ts").distinct()
+    newest = Window.partitionBy("model").orderBy(F.col("run_ts").desc_nulls_last())
+    return names.withColumn("__n", F.row_number().over(newest)).filter("__n = 1").drop("__n")
 
 
 def latest_scores(scores: DataFrame, runs: DataFrame | None = None) -> DataFrame:
@@ -186,21 +201,31 @@ def summary(scores: DataFrame) -> DataFrame:
     )
 
 
+def _leaderboard_values(scores: DataFrame) -> DataFrame:
+    """(model, variant, task, value): primary scores of the models that have tuned ones."""
+    best = primary_metric(scores, "leaderboard")
+    tuned = best.filter(F.col("variant") == TUNED).select("model").distinct()
+    return best.join(tuned, "model", "left_semi").select("model", "variant", "task", "value")
+
+
 def leaderboard_rows(scores: DataFrame) -> DataFrame:
     """(model, variant, task, shown): primary scores with four decimals; models without tuned scores are left out.
 
     ``scores`` has at most one run per model and variant. One row per score, for any number of tasks.
     """
-    best = primary_metric(scores, "leaderboard").withColumn("shown", fixed_point(F.col("value"), 4))
-    tuned = best.filter(F.col("variant") == TUNED).select("model").distinct()
-    return best.join(tuned, "model", "left_semi").select("model", "variant", "task", "shown")
+    return _leaderboard_values(scores).select("model", "variant", "task", fixed_point(F.col("value"), 4).alias("shown"))
 
 
 def leaderboard(scores: DataFrame, tasks: Sequence[str]) -> DataFrame:
-    """``leaderboard_rows`` with the named tasks as columns, a dash where a task has no score."""
+    """``leaderboard_rows`` with the named tasks as columns, a dash where a task has no score.
+
+    Numbers are brought into columns, one for each model, variant and task, and shown as text afterwards.
+    """
     names = sorted(tasks)
-    table = leaderboard_rows(scores).groupBy("model", "variant").pivot("task", names).agg(F.first("shown"))
-    return table.select("model", "variant", *[F.coalesce(F.col(f"`{c}`"), F.lit("-")).alias(c) for c in names])
+    cells = [F.max(F.when(F.col("task") == name, F.col("value"))).alias(f"__{i}") for i, name in enumerate(names)]
+    table = _leaderboard_values(scores).groupBy("model", "variant").agg(*cells)
+    shown = [F.when(F.col(f"__{i}").isNotNull(), fixed_point(F.col(f"__{i}"), 4)).otherwise("-").alias(name) for i, name in enumerate(names)]
+    return table.select("model", "variant", *shown)
 
 
 def expected_scores(spark: SparkSession, scores: Mapping[str, float] = EXPECTED_SCORES) -> DataFrame:
@@ -218,27 +243,31 @@ def invalid_tasks(requested: DataFrame, valid: DataFrame) -> DataFrame:
     return requested.select("task").distinct().join(valid.select("task").distinct(), "task", "left_anti")
 
 
+def _grams(text: Column, size: int) -> Column:
+    """All runs of ``size`` characters of a text, none if it is shorter."""
+    starts = F.when(F.length(text) >= size, F.sequence(F.lit(1), F.length(text) - size + 1)).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: text.substr(i, F.lit(size)))
+
+
 def suggest_tasks(invalid: DataFrame, valid: DataFrame, n: int = 3) -> DataFrame:
     """Up to ``n`` valid names, in order, that contain the invalid one in any case.
 
-    Containment becomes an equality: a name contains exactly its substrings. Those
-    asked for keep their first ``n`` names, so no name meets every other.
+    An index of the names' grams, ``GRAM`` characters or fewer, is linear in their length. Of
+    the grams of a wanted part the one that the fewest names have finds the candidates, and
+    containment is checked for those. Parts asked for keep their first ``n`` names.
     Truthfulness tasks get a fixed hint instead.
     """
     wanted = invalid.select("task", F.lower("task").alias("__part")).distinct()
     hint = F.lower("task").contains("truthful")
-    names = valid.select(F.col("task").alias("suggestion")).distinct()
-    lowered = F.lower("suggestion")
-    size = F.length(lowered)
-    starts = names.select(
-        "suggestion", lowered.alias("__low"), F.explode(F.sequence(F.lit(1), size)).alias("__from")
-    )
-    ends = starts.select(
-        "*", F.explode(F.sequence(F.lit(1), F.length("__low") - F.col("__from") + 1)).alias("__size")
-    )
-    parts = ends.select("suggestion", F.col("__low").substr(F.col("__from"), F.col("__size")).alias("__part"))
+    names = valid.select(F.col("task").alias("suggestion")).distinct().withColumn("__low", F.lower("suggestion"))
+    sizes = F.array(*[F.array_distinct(_grams(F.col("__low"), size)) for size in range(1, GRAM + 1)])
+    index = names.select("suggestion", "__low", F.explode(F.flatten(sizes)).alias("__gram"))
     asked = wanted.filter(~hint)
-    matching = parts.join(asked.select("__part").distinct(), "__part", "left_semi").distinct()
+    whole = F.when(F.length("__part") < GRAM, F.array("__part")).otherwise(F.array_distinct(_grams(F.col("__part"), GRAM)))
+    parts = asked.select("__part").distinct().select("__part", F.explode(whole).alias("__gram"))
+    held = index.join(parts.select("__gram").distinct(), "__gram", "left_semi").groupBy("__gram").agg(F.count(F.lit(1)).alias("__names"))
+    rarest = parts.join(held, "__gram").groupBy("__part").agg(F.min_by("__gram", F.struct("__names", "__gram")).alias("__gram"))
+    matching = rarest.join(index, "__gram").filter(F.col("__low").contains(F.col("__part")))
     first = Window.partitionBy("__part").orderBy("suggestion")
     # A row number under a limit is cut down per task before the shuffle.
     ranked = matching.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= n)

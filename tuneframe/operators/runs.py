@@ -73,12 +73,13 @@ def parse_backup_names(df: DataFrame, name: str = "backup_name") -> DataFrame:
 
 
 def list_backups(
-    files: DataFrame, metrics: DataFrame | None = None, marker: str = "adapter_config.json"
+    files: DataFrame, metrics: DataFrame | None = None, marker: str = "adapter_config.json", newest: bool = False
 ) -> DataFrame:
     """Backups from ``files(model, backup, name, length)``: those that hold the marker file.
 
     ``metrics(model, backup, ...)`` has at most one row per backup and may lack some.
-    ``recency`` numbers the backups of a model from the newest name.
+    With ``newest`` they are in order, for each model the newest name first: names are
+    sorted before anything is parsed, as Spark looks at the rows of a sort twice.
     """
     found = (
         files.groupBy("model", "backup")
@@ -86,8 +87,8 @@ def list_backups(
         .filter("__marked")
         .drop("__marked")
     )
-    listed = parse_backup_names(found, "backup")
-    return listed.join(metrics, ["model", "backup"], "left") if metrics is not None else listed
+    listed = found.join(metrics, ["model", "backup"], "left") if metrics is not None else found
+    return parse_backup_names(newest_first(listed) if newest else listed, "backup")
 
 
 def newest_first(backups: DataFrame) -> DataFrame:

@@ -216,7 +216,7 @@ def list_backups(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("model", F.col("backup_name").alias("backup"))
         .agg(F.max("order").alias("order"))
     )
-    return M.newest_first(M.list_backups(files, metrics))
+    return M.list_backups(files, metrics, newest=True)
 
 
 @query(
