@@ -88,21 +88,21 @@ def primary_metric(scores: DataFrame, policy: str = "compare") -> DataFrame:
     else:
         place = F.when(F.col("key") == F.concat(F.col("metric"), F.lit(SUFFIX)), rank * 2)
     placed = scores.withColumn("__place", place)
-    # A number tells the metric and its suffix, so numbers alone are aggregated.
-    best = (
-        placed.filter(F.col("__place").isNotNull())
-        .groupBy(*_SCORE_KEY)
-        .agg(F.min("__place").alias("__place"), F.min_by("value", "__place").alias("value"))
-        .select(*_SCORE_KEY, F.get(F.array(*[F.lit(name) for name in names]), F.floor(F.col("__place") / 2).cast("int")).alias("metric"), "value")
-    )
+    metric = F.get(F.array(*[F.lit(name) for name in names]), F.floor(F.col("__place") / 2).cast("int"))
+    # A number tells the metric and its suffix, so numbers are compared and no rows are sorted.
+    best = [F.min("__place").alias("__place"), F.min_by("value", "__place").alias("value")]
     if policy != "leaderboard":
-        return best
-    # Tasks without a preferred metric: the few names that each has, in order.
-    others = placed.filter(F.col("__place").isNull()).select(*_SCORE_KEY, F.struct("metric", suffixed.alias("suffixed"), "value").alias("__other"))
-    match = [F.col(f"o.{c}").eqNullSafe(F.col(f"b.{c}")) for c in _SCORE_KEY]
-    alone = others.alias("o").join(best.select(*_SCORE_KEY).alias("b"), match, "left_anti")
-    first = alone.groupBy(*_SCORE_KEY).agg(F.array_min(F.collect_list("__other")).alias("__first"))
-    return best.unionByName(first.select(*_SCORE_KEY, F.col("__first.metric").alias("metric"), F.col("__first.value").alias("value")))
+        chosen = placed.filter(F.col("__place").isNotNull()).groupBy(*_SCORE_KEY).agg(*best)
+        return chosen.select(*_SCORE_KEY, metric.alias("metric"), "value")
+    # The few other metrics of a task are gathered, for tasks that have none of the preferred.
+    other = F.when(F.col("__place").isNull(), F.struct("metric", suffixed.alias("suffixed"), "value"))
+    chosen = placed.groupBy(*_SCORE_KEY).agg(*best, F.array_min(F.collect_list(other)).alias("__other"))
+    found = F.col("__place").isNotNull()
+    return chosen.select(
+        *_SCORE_KEY,
+        F.when(found, metric).otherwise(F.col("__other.metric")).alias("metric"),
+        F.when(found, F.col("value")).otherwise(F.col("__other.value")).alias("value"),
+    )
 
 
 def latest_runs(runs: DataFrame, scores: DataFrame | None = None) -> DataFrame:
@@ -201,31 +201,32 @@ def summary(scores: DataFrame) -> DataFrame:
     )
 
 
-def _leaderboard_values(scores: DataFrame) -> DataFrame:
-    """(model, variant, task, value): primary scores of the models that have tuned ones."""
-    best = primary_metric(scores, "leaderboard")
-    tuned = best.filter(F.col("variant") == TUNED).select("model").distinct()
-    return best.join(tuned, "model", "left_semi").select("model", "variant", "task", "value")
-
-
 def leaderboard_rows(scores: DataFrame) -> DataFrame:
     """(model, variant, task, shown): primary scores with four decimals; models without tuned scores are left out.
 
     ``scores`` has at most one run per model and variant. One row per score, for any number of tasks.
     """
-    return _leaderboard_values(scores).select("model", "variant", "task", fixed_point(F.col("value"), 4).alias("shown"))
+    best = primary_metric(scores, "leaderboard").withColumn("shown", fixed_point(F.col("value"), 4))
+    tuned = best.filter(F.col("variant") == TUNED).select("model").distinct()
+    return best.join(tuned, "model", "left_semi").select("model", "variant", "task", "shown")
 
 
 def leaderboard(scores: DataFrame, tasks: Sequence[str]) -> DataFrame:
     """``leaderboard_rows`` with the named tasks as columns, a dash where a task has no score.
 
-    Numbers are brought into columns, one for each model, variant and task, and shown as text afterwards.
+    Both variants of a model are brought into one row of numbers, which tells whether it has
+    tuned scores without a join, and are parted and shown as text afterwards.
     """
     names = sorted(tasks)
-    cells = [F.max(F.when(F.col("task") == name, F.col("value"))).alias(f"__{i}") for i, name in enumerate(names)]
-    table = _leaderboard_values(scores).groupBy("model", "variant").agg(*cells)
-    shown = [F.when(F.col(f"__{i}").isNotNull(), fixed_point(F.col(f"__{i}"), 4)).otherwise("-").alias(name) for i, name in enumerate(names)]
-    return table.select("model", "variant", *shown)
+    sides = (BASE, TUNED)
+    value = lambda side, task: F.max(F.when((F.col("variant") == side) & (F.col("task") == task), F.col("value")))
+    cells = [value(side, task).alias(f"__{i}_{j}") for i, side in enumerate(sides) for j, task in enumerate(names)]
+    there = [F.bool_or(F.col("variant") == side).alias(f"__has_{i}") for i, side in enumerate(sides)]
+    table = primary_metric(scores, "leaderboard").groupBy("model").agg(*there, *cells).filter("__has_1")
+    rows = [F.struct(F.lit(side).alias("variant"), F.col(f"__has_{i}").alias("has"), *[F.col(f"__{i}_{j}").alias(f"c{j}") for j in range(len(names))]) for i, side in enumerate(sides)]
+    parted = table.select("model", F.inline(F.array(*rows))).filter("has")
+    shown = [F.when(F.col(f"c{j}").isNotNull(), fixed_point(F.col(f"c{j}"), 4)).otherwise("-").alias(name) for j, name in enumerate(names)]
+    return parted.select("model", "variant", *shown)
 
 
 def expected_scores(spark: SparkSession, scores: Mapping[str, float] = EXPECTED_SCORES) -> DataFrame:
