@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -145,8 +147,49 @@ def test_unrenderable_is_empty(spark):
     rows = [([],), (None,), ([(None, "x")],), ([("user", None)],), ([("tool", "x")],), ([("user", "x"), ("tool", "y")],)]
     df = spark.createDataFrame(rows, CHAT.replace("conversations", "messages"))
     assert {r["text"] for r in render_chat(df).collect()} == {""}
+    own = ChatTemplate("own", {"user": ("<u>", "</u>")})
     system = spark.createDataFrame([([("system", "s"), ("user", "x")],)], CHAT.replace("conversations", "messages"))
-    assert render_chat(system, "gemma").first()["text"] == ""
+    assert render_chat(system, own).first()["text"] == ""
+
+
+# Families that have no system turns: what a system text looks like before "x" of the user.
+FOLDED = {
+    "gemma": "<bos><start_of_turn>user\ns x<end_of_turn>\n", "gemma2": "<bos><start_of_turn>user\ns x<end_of_turn>\n",
+    "gemma-3": "<bos><start_of_turn>user\ns\n\nx<end_of_turn>\n", "llama": "<s>[INST] <<SYS>>\ns\n<</SYS>>\n\nx [/INST]", "mistral": "<s>[INST] s x [/INST]",
+}
+
+
+@pytest.mark.parametrize("name", sorted(TEMPLATES))
+def test_system_texts(spark, name):
+    chats = [[("system", " s "), ("user", "x")], [("user", "a"), ("system", "s"), ("assistant", "b"), ("system", "t"), ("user", "c"), ("user", "d")], [("user", "a"), ("system", "s"), ("system", "t")], [("system", "s")]]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(chats)], "i int, " + CHAT.replace("conversations", "messages"))
+    got = {r["i"]: r["text"] for r in render_chat(df, name).collect()}
+    assert all(got.values())
+    shape = TEMPLATES[name]
+    if name in FOLDED:
+        assert got[0] == FOLDED[name]
+        (before, after), (left, right) = shape.roles["user"], shape.system_in_user
+        reply = shape.roles["assistant"][0] + "b" + shape.roles["assistant"][1]
+        texts = [left + x + right for x in "st"]
+        assert got[1] == shape.opening + f"{before}a{after}{reply}{before}{texts[0]}{texts[1]}c{after}{before}d{after}"
+        assert got[2] == shape.opening + f"{before}a{after}{before}{texts[0]}{texts[1]}{after}"
+        assert got[3] == shape.opening + before + texts[0] + after
+    else:
+        assert "".join(got[0].split("s", 1)) != got[0] and shape.markup == shape.roles
+
+
+@pytest.mark.parametrize("name", sorted(FOLDED))
+def test_prepared_turns_with_system_texts(spark, name):
+    rng = random.Random(7)
+    rows = [(c, t, rng.choice(["system", "user", "assistant"]), f" w{c} {t}; " * rng.randrange(1, 9)) for c in range(60) for t in range(rng.randrange(1, 7))]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    limits = LengthLimits(45)
+    texts = render_chat(S.nest_turns(turns), name)
+    want = L.add_lengths(texts, limits).select("conv_id", F.length("text").cast("bigint").alias("chars"), "estimated_length", "zone", "length")
+    got = L.conversation_lengths(turns, limits, name)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    kept = {r["conv_id"]: r["text"] for r in L.filter_length(L.add_lengths(texts, limits), limits).collect()}
+    assert kept == {r["conv_id"]: r["text"] for r in prepare_turns(turns, limits, name).collect()} and 5 < len(kept) < 60
 
 
 def test_template_lookup():

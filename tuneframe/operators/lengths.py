@@ -67,6 +67,7 @@ def conversation_lengths(
     conv: str = "conv_id",
     role: str = "role",
     text: str = "text",
+    turn: str = "turn",
 ) -> DataFrame:
     """Lengths of rendered conversations straight from their turns.
 
@@ -74,22 +75,26 @@ def conversation_lengths(
     (templates part messages, see ``ChatTemplate``). So only numbers are shuffled, they
     are added up before the shuffle, and no conversation is gathered in one place.
     A turn too long for any borderline conversation is not tokenised. Lengths are 64-bit,
-    as a conversation may be longer than any text in one row.
+    as a conversation may be longer than any text in one row. ``turn`` is looked at for families
+    alone that put system texts into user turns.
     """
     shape = get_template(template)
     message = (F.col(role), F.col(text))
-    chars = turns.select(conv, role, text, shape.piece_chars(*message).alias("__chars"))
+    order = [turn] if shape.system_in_user else []
+    chars = turns.select(conv, role, text, *order, shape.piece_chars(*message).alias("__chars"))
     tokens = F.when(F.col("__chars") <= 4 * limits.upper + 3, shape.piece_tokens(*message))
     sums = chars.groupBy(conv).agg(
         F.sum("__chars").alias("__chars"),
         F.sum(tokens).alias("__tokens"),
         F.bool_or(F.col("__chars").isNull()).alias("__broken"),
+        shape.loose_system(F.col(role), F.col(turn)).alias("__loose"),
     )
-    total = F.when(F.col("__broken"), 0).otherwise(F.col("__chars") + len(shape.opening))
+    loose = lambda more: F.when(F.col("__loose"), more).otherwise(0)
+    total = F.when(F.col("__broken"), 0).otherwise(F.col("__chars") + len(shape.opening) + loose(shape.loose_chars))
     return (
         sums.withColumn("estimated_length", estimate_from_chars(total))
         .withColumn("zone", length_zone(F.col("estimated_length"), limits))
-        .withColumn("length", final_length(F.col("zone"), F.col("__tokens") + token_count(shape.opening)))
+        .withColumn("length", final_length(F.col("zone"), F.col("__tokens") + token_count(shape.opening) + loose(shape.loose_tokens)))
         .select(conv, total.alias("chars"), "estimated_length", "zone", "length")
     )
 

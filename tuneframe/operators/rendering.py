@@ -77,7 +77,7 @@ def render_by_template(df: DataFrame, template: str = "template", more: Mapping[
     known = {**TEMPLATES, **(more or {})}
     alike: dict[tuple, list[str]] = {}
     for name, found in known.items():
-        alike.setdefault((tuple(found.roles.items()), found.opening, found.strip), []).append(name)
+        alike.setdefault((tuple(found.roles.items()), found.opening, found.strip, found.system_in_user), []).append(name)
     text = F
     for names in alike.values():
         text = text.when(F.col(template).isin(*names), known[names[0]].render(F.col("messages")))

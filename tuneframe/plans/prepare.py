@@ -42,22 +42,24 @@ def prepare_turns(
     shape = get_template(template)
     message = (F.col("role"), F.col("text"))
     sized = canonical_turns(turns).withColumn("__chars", shape.piece_chars(*message))
+    loose = F.when(shape.loose_system(F.col("role"), F.col("turn")), shape.loose_chars).otherwise(0)
     sums = sized.groupBy("conv_id").agg(
         F.sum("__chars").alias("chars"),
         F.bool_or(F.col("__chars").isNull()).alias("broken"),
+        loose.alias("loose"),
     )
-    lost = F.col("broken") | (estimate_from_chars(F.col("chars") + len(shape.opening)) > limits.upper)
+    lost = F.col("broken") | (estimate_from_chars(F.col("chars") + F.col("loose") + len(shape.opening)) > limits.upper)
     gone = sums.filter(lost).select(F.col("conv_id").alias("__lost"))
     rest = sized.join(gone, F.col("conv_id").eqNullSafe(F.col("__lost")), "left_anti")  # turns without conv_id are one conversation
 
     # What is left is short enough to be kept. The
     # filter works on sums; a text is put together where it is kept or borderline.
-    grouped = rest.select("conv_id", "turn", "__chars", shape.piece(*message).alias("piece")).groupBy("conv_id").agg(
-        F.sort_array(F.collect_list(F.struct("turn", "piece"))).alias("__turns"),
-        (F.sum("__chars") + len(shape.opening)).alias("__chars"),
+    grouped = rest.select("conv_id", "turn", "role", "__chars", shape.piece(*message).alias("piece")).groupBy("conv_id").agg(
+        F.sort_array(F.collect_list(F.struct("turn", "piece", "role"))).alias("__turns"),
+        (F.sum("__chars") + loose + len(shape.opening)).alias("__chars"),
         F.bool_or(F.col("__chars").isNull()).alias("__broken"),
     )
-    text = F.concat(F.lit(shape.opening), F.array_join("__turns.piece", ""))
+    text = F.concat(F.lit(shape.opening), shape.join(F.col("__turns")))
     measured = (
         grouped.filter(~F.col("__broken"))
         .withColumn("text", text)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tuneframe.functions.names import author, dataset_slug, model_base, output_name
+from tuneframe.functions.templates import TEMPLATES
 from tuneframe.functions.text import LengthLimits, count_tokens, estimate_tokens
 from tuneframe.operators import lengths as L
 from tuneframe.operators import rendering as R
@@ -278,27 +279,62 @@ NAMED = ("chatml", "llama-3.1", "llama", "qwen3", "gemma-3", "mistral", "phi-3",
 NAMED_SQL = "[" + ", ".join(f"'{n}'" for n in NAMED) + "]"
 
 
-@query(
-    f"""WITH t AS (SELECT *, {NAMED_SQL}[conv_id % {len(NAMED)} + 1] AS template,
-  trim(text, ' ' || chr(9) || chr(10) || chr(13)) AS body FROM conversations),
-pieces AS (SELECT conv_id, turn, template, CASE WHEN template IN ('chatml', 'qwen3') THEN {PIECE}
-  WHEN template = 'llama-3.1' THEN '<|start_header_id|>' || role || '<|end_header_id|>' || chr(10) || chr(10) || body || '<|eot_id|>'
-  WHEN template = 'phi-3' THEN '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10)
-  WHEN role = 'system' THEN NULL
-  WHEN template = 'gemma-3' THEN '<start_of_turn>' || CASE role WHEN 'user' THEN role ELSE 'model' END || chr(10) || body || '<end_of_turn>' || chr(10)
-  WHEN role = 'user' THEN '[INST] ' || body || ' [/INST]'
-  WHEN template = 'llama' THEN ' ' || body || ' </s><s>' WHEN template = 'mistral' THEN ' ' || body || '</s>' END AS piece FROM t),
+def by_template_sql(turns: str, names: str, n: int) -> str:
+    """Turns in the markup that a name chosen by conv_id asks for.
+
+    Families without system turns get system texts at the beginning of the next user turn, or in a user turn at the end.
+    """
+    return f"""WITH t AS (SELECT *, {names}[conv_id % {n} + 1] AS template,
+  trim(text, ' ' || chr(9) || chr(10) || chr(13)) AS body FROM {turns}),
+k AS (SELECT *, CASE WHEN template IN ('chatml', 'qwen-2', 'qwen-2.5', 'qwen3') THEN 'chatml' WHEN template IN ('llama3', 'llama-3.1') THEN 'llama3'
+  WHEN template IN ('gemma', 'gemma2') THEN 'gemma' ELSE template END AS family FROM t),
+folds AS (SELECT *, family IN ('gemma', 'gemma-3', 'llama', 'mistral') AS folds FROM k),
+aimed AS (SELECT *, CASE WHEN folds THEN min(CASE WHEN role = 'user' THEN turn END)
+  OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) END AS aim FROM folds),
+waiting AS (SELECT conv_id, aim, string_agg(CASE family WHEN 'llama' THEN '<<SYS>>' || chr(10) || body || chr(10) || '<</SYS>>' || chr(10) || chr(10)
+  WHEN 'gemma-3' THEN body || chr(10) || chr(10) ELSE body || ' ' END, '' ORDER BY turn) AS system
+  FROM aimed WHERE folds AND role = 'system' GROUP BY conv_id, aim),
+own AS (SELECT a.conv_id, a.turn, a.template, a.family, a.role, a.text, CASE WHEN a.folds AND a.role = 'user' THEN coalesce(w.system, '') ELSE '' END || a.body AS body, a.folds
+  FROM aimed a LEFT JOIN waiting w ON w.conv_id = a.conv_id AND w.aim = a.turn AND a.role = 'user'
+  UNION ALL SELECT w.conv_id, 1000000, f.template, f.family, 'user', '', w.system, true
+  FROM waiting w JOIN (SELECT DISTINCT conv_id, template, family FROM aimed) f USING (conv_id) WHERE w.aim IS NULL),
+pieces AS (SELECT conv_id, turn, template, CASE WHEN family = 'chatml' THEN {PIECE}
+  WHEN family = 'llama3' THEN '<|start_header_id|>' || role || '<|end_header_id|>' || chr(10) || chr(10) || body || '<|eot_id|>'
+  WHEN family = 'phi-3' THEN '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10)
+  WHEN role = 'system' AND folds THEN ''
+  WHEN family IN ('gemma', 'gemma-3') THEN '<start_of_turn>' || CASE role WHEN 'user' THEN role ELSE 'model' END || chr(10) || body || '<end_of_turn>' || chr(10)
+  WHEN role = 'user' AND folds THEN '[INST] ' || body || ' [/INST]'
+  WHEN family = 'llama' THEN ' ' || body || ' </s><s>' WHEN family = 'mistral' THEN ' ' || body || '</s>' END AS piece FROM own),
 joined AS (SELECT conv_id, template, CASE WHEN count(*) = count(piece) AND template <> 'unheard-of'
   THEN string_agg(piece, '' ORDER BY turn) END AS text FROM pieces GROUP BY conv_id, template)
-SELECT conv_id, template, coalesce(CASE template WHEN 'llama-3.1' THEN '<|begin_of_text|>' WHEN 'gemma-3' THEN '<bos>'
-  WHEN 'llama' THEN '<s>' WHEN 'mistral' THEN '<s>' ELSE '' END || text, '') AS text FROM joined"""
-)
+SELECT conv_id, template, coalesce(CASE WHEN template IN ('llama3', 'llama-3.1') THEN '<|begin_of_text|>' WHEN starts_with(template, 'gemma') THEN '<bos>'
+  WHEN template IN ('llama', 'mistral') THEN '<s>' ELSE '' END || text, '') AS text FROM joined"""
+
+
+@query(by_template_sql("conversations", NAMED_SQL, len(NAMED)))
 def render_by_template(spark: SparkSession, sf_dir: str) -> DataFrame:
     nested = S.nest_turns(table(spark, sf_dir, "conversations"))
     name = F.element_at(F.array(*[F.lit(n) for n in NAMED]), (F.col("conv_id") % len(NAMED) + 1).cast("int"))
     return R.render_by_template(nested.withColumn("template", name)).select("conv_id", "template", "text")
 
 
+EVERY_NAME = tuple(TEMPLATES)
+EVERY_NAME_SQL = "[" + ", ".join(f"'{n}'" for n in EVERY_NAME) + "]"
+INSTRUCTED_SQL = """(SELECT conv_id, turn * 2 AS turn, role, text FROM conversations UNION ALL
+  SELECT conv_id, turn * 2 + 1, 'system', 'Note ' || turn || ' for ' || conv_id FROM conversations WHERE (conv_id + turn) % 3 = 0)"""
+
+
+@query(by_template_sql(INSTRUCTED_SQL, EVERY_NAME_SQL, len(EVERY_NAME)))
+def render_system_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """System texts behind every third turn, in the markup of every name; no text is empty."""
+    turns = table(spark, sf_dir, "conversations")
+    note = F.concat(F.lit("Note "), F.col("turn"), F.lit(" for "), F.col("conv_id"))
+    notes = turns.filter((F.col("conv_id") + F.col("turn")) % 3 == 0).select("conv_id", (F.col("turn") * 2 + 1).alias("turn"), F.lit("system").alias("role"), note.alias("text"))
+    nested = S.nest_turns(turns.withColumn("turn", F.col("turn") * 2).unionByName(notes))
+    name = F.element_at(F.array(*[F.lit(n) for n in EVERY_NAME]), (F.col("conv_id") % len(EVERY_NAME) + 1).cast("int"))
+    return R.drop_empty(R.render_by_template(nested.withColumn("template", name))).select("conv_id", "template", "text")
+
+
 BROKEN_SQL = f"""{ALIASES_SQL}, rendered AS (
   SELECT conv_id, CASE WHEN count(*) = count(known) THEN
     string_agg('<|im_start|>' || known || chr(10) || text || '<|im_end|>' || chr(10), '' ORDER BY turn)
