@@ -1,6 +1,7 @@
 """Runs, backups, results and artifacts on literal rows and files."""
 
 import json
+import os
 import random
 
 import pytest
@@ -159,6 +160,30 @@ def test_comparison_from_files(spark, outputs):
     assert (odd["metric"], odd["base_accuracy"], odd["delta"], odd["delta_percent"]) == (None, 0.0, 0.0, 0.0)
 
 
+def test_only_chosen_files_are_opened(spark, outputs, tmp_path):
+    """Files that cannot be read any more do no harm where they are not chosen, and do where they are."""
+    files = S.list_eval_results(spark, outputs)
+    chosen = S.one_file_per_run(B.keep_latest(files, B.latest_runs(files)))
+    kept = {r["path"] for r in chosen.collect()}
+    assert len(kept) == 3 < files.count()
+    bodies = S.read_eval_results(spark, outputs, chosen=chosen)
+    for r in files.collect():
+        if r["path"] not in kept:
+            (tmp_path / r["path"].removeprefix("file:")).unlink()
+    assert {(r["model"], r["variant"], r["run_ts"]) for r in bodies.collect()} == {("one", "base", None), ("one", "fine-tuned", "2025-01-02T00-00-00"), ("two", "fine-tuned", "2025-01-02T00-00-00")}
+    assert S.read_eval_results(spark, outputs, chosen=chosen.limit(0)).isEmpty()
+
+
+def test_newest_file_by_time(spark, tmp_path):
+    root = tmp_path / "a [b] {c}*"
+    for name, value, at in (("results_1.json", 0.1, 2_000), ("results_2.json", 0.2, 1_000)):
+        write_result(root, "m", "base", None, name, {"t": {"acc,none": value}})
+        os.utime(root / "m" / "benchmarks" / "base" / "lm-eval" / name, (at, at))
+    place = str(root).replace("[", "\\[").replace("]", "\\]").replace("{", "\\{").replace("}", "\\}").replace("*", "\\*")
+    assert [r["value"] for r in load_scores(spark, place).collect()] == [0.2]
+    assert [r["value"] for r in load_scores(spark, place, by="modified").collect()] == [0.1]
+
+
 def test_newest_run_hides_older_ones(spark, outputs):
     models = lambda skip: {r["model"] for r in load_scores(spark, outputs, skip_empty=skip).collect()}
     assert models(False) == {"one"}

@@ -10,6 +10,7 @@ from tuneframe.functions.scalars import signed_percent as percent_label
 from tuneframe.functions.text import is_length_error as names_length_error
 from tuneframe.operators import evals as B
 from tuneframe.operators import logs
+from tuneframe.plans import evaluation as E
 from tuneframe.queries.registry import query, scratch, table
 from tuneframe.sources import listings
 from tuneframe.sources import results as S
@@ -127,6 +128,66 @@ def result_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# ---- files of results
+
+
+def result_files(spark: SparkSession, sf_dir: str) -> str:
+    """Suppliers as result files, five to a model: two of its base run, one of an older and two of its newest run."""
+    place = F.col("s_suppkey") % 5
+    body = F.to_json(
+        F.struct(
+            F.struct(
+                F.struct(F.col("s_acctbal").alias("acc,none"), F.lit(0.5).alias("acc_stderr,none")).alias("ifeval"),
+                F.struct((F.col("s_acctbal") / 2).alias("exact_match,none"), F.lit("-").alias("alias")).alias("gsm8k"),
+            ).alias("results")
+        )
+    )
+    files = table(spark, sf_dir, "supplier").select(
+        body.alias("value"),
+        F.concat(F.lit("m"), F.floor(F.col("s_suppkey") / 5)).alias("model"),
+        F.when(place < 2, B.BASE).otherwise(B.TUNED).alias("variant"),
+        F.when(place == 2, "r1").when(place > 2, "r2").alias("run_ts"),
+        F.when(place.isin(1, 4), "results_2.json").otherwise("results_1.json").alias("file"),
+    )
+    root = scratch(spark, "results")
+    files.write.partitionBy("model", "variant", "run_ts", "file").text(root)
+    return root
+
+
+FILES_SQL = """files AS (SELECT 'm' || s_suppkey // 5 AS model, CASE WHEN s_suppkey % 5 < 2 THEN 'base' ELSE 'fine-tuned' END AS variant,
+  CASE WHEN s_suppkey % 5 = 2 THEN 'r1' WHEN s_suppkey % 5 > 2 THEN 'r2' END AS run_ts,
+  CASE WHEN s_suppkey % 5 IN (1, 4) THEN 'results_2.json' ELSE 'results_1.json' END AS file, s_suppkey, s_acctbal FROM supplier)"""
+CHOSEN_SQL = f"""{FILES_SQL}, chosen AS (SELECT * FROM files QUALIFY row_number() OVER (PARTITION BY model, variant ORDER BY run_ts DESC, file DESC) = 1),
+scored AS (SELECT model, variant, run_ts, 'ifeval' AS task, 'acc,none' AS key, 'acc' AS metric, s_acctbal AS value, 0.5::DOUBLE AS stderr FROM chosen
+  UNION ALL SELECT model, variant, run_ts, 'gsm8k', 'exact_match,none', 'exact_match', s_acctbal / 2, NULL FROM chosen)"""
+
+
+@query(f"WITH {FILES_SQL} SELECT model, variant, run_ts, file, s_acctbal AS acc FROM files")
+def read_eval_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = S.read_eval_results(spark, result_files(spark, sf_dir), S.PARTITIONED_PATH, "part-*")
+    return files.select("model", "variant", "run_ts", "file", F.get_json_object("body", "$.results.ifeval['acc,none']").cast("double").alias("acc"))
+
+
+@query(f"WITH {FILES_SQL} SELECT model, variant, run_ts, file FROM files")
+def list_eval_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.list_eval_results(spark, result_files(spark, sf_dir), S.PARTITIONED_PATH, "part-*").select("model", "variant", "run_ts", "file")
+
+
+@query(f"WITH {CHOSEN_SQL} SELECT model, variant, run_ts, task, key, metric, value, stderr FROM scored")
+def load_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return E.load_scores(spark, result_files(spark, sf_dir), layout=S.PARTITIONED_PATH, glob="part-*")
+
+
+@query(
+    f"""WITH {CHOSEN_SQL} SELECT b.model, b.task, b.metric, b.value AS base_accuracy, t.value AS finetuned_accuracy, t.value - b.value AS delta,
+  CASE WHEN b.value > 0 THEN (t.value - b.value) / b.value * 100 ELSE 0 END AS delta_percent
+FROM scored b JOIN scored t USING (model, task) WHERE b.variant = 'base' AND t.variant = 'fine-tuned'"""
+)
+def compare_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    compared = E.compare_models(spark, result_files(spark, sf_dir), layout=S.PARTITIONED_PATH, glob="part-*")
+    return compared.select("model", "task", "metric", "base_accuracy", "finetuned_accuracy", "delta", "delta_percent")
+
+
 # ---- scores
 
 

@@ -114,6 +114,23 @@ def load_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    """SELECT split, samples, checked FROM (VALUES ('train', (SELECT count(*) FROM documents), 'found'),
+  ('validation', (SELECT count(*) FROM benchmark), 'found'), ('test', 0, 'no split ''test''; available: train, validation')) v(split, samples, checked)"""
+)
+def split_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Splits asked for by name: the rows of those there are, and what is said of one there is not."""
+    paths = {"train": f"{sf_dir}/documents.parquet", "validation": f"{sf_dir}/benchmark.parquet"}
+    parts = []
+    for name in ("train", "validation", "test"):
+        try:
+            rows, checked = read_splits(spark, paths, name).select("split"), "found"
+        except ValueError as error:
+            rows, checked = spark.read.parquet(paths["train"]).select(F.lit(name).alias("split")).filter(F.lit(False)), str(error)
+        parts.append(rows.agg(F.count(F.lit(1)).alias("samples")).select(F.lit(name).alias("split"), "samples", F.lit(checked).alias("checked")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 500")
 def limit_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first_samples(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), 500, "o_orderkey")

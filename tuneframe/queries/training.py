@@ -137,6 +137,24 @@ def read_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    """SELECT 'run=' || s_suppkey AS run, 'org/model-' || s_nationkey AS model_name, s_acctbal AS training_time_seconds,
+  CASE WHEN s_suppkey % 3 = 0 THEN 16 ELSE s_nationkey + 1 END AS lora_rank, 2e-4 AS learning_rate, s_suppkey % 2 = 1 AS packing FROM supplier"""
+)
+def read_run_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as runs, each with a folder that holds its metrics; some leave entries out."""
+    root = scratch(spark, "runs")
+    table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("run"),
+        F.concat(F.lit("org/model-"), F.col("s_nationkey")).alias("model_name"),
+        F.col("s_acctbal").alias("training_time_seconds"),
+        F.when(F.col("s_suppkey") % 3 != 0, F.col("s_nationkey") + 1).alias("lora_rank"),
+        F.when(F.col("s_suppkey") % 2 == 1, True).alias("packing"),
+    ).write.partitionBy("run").json(root)
+    runs = S.read_runs(spark, root, "part-*")
+    return runs.select("run", "model_name", "training_time_seconds", "lora_rank", "learning_rate", "packing")
+
+
 def backed_up(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order as a run that was backed up."""
     day = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")

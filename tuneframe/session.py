@@ -45,7 +45,15 @@ def shared_dir(spark: SparkSession) -> str:
             raise ValueError(f"name a folder that all executors share in {CHECKPOINT_KEY}")
         named = tempfile.mkdtemp(prefix="tuneframe-")
     context.setCheckpointDir(named)
-    return context.getCheckpointDir()
+    made = context.getCheckpointDir()  # a folder of this application's own below the named one
+    remove_at_end(spark, made)
+    return made
+
+
+def remove_at_end(spark: SparkSession, path: str) -> None:
+    """Have a path of intermediate tables removed when the driver ends, by the file system that holds it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
 
 
 def settle(df: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,33 +12,50 @@ from tuneframe.operators.evals import BASE, TUNED, summary
 # Fixed value: where a result file lies below the output root.
 RESULT_PATH = r"([^/]+)/benchmarks/(base|fine-tuned)/(?:([^/]+)/)?lm-eval/(?:.*/)?(results(?:_[^/]*)?\.json)$"
 
+# The same below a root that Spark has written with the parts as partition columns.
+PARTITIONED_PATH = r"model=([^/]+)/variant=(base|fine-tuned)/run_ts=(?:__HIVE_DEFAULT_PARTITION__|([^/]+))/file=([^/]+)/part-[^/]*$"
+
 # Numbers only: texts such as "N/A" and booleans are no scores.
 _NUMERIC = r"^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL.*)$"
 
 
-def read_eval_results(spark: SparkSession, root: str) -> DataFrame:
-    """``(model, variant, run_ts, file, modified, body)`` for every result file below the root."""
-    files = (
-        spark.read.option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "results*.json")
-        .text(root, wholetext=True)
-        .select(
-            F.col("_metadata.file_path").alias("path"),
-            F.col("_metadata.file_modification_time").alias("modified"),
-            F.col("value").alias("body"),
-        )
-    )
-    part = lambda i: F.regexp_extract("path", RESULT_PATH, i)
-    return files.filter(F.col("path").rlike(RESULT_PATH)).select(
+def _files(spark: SparkSession, paths: str | list[str], layout: str, glob: str, *more: str) -> DataFrame:
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(paths)
+    part = lambda i: F.regexp_extract("path", layout, i)
+    return found.filter(F.col("path").rlike(layout)).select(
         part(1).alias("model"),
         F.when(part(2) == "base", BASE).otherwise(TUNED).alias("variant"),
         F.nullif(part(3), F.lit("")).alias("run_ts"),
         part(4).alias("file"),
-        "modified",
-        "body",
+        F.col("modificationTime").alias("modified"),
+        *([F.col("content").cast("string").alias("body")] if "body" in more else []),
+        *(["path"] if "path" in more else []),
     )
 
 
+def list_eval_results(spark: SparkSession, root: str, layout: str = RESULT_PATH, glob: str = "results*.json") -> DataFrame:
+    """``(model, variant, run_ts, file, modified, path)`` for every result file below the root; no file is opened.
+
+    ``layout`` finds model, variant, run and file name in a path, ``glob`` the names of files to look at.
+    """
+    return _files(spark, root, layout, glob, "path")
+
+
+def read_eval_results(
+    spark: SparkSession, root: str, layout: str = RESULT_PATH, glob: str = "results*.json", chosen: DataFrame | None = None
+) -> DataFrame:
+    """``(model, variant, run_ts, file, modified, body)`` for every result file below the root, or for those ``chosen`` from its list.
+
+    Files that are not chosen are not opened: the others are named to the reader one by one. Their paths
+    go through the driver, which has listed all paths of the folder before.
+    """
+    if chosen is None:
+        return _files(spark, root, layout, glob, "body")
+    paths = [re.sub(r"([\[\]{}*?\\])", r"\\\1", r["path"]) for r in chosen.select("path").collect()]
+    everything = _files(spark, paths or root, layout, glob, "body")
+    return everything if paths else everything.limit(0)
+
+
 def one_file_per_run(files: DataFrame, by: str = "file") -> DataFrame:
     """Of several files in a run the greatest by name, or with ``modified`` the newest.
 
