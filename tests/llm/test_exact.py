@@ -323,6 +323,48 @@ def test_fingerprints_of_edits(spark, docs, texts):
     assert np.mean([r.near_edited > r.near_next for r in long]) > 0.98
 
 
+def phrases_of(text):
+    """LZ78 by the book: phrases are tuples of symbols, each a known phrase and one symbol more."""
+    known, phrase = set(), ()
+    for symbol in re.findall(r"\s*\S{1,16}|\s+", text):
+        phrase += (symbol,)
+        if phrase not in known:
+            known.add(phrase)
+            phrase = ()
+    return known, phrase
+
+
+def test_phrases_against_a_plain_parser(texts):
+    rnd = random.Random(5)
+    for text in [*list(texts.values())[:60], "", " ", "a", "a a a a a a a a a a", "\u00e9" * 50, " ".join(rnd.choice("ab") for _ in range(3000))]:
+        known, rest = phrases_of(text)
+        mine = lz.Phrases()
+        for some in lz.symbols(text):
+            mine.read(some)
+        assert len(mine.seen) == len(known) and bool(mine.state) == bool(rest)
+        assert len(lz.signature(text)) == min(lz.SIZE, len(known) + bool(rest))
+    pair = [phrases_of(t)[0] for t in (text, text[:4000])]
+    assert lz.likeness(lz.signature(text), lz.signature(text[:4000])) == pytest.approx(len(pair[0] & pair[1]) / len(pair[0] | pair[1]), abs=0.15)
+
+
+def test_edits_where_many_rows_share_a_key_or_have_none(spark):
+    rnd = random.Random(9)
+    text = lambda: " ".join(rnd.choice(["la", "le", "\u00e9t\u00e9", "zu", "x"]) for _ in range(rnd.randrange(1, 20)))
+    rows = [(None, text()) for _ in range(300)] + [(50, text()) for _ in range(300)] + [(rnd.randrange(200), text()) for _ in range(300)] + [(None, None), (None, "la"), (None, "la")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    order = [(i, t or "") for i, t in sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), (r[1] or "").encode()))]
+    want = collections.Counter()
+    for (i, t), (_, following) in zip(order, order[1:] + order[:1]):
+        half = len(t) // 2
+        edited = t[: len(t) - half] + following[:half]
+        want[i, len(t), hashlib.sha256(edited.encode()).hexdigest(), lz.likeness(lz.signature(t), lz.signature(following))] += 1
+    made = lz.edit_likeness(df)
+    assert collections.Counter((r["doc_id"], r["n_chars"], r["edited_sha256"], r["near_next"]) for r in made.collect()) == want
+    dealt = lz._runs(df, "text", "doc_id")
+    sizes = {r["run"]: (r["n"], r["h"]) for r in dealt.groupBy("run").agg(F.count("*").alias("n"), F.count_if("head").alias("h")).collect()}
+    assert max(n for n, _ in sizes.values()) < 60 and {h for _, h in sizes.values()} == {1}
+
+
 def test_sketch_estimates_the_similarity_of_phrase_sets():
     rnd = random.Random(2)
     words = [f"v{i}" for i in range(4000)]

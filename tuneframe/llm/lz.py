@@ -116,28 +116,38 @@ def edited_text(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
+#: Bytes of a text's beginning that part rows of one key.
+BEGINNING = 7
+
+
 def _runs(df: DataFrame, text: str, key: str) -> DataFrame:
     """(run, key, order, text, head): rows dealt into runs of neighbouring keys, counted from the greatest on.
 
-    The row that follows the last of a run, the first of a later run, is in it as a head.
-    Quantiles of the keys and the first key of each run go through the driver: a number
-    or two for each run, of which there are four for a shuffle partition.
+    Rows without a key, and those of a key that fills a run, are parted further by how their texts begin, which
+    is the order within a key. The row that follows the last of a run, the first of a later run, is in it as a head.
+    Quantiles of keys and of beginnings and the numbers of the runs that have rows go through the driver, a few
+    numbers for each run, of which there are some four for a shuffle partition.
     """
     n = 4 * partitions_of(df)
+    step = [i / n for i in range(1, n)]
+    kind = df.schema[key].dataType
+    begins = F.conv(F.rpad(F.hex(F.substring(F.col("text").cast("binary"), 1, BEGINNING)), 2 * BEGINNING, "0"), 16, 10).cast("long")
     rows = df.select(as_key(key), F.col(f"`{key}`").alias("order"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-    bounds = np.array(sorted(set(df.select(key).stat.approxQuantile(key, [i / n for i in range(1, n)], 1 / (4 * n)))))
-    place = F.pandas_udf(lambda s: pd.Series(len(bounds) - np.searchsorted(bounds, s.to_numpy(), "right")), "int")
-    zero = F.lit(0).cast(df.schema[key].dataType)
-    run = F.when(F.col("order").isNull(), len(bounds) + 1).otherwise(place(F.coalesce("order", zero)))
-    placed = rows.withColumn("run", run)
-    ends = sorted((r["run"], r["first"]) for r in placed.groupBy("run").agg(F.max("order").alias("first")).collect())
-    first = {r: 0 if k is None else k for r, k in ends}
-    earlier = {ends[i][0]: ends[i - 1][0] for i in range(len(ends))}  # the first run follows the last one
-    head_of = F.pandas_udf(lambda r, k: pd.Series([earlier[a] if first[a] == b else -1 for a, b in zip(r, k)]), "int")
-    also = head_of("run", F.coalesce("order", zero))
-    places = F.array(F.struct("run", F.lit(False).alias("head")), F.struct(also.alias("run"), F.lit(True).alias("head")))
-    dealt = placed.withColumn("place", F.explode(F.filter(places, lambda x: x["run"] >= 0)))
-    return dealt.select("place.run", "key", "order", "text", "place.head")
+    quantiles = sorted(df.select(key).stat.approxQuantile(key, step, 1 / (4 * n)))
+    bounds = np.array(sorted(set(quantiles)))
+    hot = [b for a, b in zip(quantiles, quantiles[1:]) if a == b]  # no more keys than quantiles
+    many = F.col("order").isNull() | F.col("order").isin([F.lit(x).cast(kind) for x in sorted(set(hot))])
+    cuts = sorted(set(rows.filter(many).select(begins.alias("b")).stat.approxQuantile("b", step, 1 / (4 * n))))
+    passed = lambda value, at: F.size(F.filter(F.array(*[F.lit(float(x)) for x in at]).cast("array<double>"), lambda x: x <= value))
+    base = F.when(F.col("order").isNull(), len(bounds) + 1).otherwise(len(bounds) - passed(F.col("order").cast("double"), bounds))
+    part = F.when(many, 1 + passed(begins.cast("double"), cuts)).otherwise(0)
+    placed = rows.withColumn("run", (base * (n + 2) + part).cast("int"))
+    first = placed.groupBy("run").agg(F.max("order").alias("order"))
+    full = sorted(r["run"] for r in first.select("run").collect())
+    earlier = df.sparkSession.createDataFrame([(full[i], full[i - 1]) for i in range(len(full))], "run int, before int")  # the first run follows the last one
+    least = placed.join(first.withColumnRenamed("order", "greatest"), "run").filter(F.col("order").eqNullSafe(F.col("greatest"))).groupBy("run").agg(F.min("text").alias("text"))
+    heads = least.join(earlier, "run").select(F.col("before").alias("run"), F.lit(None).cast("string").alias("key"), F.lit(None).cast(kind).alias("order"), "text", F.lit(True).alias("head"))
+    return placed.select("run", "key", "order", "text", F.lit(False).alias("head")).unionByName(heads)
 
 
 def edit_likeness(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -155,7 +165,7 @@ def edit_likeness(df: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
     def walk(pdf: pd.DataFrame) -> pd.DataFrame:
         own = pdf[~pdf["head"]].sort_values(["order", "text"], ascending=[False, True], na_position="last")
         heads = pdf[pdf["head"]].sort_values("text")
-        texts = own["text"].tolist() + heads["text"].tolist()[:1]
+        texts = own["text"].tolist() + heads["text"].tolist()
         out, following = [], None
         for i in range(len(texts) - 1, -1, -1):
             t = texts[i]
