@@ -45,9 +45,7 @@ def shared_dir(spark: SparkSession) -> str:
             raise ValueError(f"name a folder that all executors share in {CHECKPOINT_KEY}")
         named = tempfile.mkdtemp(prefix="tuneframe-")
     context.setCheckpointDir(named)
-    made = context.getCheckpointDir()  # a folder of this application's own below the named one
-    remove_at_end(spark, made)
-    return made
+    return context.getCheckpointDir()
 
 
 def remove_at_end(spark: SparkSession, path: str) -> None:
@@ -62,5 +60,7 @@ def settle(df: DataFrame) -> DataFrame:
     Needed where a column depends on row placement (``spark_partition_id``): a lost
     executor must not make Spark place the rows anew.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    folder = shared_dir(df.sparkSession)  # of this application's own, below the named one
+    settled = df.checkpoint(eager=True)
+    remove_at_end(df.sparkSession, folder)
+    return settled
