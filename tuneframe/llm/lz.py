@@ -145,7 +145,8 @@ def _runs(df: DataFrame, text: str, key: str) -> DataFrame:
     first = placed.groupBy("run").agg(F.max("order").alias("order"))
     full = sorted(r["run"] for r in first.select("run").collect())
     earlier = df.sparkSession.createDataFrame([(full[i], full[i - 1]) for i in range(len(full))], "run int, before int")  # the first run follows the last one
-    least = placed.join(first.withColumnRenamed("order", "greatest"), "run").filter(F.col("order").eqNullSafe(F.col("greatest"))).groupBy("run").agg(F.min("text").alias("text"))
+    # a number for each run is broadcast, so that no text moves to find the first of a run
+    least = placed.join(F.broadcast(first.withColumnRenamed("order", "greatest")), "run").filter(F.col("order").eqNullSafe(F.col("greatest"))).groupBy("run").agg(F.min("text").alias("text"))
     heads = least.join(earlier, "run").select(F.col("before").alias("run"), F.lit(None).cast("string").alias("key"), F.lit(None).cast(kind).alias("order"), "text", F.lit(True).alias("head"))
     return placed.select("run", "key", "order", "text", F.lit(False).alias("head")).unionByName(heads)
 
