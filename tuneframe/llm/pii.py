@@ -2,9 +2,12 @@
 
 Plain detectors find e-mail addresses, IPv4 addresses, card numbers and phone numbers. A
 transducer then rewrites what hides such data (look-alike letters, digits of other
-scripts, invisible characters, spelled digits, "at" and "dot" in words or brackets) and
-keeps, for every piece it writes, the piece it read. What the detectors find in the
+scripts, invisible characters, spelled digits, "at" and "dot" in words or brackets, in
+English, German, French and Spanish) and keeps, for every piece it writes, the piece it read. What the detectors find in the
 normalised text beyond the plain finds is carried back to source offsets and added.
+
+A disguise has gaps of up to three characters between its parts. Words for "dot" that are
+ordinary words ("point", "Punkt", "punto") count inside an address or between digits only.
 """
 
 from __future__ import annotations
@@ -85,7 +88,21 @@ LOOKALIKES = dict(
 )
 MARKS = {"﹫": "@", "․": ".", "。": ".", "。": ".", "‐": "-", "‑": "-", "‒": "-", "–": "-", "—": "-", "−": "-", " ": " "}
 INVISIBLE = "​‌‍⁠﻿­"
-NUMBERS = {"zero": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
+#: The words for the digits 0 to 9 in English, German, French and Spanish, with what is said for them on the phone.
+SPELLED = [
+    "zero oh null zéro cero",
+    "one eins un une uno",
+    "two zwei zwo deux dos",
+    "three drei trois tres",
+    "four vier quatre cuatro",
+    "five fünf fuenf cinq cinco",
+    "six sechs seis",
+    "seven sieben sept siete",
+    "eight acht huit ocho",
+    "nine neun neuf nueve",
+]
+NUMBERS = {word: str(digit) for digit, words in enumerate(SPELLED) for word in words.split()}
+TIMES = {"double": 2, "triple": 3, "doppel": 2, "doble": 2}
 
 
 def _letters() -> dict[str, str]:
@@ -106,16 +123,41 @@ def _letters() -> dict[str, str]:
 TABLE = str.maketrans(_letters() | MARKS)
 _NUMBER = "(?:" + "|".join(NUMBERS) + ")"
 _OPEN, _CLOSE = r"[\[({<]\s{0,3}", r"\s{0,3}[\])}>]"
-_DOT = rf"(?:\s{{0,3}}{_OPEN}(?:dot|\.){_CLOSE}\s{{0,3}}|\s{{1,3}}dot\s{{1,3}})"
+_ACCENTED = "(?:" + "|".join(word for word in NUMBERS if not word.isascii()) + ")"
+_TIMES = "(?:" + "|".join(TIMES) + ")"
+_COUNTED = rf"(?:{_TIMES}\s{{1,3}})?{_NUMBER}"
+_POINT = "(?:punkt|punto|point)"
+_AROUND = "(?:arroba|arobase|arrobase|klammeraffe|ät)"
+_HIDDEN_DOT = rf"\s{{0,3}}{_OPEN}(?:dot|{_POINT}|\.){_CLOSE}\s{{0,3}}"
+_DOT = rf"(?:{_HIDDEN_DOT}|\s{{1,3}}dot\s{{1,3}})"
+_ANY_DOT = rf"(?:{_HIDDEN_DOT}|\s{{1,3}}(?:dot|{_POINT})\s{{1,3}})"
+_ANY_AT = rf"(?:\s{{0,3}}{_OPEN}(?:at|@|{_AROUND}){_CLOSE}\s{{0,3}}|\s{{1,3}}{_AROUND}\s{{1,3}})"
+_LABEL = "[A-Za-z0-9-]{1,63}"
+_LOCAL = "[A-Za-z0-9_%+-][A-Za-z0-9._%+-]{0,63}"
+#: An address whose sign or dots are words of other languages than English, which mean other things elsewhere.
+_ADDRESS = (
+    rf"(?<![\w.%+-]){_LOCAL}(?:{_ANY_DOT}{_LOCAL}){{0,4}}"
+    rf"(?:{_ANY_AT}{_LABEL}(?:(?:\.|{_ANY_DOT}){_LABEL}){{1,8}}"
+    rf"|@{_LABEL}\s{{1,3}}{_POINT}\s{{1,3}}{_LABEL}"
+    rf"|\s{{1,3}}at\s{{1,3}}{_LABEL}(?:\s{{1,3}}(?:punkt|punto)\s{{1,3}}{_LABEL}){{1,8}})"
+)
+SIGN = re.compile(rf"{_ANY_AT}|\s{{1,3}}at\s{{1,3}}", re.IGNORECASE)
+PLAIN_SIGN = re.compile("[A-Za-z0-9._%+-]@[A-Za-z0-9-]")
+POINT = re.compile(_ANY_DOT, re.IGNORECASE)
 #: What makes a lower-case text worth a second look. A spelled digit with no digit near it is in no identifier
 #: but an address, which is found as it stands; what may part digits is what the detectors and REWRITE allow.
 _GAP = r"[\s,().-]+"
 LOOKS = [
     re.compile(pattern)
     for pattern in (
-        rf"{_OPEN}(?:at|@|dot|\.){_CLOSE}",
-        r"\sdot\s",
-        rf"\bplus\s{{1,3}}(?:{_NUMBER}|[0-9])",
+        rf"{_OPEN}(?:at|@|{_AROUND}|dot|{_POINT}|\.){_CLOSE}",
+        rf"\s(?:dot|{_AROUND})\s",
+        rf"@{_LABEL}\s{{1,3}}{_POINT}\s",
+        rf"\sat\s{{1,3}}{_LABEL}\s{{1,3}}(?:punkt|punto)\s",
+        rf"\s{_POINT}\s{{1,3}}(?:{_COUNTED}\b|[0-9])",
+        rf"\b(?:plus|más)\s{{1,3}}(?:{_COUNTED}|[0-9])",
+        rf"\b{_TIMES}\s{{1,3}}{_NUMBER}\b",
+        rf"[.@-]{_ACCENTED}\b|\b{_ACCENTED}[.@_%+-]",
         rf"[0-9]{_GAP}{_NUMBER}\b",
         rf"\b{_NUMBER}\b{_GAP}(?:{_NUMBER}\b|[0-9])",
     )
@@ -124,11 +166,13 @@ HIDDEN = re.compile(f"[{INVISIBLE}]")
 REWRITE = re.compile(
     "|".join(
         [
+            rf"(?P<address>{_ADDRESS})",
             rf"(?P<at>\s{{0,3}}{_OPEN}(?:at|@){_CLOSE}\s{{0,3}})",
             rf"(?P<bare_at>(?<=[A-Za-z0-9_%+-])\s{{1,3}}at\s{{1,3}}(?!(?:the|an?|this|that|all|our|my|your)\s)(?=[A-Za-z0-9-]{{1,63}}{_DOT}[A-Za-z0-9-]))",
             rf"(?P<dot>(?<=[A-Za-z0-9-]){_DOT}(?=[A-Za-z0-9-]))",
-            rf"(?P<plus>\bplus\s{{1,3}}(?=(?:{_NUMBER}|[0-9])\b))",
-            rf"(?P<number>\b{_NUMBER}\b(?:[\s,-]{{1,3}}(?={_NUMBER}\b))?)",
+            rf"(?P<point>(?<=[A-Za-z0-9])\s{{1,3}}{_POINT}\s{{1,3}}(?=(?:{_COUNTED}\b|[0-9])))",
+            rf"(?P<plus>\b(?:plus|más)\s{{1,3}}(?=(?:{_COUNTED}|[0-9])\b))",
+            rf"(?P<number>\b{_COUNTED}\b(?:[\s,-]{{1,3}}(?={_COUNTED}\b))?)",
             rf"(?P<gone>[{INVISIBLE}])",
         ]
     ),
@@ -170,9 +214,12 @@ class Normalised:
         for m in REWRITE.finditer(text):
             kind = m.lastgroup
             if kind == "number":
-                new = NUMBERS[re.match("[a-z]+", folded(m[0]))[0]]
+                *times, word = re.findall(r"[^\W\d_]+", folded(m[0]))
+                new = NUMBERS[word] * (TIMES[times[0]] if times else 1)
+            elif kind == "address":
+                new = POINT.sub(".", m[0] if PLAIN_SIGN.search(m[0]) else SIGN.sub("@", m[0], 1))
             else:
-                new = {"at": "@", "bare_at": "@", "dot": ".", "plus": "+", "gone": ""}[kind]
+                new = {"at": "@", "bare_at": "@", "dot": ".", "point": ".", "plus": "+", "gone": ""}[kind]
             self._add(parts, text[at : m.start()], at, m.start(), True)
             self._add(parts, new, m.start(), m.end(), False)
             at = m.end()
