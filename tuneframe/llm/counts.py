@@ -5,6 +5,13 @@ A document beyond `chunk` characters becomes several rows, whose texts overlap b
 offsets of their tokens. Where a character that is no white space is followed by white
 space, a byte-level vocabulary always ends a token, whatever stands before or after: such
 an offset, found by both neighbours in the overlap, is where their counts are spliced.
+
+Runs without white space (scripts that write none, encoded data) are spliced at borders of
+the pattern's pieces. The pattern reads from left to right and looks ahead a few characters
+at most, so a chunk whose beginning was spliced right knows the document's borders, but
+those next to its end. Where the next chunk has a border at such an offset, both read on
+alike from there, wherever that chunk began.
+
 If two neighbours share none, the document is encoded again with wider overlaps, at last whole.
 """
 
@@ -15,6 +22,7 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +38,8 @@ CHUNK, OVERLAP = 32_768, 256
 GROUP = 1 << 20
 #: Parts whose tokens a worker remembers.
 REMEMBERED = 400_000
+#: What the pattern of the pieces looks ahead, and more: its contractions have two letters.
+AHEAD = 16
 
 
 class Counter:
@@ -41,6 +51,8 @@ class Counter:
 
         self.library = Tokenizer.from_file(path)
         self.table: dict[str, int] = {}
+        self.scans = type(self.library.pre_tokenizer).__name__ == "ByteLevel"
+        self.ahead = AHEAD + max((len(t.content) for t in self.library.get_added_tokens_decoder().values()), default=0)
 
     def learn(self, parts: set[str]) -> None:
         new = list(parts.difference(self.table))
@@ -51,6 +63,16 @@ class Counter:
             some = new[at : at + 20_000]
             self.table.update(zip(some, map(len, self.library.encode_batch_fast(some, add_special_tokens=False))))
 
+    def borders(self, part: str) -> list[tuple[int, int]]:
+        """(end, tokens) of the pattern's pieces and of added tokens in a part."""
+        made = self.library.encode(part, add_special_tokens=False)
+        words, out, last = made.word_ids, [], 0
+        for i, (word, following, (_, end)) in enumerate(zip(words, [*words[1:], None], made.offsets), 1):
+            if word != following:
+                out.append((end, i - last))
+                last = i
+        return out
+
 
 @lru_cache(1)
 def _counter(path: str) -> Counter:
@@ -63,16 +85,33 @@ def counter(path: str) -> Counter:
     return _counter(path)
 
 
-def edge(parts: list[str], counts: list[int], start: int, low: int, high: int) -> list[tuple[int, int]]:
-    """(offset in the document, tokens before it) of the stable ends in [low, high), but the text's end."""
-    out, at, tokens = [], start, 0
-    for part, n in zip(parts[:-1], counts):
-        at, tokens = at + len(part), tokens + n
-        if at >= high:
-            break
-        if at >= low:
-            out.append((at, tokens))
-    return out
+def ends(c: Counter, parts: list[str], counts: list[int], start: int, overlap: int, last: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets in the document and tokens before them: where a chunk's parts end and, in long parts, their pieces.
+
+    Left out are the chunk's own end and, unless it is the document's `last`, what its end may have moved.
+    """
+    at, tokens = [], []
+    place, n = start, 0
+    for i, (part, count) in enumerate(zip(parts, counts)):
+        if len(part) > overlap and c.scans:
+            final = i == len(parts) - 1 and not last
+            inner, m = place, n
+            for end, more in c.borders(part):
+                m += more
+                if end < len(part) and not (final and end > len(part) - c.ahead):
+                    at.append(inner + end)
+                    tokens.append(m)
+        place, n = place + len(part), n + count
+        if i < len(parts) - 1:
+            at.append(place)
+            tokens.append(n)
+    return np.array(at, np.int64), np.array(tokens, np.int64)
+
+
+def within(found: tuple[np.ndarray, np.ndarray], low: int, high: int) -> list[dict[str, int]]:
+    at, before = found
+    a, b = np.searchsorted(at, [low, high])
+    return [{"at": x, "before": y} for x, y in zip(at[a:b].tolist(), before[a:b].tolist())]
 
 
 def pieces(df: DataFrame, path: str, chunk: int, overlap: int) -> DataFrame:
@@ -106,29 +145,28 @@ def pieces(df: DataFrame, path: str, chunk: int, overlap: int) -> DataFrame:
                         numbers[0] += map(c.table.__getitem__, some)
                 for j, (parts, counts) in enumerate(zip(group, numbers), at):
                     i, k_ = int(pdf["i"].iat[j]), int(pdf["k"].iat[j])
-                    left, right, start = [], [], max(0, i * chunk - overlap)
-                    if k_ > 1 and i > 0:
-                        left = edge(parts, counts, start, i * chunk - overlap, i * chunk + overlap)
-                    if k_ > 1 and i < k_ - 1:
-                        right = edge(parts, counts, start, (i + 1) * chunk - overlap, (i + 1) * chunk + overlap)
+                    left, right = [], []
+                    if k_ > 1:
+                        found = ends(c, parts, counts, max(0, i * chunk - overlap), overlap, i == k_ - 1)
+                        left = within(found, i * chunk - overlap, i * chunk + overlap) if i > 0 else []
+                        right = within(found, (i + 1) * chunk - overlap, (i + 1) * chunk + overlap) if i < k_ - 1 else []
                     out.append((sum(counts), left, right))
                 at += len(group)
             n_, l_, r_ = zip(*out) if out else ((), (), ())
-            pairs = lambda x: [[{"at": a, "before": b} for a, b in row] for row in x]
-            yield pdf.drop(columns="part").assign(n=n_, l=pairs(l_), r=pairs(r_))
+            yield pdf.drop(columns="part").assign(n=list(n_), l=list(l_), r=list(r_))
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.drop("part").schema)
-    ends = "array<struct<at: long, before: long>>"
-    return rows.mapInPandas(count, f"{fields}, n long, l {ends}, r {ends}")
+    places = "array<struct<at: long, before: long>>"
+    return rows.mapInPandas(count, f"{fields}, n long, l {places}, r {places}")
 
 
 def spliced(cut: DataFrame, by: list[str]) -> DataFrame:
     """by and n_tokens of documents of several chunks; null where two chunks share no stable offset."""
     p = cut.filter("k > 1")
     left, right = p.filter("i < k - 1").select(*by, (F.col("i") + 1).alias("i"), F.col("n").alias("n_left"), "r"), p.select(*by, "i", "l")
-    common = F.get(F.filter("r", lambda x: F.exists("l", lambda y: y["at"] == x["at"])), F.lit(0))
-    same = F.get(F.filter("l", lambda y: y["at"] == F.col("x.at")), F.lit(0))
-    edges = left.join(right, [*by, "i"]).withColumn("x", common).select(*by, F.lit(0).alias("n"), (F.col("n_left") - F.col("x.before") + same["before"]).alias("over"), F.col("x").isNull().alias("failed"))
+    common = F.array_min(F.array_intersect("l.at", "r.at"))
+    before = lambda side: F.get(F.filter(side, lambda y: y["at"] == F.col("x")), F.lit(0))["before"]
+    edges = left.join(right, [*by, "i"]).withColumn("x", common).select(*by, F.lit(0).alias("n"), (F.col("n_left") - before("r") + before("l")).alias("over"), F.col("x").isNull().alias("failed"))
     both = p.select(*by, "n", F.lit(0).cast("long").alias("over"), F.lit(False).alias("failed")).unionByName(edges)
     return both.groupBy(*by).agg(F.when(~F.max("failed"), F.sum("n") - F.sum("over")).alias("n_tokens"))
 
