@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tuneframe.llm import bpe, jaccard, lz, mixing, pii, quality, ship, suffixes, toxicity
+from tuneframe.llm import bpe, counts, jaccard, lz, mixing, pii, quality, ship, suffixes, toxicity
 from tuneframe.llm.bpe import WordBpe, decode_documents, encode_documents
 from tuneframe.llm.components import connected_components
 from tuneframe.llm.counts import count_tokens
@@ -147,6 +148,40 @@ def test_token_counts(spark, texts, chunk, overlap):
     assert got == {i: (len(t.encode()), len(library.encode(t, add_special_tokens=False).ids)) for i, t in rows}
 
 
+def without_spaces(seed, n, length):
+    """Texts with no or hardly any white space, with what the pattern and the library take as one piece."""
+    rnd = random.Random(seed)
+    words = ["文字", "語", "。", "，", "é", "ab", "X", "17", "1", "!!", "'re", "'", "'ll", "don't", "<|endoftext|>", "<|", "|>", "_", "\U0001f600", "\u0301"]
+    return ["".join(rnd.choice(words) if rnd.random() > 0.002 else rnd.choice([" ", "  \n", "   "]) for _ in range(rnd.randrange(length))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("chunk, overlap", [(32_768, 256), (240, 60), (100, 30), (60, 8)])
+def test_token_counts_without_white_space(spark, chunk, overlap):
+    library = Tokenizer.from_file(BYTE_FILE)
+    rows = list(enumerate([*without_spaces(4, 300, 700), *without_spaces(5, 3, 20_000)]))
+    made = count_tokens(spark.createDataFrame(rows, "doc_id long, text string"), BYTE_FILE, chunk=chunk, overlap=overlap)
+    got = {r["doc_id"]: (r["n_bytes"], r["n_tokens"]) for r in made.collect()}
+    assert got == {i: (len(t.encode()), len(library.encode(t, add_special_tokens=False).ids)) for i, t in rows}
+
+
+def test_long_runs_without_white_space_are_spliced_at_once(spark):
+    library = Tokenizer.from_file(BYTE_FILE)
+    rnd = random.Random(6)
+    encoded = "".join(rnd.choice("ABCDEFabcdef0123456789+/") for _ in range(300_000))
+    chinese = "".join("".join(rnd.choices("的一是不了人我在有他", k=rnd.randrange(5, 40))) + rnd.choice("，。") for _ in range(9_000))
+    rows = [(0, encoded), (1, chinese), (2, "a" * 100_000)]
+    cut = counts.pieces(spark.createDataFrame(rows, "doc_id long, text string"), BYTE_FILE, counts.CHUNK, counts.OVERLAP)
+    got = {r["doc_id"]: r["n_tokens"] for r in counts.spliced(cut, ["doc_id"]).collect()}
+    assert got == {0: len(library.encode(encoded).ids), 1: len(library.encode(chinese).ids), 2: None}
+
+
+def test_token_counts_of_one_text_beyond_the_group(spark):
+    text = "ab cd! 17 e\u0301f " * (counts.GROUP // 14) + "x"
+    made = count_tokens(spark.createDataFrame([(0, text), (1, "y z")], "doc_id long, text string"), BYTE_FILE, chunk=2 * len(text))
+    library = Tokenizer.from_file(BYTE_FILE)
+    assert {r["doc_id"]: r["n_tokens"] for r in made.collect()} == {0: len(library.encode(text).ids), 1: 2}
+
+
 def groups_by_brute_force(rows, percent=90, size=3):
     lower = [re.sub("[A-Z]", lambda m: m[0].lower(), t or "") for _, t in rows]
     sets = []
@@ -293,6 +328,56 @@ def test_disguises_alone_in_a_text(text, found):
     assert [text[a:b] for a, _, b in pii.find(text)[1]] == found
 
 
+@pytest.mark.parametrize(
+    "text, found",
+    [
+        ("scrivi a juan arroba ejemplo punto es hoy", ["juan arroba ejemplo punto es"]),
+        ("écrire à jean point dupont arobase exemple point fr.", ["jean point dupont arobase exemple point fr"]),
+        ("an max Klammeraffe beispiel Punkt de bitte", ["max Klammeraffe beispiel Punkt de"]),
+        ("an max (ät) beispiel (Punkt) de bitte", ["max (ät) beispiel (Punkt) de"]),
+        ("an max at beispiel Punkt de", ["max at beispiel Punkt de"]),
+        ("juan ARROBA ejemplo.es", ["juan ARROBA ejemplo.es"]),
+        ("user@beispiel punkt de", ["user@beispiel punkt de"]),
+        ("plus vier neun drei null eins zwei drei vier fünf sechs sieben", ["plus vier neun drei null eins zwei drei vier fünf sechs sieben"]),
+        ("appelez plus trois trois un deux trois quatre cinq six sept huit neuf", ["plus trois trois un deux trois quatre cinq six sept huit neuf"]),
+        ("más tres cuatro nueve uno dos tres cuatro cinco seis siete ocho", ["más tres cuatro nueve uno dos tres cuatro cinco seis siete ocho"]),
+        ("call +44 20 double seven oh 46 triple nine", ["+44 20 double seven oh 46 triple nine"]),
+        ("192 punkt 168 punkt 0 punkt 1", ["192 punkt 168 punkt 0 punkt 1"]),
+        ("uno nueve dos punto uno seis ocho punto uno punto uno", ["uno nueve dos punto uno seis ocho punto uno punto uno"]),
+        ("the contact point jane@x.com", ["jane@x.com"]),
+        ("Der Kontakt Punkt jane@x.com", ["jane@x.com"]),
+        ("look at this point in time, at every point you see", []),
+        ("en un punto de dos o tres, un point de un à neuf", []),
+        ("double five of us, eins Punkt zwei", []),
+        ("oh null un", []),
+    ],
+)
+def test_disguises_in_four_languages(text, found):
+    base, spans = pii.find(text)
+    assert [text[a:b] for a, _, b in spans] == found and set(base) <= set(spans)
+
+
+def test_the_gate_hides_no_disguise_of_any_language(monkeypatch):
+    rnd = random.Random(9)
+    words = [*pii.NUMBERS, *pii.TIMES, "double", "triple", "plus", "más", "arroba", "Arobase", "klammeraffe", "ät", "(ät)", "[punkt]", "Punkt", "punto", "point", "dot", "at", "[at]", "jane", "ejemplo", "de", "a@b", "a@b.c", "+", "+4", "41", "5", "192", ".", "@"]
+    gaps = ["", " ", " ", " ", " ", "  ", "    ", "\n", "\t", ".", "-", ", "]
+    made = ["".join(rnd.choice(words) + rnd.choice(gaps) for _ in range(rnd.randrange(3, 20))) for _ in range(40_000)]
+    gated = [pii.find(t) for t in made]
+    monkeypatch.setattr(pii, "suspicious", lambda text, translated: True)
+    opened = [pii.find(t) for t in made]
+    assert [t for t, a, b in zip(made, gated, opened) if a != b] == []
+
+
+def test_rewriting_takes_time_in_proportion_to_the_text():
+    for piece in ("a", "a ", "a point ", "arroba ", "one ", "a.", "x@", "(at)", "double ", "1 punkt "):
+        took = []
+        for n in (20_000, 80_000):
+            began = time.process_time()
+            pii.find(piece * (n // len(piece)))
+            took.append(time.process_time() - began)
+        assert took[1] < 12 * took[0] + 0.1, piece
+
+
 def test_the_gate_hides_nothing(monkeypatch, texts):
     rnd = random.Random(8)
     words = [*pii.NUMBERS, "Seven", "plus", "PLUS", "dot", "at", "[at]", "(dot)", "{ . }", "<@>", "jane", "example", "com", "a@b.c", "+", "+1", "415", "5", "4111", "1111", "192", ".", "@", "\u017fix", "n\u0131ne", "N\u0130NE", "\u200b", "\u2013", "\xa0"]
