@@ -104,3 +104,28 @@ def test_samples_are_rendered_once(spark, tmp_path):
     assert row["median_length"] == lengths[20] > 4 and row["valid_samples"] == sum(n <= 4 for n in lengths)
     kept = P.read_prepared(spark, str(tmp_path / "p"))
     assert kept.columns == ["text", "key"] and kept.count() == row["valid_samples"] and kept.filter("key IS NULL").isEmpty()
+
+
+def test_files_are_written_by_many_tasks(spark, sf_dir):
+    """A file for each supplier costs its time, so no single task may write them all."""
+    from tuneframe.queries import evaluation, training
+
+    tracker = spark.sparkContext.statusTracker()
+    for name, write in (("results", evaluation.result_files), ("runs", training.read_run_files)):
+        spark.sparkContext.setJobGroup(name, name)
+        write(spark, sf_dir)
+        spark.sparkContext.setJobGroup("", "")
+        stages = [s for j in tracker.getJobIdsForGroup(name) for s in tracker.getJobInfo(j).stageIds]
+        assert max(tracker.getStageInfo(s).numTasks for s in stages[:4] if tracker.getStageInfo(s)) > 1
+
+
+def test_files_as_spark_writes_them(spark, tmp_path):
+    from tuneframe.queries.registry import write_files
+
+    rows = spark.createDataFrame([("a", 1, "x"), ("a", 1, "y"), (None, 2, "é"), ("b", None, None)], "m string, n int, value string").coalesce(1)
+    write_files(rows, str(tmp_path / "made"), "m", "n")
+    rows.write.partitionBy("m", "n").text(str(tmp_path / "plain"))
+    found = lambda d: {str(p.parent.relative_to(d)): sorted(p.read_bytes().split(b"\n")) for p in d.rglob("part-*")}
+    assert found(tmp_path / "made") == found(tmp_path / "plain")
+    write_files(rows.limit(0), str(tmp_path / "none"), "m", "n")
+    assert list((tmp_path / "none").rglob("part-*")) == [] and (tmp_path / "none").is_dir()

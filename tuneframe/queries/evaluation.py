@@ -11,7 +11,7 @@ from tuneframe.functions.text import is_length_error as names_length_error
 from tuneframe.operators import evals as B
 from tuneframe.operators import logs
 from tuneframe.plans import evaluation as E
-from tuneframe.queries.registry import query, scratch, table
+from tuneframe.queries.registry import query, scratch, table, write_files
 from tuneframe.sources import listings
 from tuneframe.sources import results as S
 
@@ -150,7 +150,7 @@ def result_files(spark: SparkSession, sf_dir: str) -> str:
         F.when(place.isin(1, 4), "results_2.json").otherwise("results_1.json").alias("file"),
     )
     root = scratch(spark, "results")
-    files.write.partitionBy("model", "variant", "run_ts", "file").text(root)
+    write_files(files, root, "model", "variant", "run_ts", "file")
     return root
 
 
