@@ -9,7 +9,7 @@ from tuneframe.operators import runs as M
 from tuneframe.operators.evals import compare as compare_scores
 from tuneframe.plans.ordered import number_rows
 from tuneframe.queries.evaluation import COMPARED_SQL, current_scores
-from tuneframe.queries.registry import query, scratch, table
+from tuneframe.queries.registry import query, scratch, table, write_files
 from tuneframe.sources import runs as S
 
 
@@ -144,13 +144,15 @@ def read_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def read_run_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers as runs, each with a folder that holds its metrics; some leave entries out."""
     root = scratch(spark, "runs")
-    table(spark, sf_dir, "supplier").select(
-        F.col("s_suppkey").alias("run"),
-        F.concat(F.lit("org/model-"), F.col("s_nationkey")).alias("model_name"),
-        F.col("s_acctbal").alias("training_time_seconds"),
-        F.when(F.col("s_suppkey") % 3 != 0, F.col("s_nationkey") + 1).alias("lora_rank"),
-        F.when(F.col("s_suppkey") % 2 == 1, True).alias("packing"),
-    ).write.partitionBy("run").json(root)
+    body = F.to_json(
+        F.struct(
+            F.concat(F.lit("org/model-"), F.col("s_nationkey")).alias("model_name"),
+            F.col("s_acctbal").alias("training_time_seconds"),
+            F.when(F.col("s_suppkey") % 3 != 0, F.col("s_nationkey") + 1).alias("lora_rank"),
+            F.when(F.col("s_suppkey") % 2 == 1, True).alias("packing"),
+        )
+    )
+    write_files(table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("run"), body.alias("value")), root, "run")
     runs = S.read_runs(spark, root, "part-*")
     return runs.select("run", "model_name", "training_time_seconds", "lora_rank", "learning_rate", "packing")
 
