@@ -208,6 +208,21 @@ def test_jaccard_groups(spark, monkeypatch, block):
     assert sorted(tuple(r) for r in made.collect()) == groups_by_brute_force(rows)
 
 
+def test_jaccard_groups_by_numbers(spark, monkeypatch):
+    """The edges of elements that sets share are the most rows that the join settles, so their ends are narrow."""
+    kinds = []
+
+    def seen(edges):
+        kinds.append([edges.schema[c].dataType.simpleString() for c in ("a", "b")])
+        return connected_components(edges)
+
+    monkeypatch.setattr(jaccard, "connected_components", seen)
+    rows = near_copies(40)
+    made = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), size=5, percent=80)
+    assert sorted(tuple(r) for r in made.collect()) == groups_by_brute_force(rows, percent=80, size=5)
+    assert kinds[0] == ["bigint", "bigint"]
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(7, 7)]
     got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}

@@ -21,7 +21,7 @@ from collections import defaultdict
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tuneframe.llm.components import connected_components
@@ -222,6 +222,14 @@ def document_sets(df: DataFrame, text: str, key: str, size: int, percent: int) -
     return docs.groupBy("batch").cogroup(told.groupBy("batch")).applyInPandas(sets, "key string, n long, set_key string, elements binary")
 
 
+def node_of(set_key: str) -> Column:
+    """A set in the graph that groups sets: a 64-bit hash, as shingles are, because edges are many and settled.
+
+    Two sets with one hash are put in one group, which costs time alone; only if they are each other's sole partners is a link lost.
+    """
+    return F.xxhash64(set_key)
+
+
 def jaccard_components(df: DataFrame, text: str = "text", key: str = "doc_id", size: int = 3, percent: int = 90) -> DataFrame:
     """One row per row of df: key, n_shingles, component_id (least linked key), n_links.
 
@@ -240,16 +248,18 @@ def jaccard_components(df: DataFrame, text: str = "text", key: str = "doc_id", s
     def prefixes(batches):
         for pdf in batches:
             out = []
-            for k, n, e in zip(pdf["set_key"], pdf["n"], pdf["elements"]):
+            for n, e in zip(pdf["n"], pdf["elements"]):
                 elements = np.frombuffer(e, np.uint64)
                 length = max(0, n - int(_need(n, percent)) + 1 - (n - len(elements)))
                 out.append(elements[:length].astype(np.int64))
-            yield pd.DataFrame({"a": pdf["set_key"], "tokens": out})
+            yield pd.DataFrame({"a": pdf["node"], "tokens": out})
 
     sets = settle(sets)
-    posted = sets.mapInPandas(prefixes, "a string, tokens array<long>").select("a", F.explode("tokens").alias("token"))
+    release(df.sparkSession)
+    posted = sets.select(node_of("set_key").alias("node"), "n", "elements").mapInPandas(prefixes, "a long, tokens array<long>").select("a", F.explode("tokens").alias("token"))
     hub = posted.groupBy("token").agg(F.min("a").alias("b"), F.count("*").alias("times")).filter("times > 1")
     groups = settle(connected_components(posted.join(hub, "token").select("a", "b").unionByName(hub.select("b", F.col("b").alias("a")))))
+    release(df.sparkSession)
     blocks_of = groups.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("k"))
     n_tasks = 4 * partitions_of(df)
     mine = F.pmod(F.xxhash64("set_key"), F.col("k")).cast("int")
@@ -262,9 +272,11 @@ def jaccard_components(df: DataFrame, text: str = "text", key: str = "doc_id", s
             ),
         )
     )
-    dealt = sets.join(groups.withColumnRenamed("node", "set_key").join(blocks_of, "component"), "set_key").join(same.select("set_key", "copies"), "set_key")
+    grouped = same.select("set_key", "copies", node_of("set_key").alias("node")).join(groups.join(blocks_of, "component"), "node")
+    dealt = sets.join(grouped.drop("node"), "set_key")
     dealt = dealt.withColumn("mine", mine).withColumn("t", F.explode(task)).select("t.task", "t.role", "set_key", "n", "copies", "elements")
     found = settle(dealt.groupBy("task").applyInPandas(lambda pdf: links_of(pdf, percent), "a string, b string, n_links long"))
+    release(df.sparkSession)
     linked = connected_components(found).withColumnRenamed("node", "set_key")
     links = found.groupBy(F.col("a").alias("set_key")).agg(F.sum("n_links").alias("n_links"))
     whole = same.join(linked, "set_key", "left").withColumn("component", F.coalesce("component", "set_key"))
